@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference is a batch pipeline: it has no streams, watermarks, windows over
+event time or stateful operators, so nothing is built here. Every operator in
+``ranklift.operators`` is a plain DataFrame transformation and therefore also
+valid inside ``foreachBatch`` of a Structured Streaming query.
+"""
