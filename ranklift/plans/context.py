@@ -14,11 +14,14 @@ from ..sources import fixtures
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (presentation for engine-to-engine comparison)."""
+    """Presentation for engine-to-engine comparison: doubles rounded to ``digits``,
+    integer columns widened to bigint."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(F.round(F.col(f.name), digits).alias(f.name))
+        elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
+            cols.append(F.col(f.name).cast("bigint").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(cols)

@@ -161,7 +161,7 @@ def _affinity_frags(prefix: str, start: str, end: str) -> None:
     frag(
         f"{prefix}_uid",
         f"""SELECT userid, item_id AS itemid, CAST(strptime(event_dt, '%Y%m%d') AS DATE) AS event_day,
-       1 AS interaccion, count(*) AS n_items, sum(price) AS total_price
+       CAST(1 AS BIGINT) AS interaccion, count(*) AS n_items, sum(price) AS total_price
 FROM cart_events
 WHERE event_dt BETWEEN '{start}' AND '{end}'
   AND userid IS NOT NULL AND userid NOT IN ('null', '')
@@ -324,3 +324,131 @@ def improvement_select(source: str, mai_digits: int, by: str | None = None) -> s
        round_even(avg(diff_pos), 2) AS manip
 FROM {source}"""
     return body + (f" GROUP BY {by}" if by else "")
+
+# ---------------------------------------------------------------- vectors, rank metrics, rerank
+frag(
+    "test_known",
+    """SELECT * FROM test_matrix
+WHERE userid IN (SELECT id FROM user_factors) AND itemid IN (SELECT id FROM item_factors)""",
+    "test_matrix",
+    "user_factors",
+    "item_factors",
+)
+
+frag(
+    "known_vectors",
+    """SELECT t.userid, t.itemid, t.rating, u.features AS uf, i.features AS vf
+FROM test_known t JOIN user_factors u ON t.userid = u.id JOIN item_factors i ON t.itemid = i.id""",
+    "test_known",
+)
+
+frag(
+    "all_scores",
+    """SELECT u.id AS userid, i.id AS itemid, list_inner_product(u.features, i.features) AS score,
+       round(list_inner_product(u.features, i.features), 9) AS key, coalesce(t.rating, 0.0) AS gain
+FROM (SELECT * FROM user_factors WHERE id IN (SELECT userid FROM test_known)) u
+CROSS JOIN (SELECT * FROM item_factors WHERE id IN (SELECT itemid FROM test_known)) i
+LEFT JOIN test_known t ON t.userid = u.id AND t.itemid = i.id""",
+    "test_known",
+)
+
+frag(
+    "pred_items",
+    f"""SELECT userid, itemid, score, row_number() OVER (PARTITION BY userid ORDER BY key DESC, itemid) AS rank
+FROM all_scores QUALIFY rank <= {K}""",
+    "all_scores",
+)
+
+frag(
+    "levels",
+    f"""SELECT * FROM (
+  SELECT userid, key AS level_key, n_items, gain_sum,
+         coalesce(sum(n_items) OVER (PARTITION BY userid ORDER BY key DESC
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS level_start
+  FROM (SELECT userid, key, count(*) AS n_items, sum(gain) AS gain_sum FROM all_scores GROUP BY 1, 2)
+) WHERE level_start <= {K}""",
+    "all_scores",
+)
+
+frag(
+    "disc",
+    f"""SELECT j, 1.0 / log2(j + 1) AS d, sum(1.0 / log2(j + 1)) OVER (ORDER BY j) AS c
+FROM range(1, {K} + 1) t(j)
+UNION ALL SELECT 0, 0.0, 0.0""",
+)
+
+frag(
+    "rel_topk",
+    f"""SELECT userid, itemid, rating, row_number() OVER (PARTITION BY userid ORDER BY rating DESC, itemid) AS rank
+FROM test_known QUALIFY rank <= {K}""",
+    "test_known",
+)
+
+frag(
+    "ndcg_users",
+    f"""SELECT d.userid, d.dcg, coalesce(i.idcg, 0.0) AS idcg, coalesce(d.dcg / NULLIF(i.idcg, 0), 0.0) AS ndcg
+FROM (
+  SELECT l.userid, sum(l.gain_sum / l.n_items * (ce.c - cs.c)) AS dcg
+  FROM levels l
+  JOIN disc ce ON ce.j = least(l.level_start + l.n_items - 1, {K})
+  JOIN disc cs ON cs.j = l.level_start - 1
+  GROUP BY l.userid
+) d LEFT JOIN (
+  SELECT r.userid, sum(r.rating * dd.d) AS idcg FROM rel_topk r JOIN disc dd ON dd.j = r.rank GROUP BY r.userid
+) i ON d.userid = i.userid""",
+    "levels",
+    "disc",
+    "rel_topk",
+)
+
+frag(
+    "hits",
+    """SELECT p.userid, p.rank, p.itemid, CASE WHEN r.itemid IS NULL THEN 0 ELSE 1 END AS hit
+FROM pred_items p LEFT JOIN rel_topk r ON p.userid = r.userid AND p.itemid = r.itemid""",
+    "pred_items",
+    "rel_topk",
+)
+
+frag(
+    "ap_users",
+    """SELECT userid, CAST(sum(hit) AS BIGINT) AS n_hits,
+       coalesce(sum(prec * hit) / NULLIF(sum(hit), 0), 0.0) AS ap
+FROM (SELECT *, sum(hit) OVER (PARTITION BY userid ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / rank AS prec
+      FROM hits)
+GROUP BY userid""",
+    "hits",
+)
+
+frag(
+    "recall_users",
+    """SELECT r.userid, r.n_relevant, coalesce(h.n_hits, 0) AS n_hits, coalesce(h.n_hits, 0) / r.n_relevant AS recall
+FROM (SELECT userid, count(*) AS n_relevant FROM rel_topk GROUP BY userid) r
+LEFT JOIN (SELECT userid, CAST(sum(hit) AS BIGINT) AS n_hits FROM hits GROUP BY userid) h ON r.userid = h.userid""",
+    "rel_topk",
+    "hits",
+)
+
+frag(
+    "req_exploded",
+    """SELECT request_id, userid, unnest(products) AS itemid, unnest(range(len(products))) AS pos
+FROM rerank_requests""",
+    "rerank_requests",
+)
+
+
+def rerank_sql(metric: str) -> str:
+    if metric == "dot_product":
+        s, order = "list_inner_product(u.features, i.features)", "DESC"
+    elif metric == "cosine":
+        s, order = "list_cosine_similarity(u.features, i.features)", "DESC"
+    else:
+        s, order = "sqrt(list_sum(list_transform(list_zip(u.features, i.features), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))", "ASC"
+    return build(
+        f"""SELECT request_id, userid, CAST(row_number() OVER (PARTITION BY request_id ORDER BY round(score, 9) {order}, pos) AS BIGINT) AS rank,
+       itemid, {r6('score')} AS score
+FROM (SELECT e.request_id, e.userid, e.itemid, e.pos, {s} AS score
+      FROM req_exploded e JOIN user_factors u ON e.userid = u.id JOIN item_factors i ON e.itemid = i.id)""",
+        "req_exploded",
+        "user_factors",
+        "item_factors",
+    )

@@ -230,3 +230,237 @@ def q_replay_improvement(i: Inputs) -> DataFrame:
         for m in ("dot_product", "euclidean_distance")
     ]
     return parts[0].unionByName(parts[1])
+
+
+# ------------------------------------------------------------------ vectors and lookups
+from ..functions import vectors as V  # noqa: E402
+from ..operators import rank_metrics as RM  # noqa: E402
+from ..operators import rerank as RR  # noqa: E402
+from ..sources import sinks  # noqa: E402
+
+_RANK = 64  # vector length of the bundled embeddings (oracle SQL columns c1..c64)
+
+
+def _flat_sql(vec: str, n: int = _RANK) -> str:
+    return ", ".join(f"{O.r6(f'({vec})[{j}]')} AS c{j}" for j in range(1, n + 1))
+
+
+def _known(i: Inputs) -> DataFrame:
+    return RM.known_pairs(i.test_matrix, i.user_factors, i.item_factors)
+
+
+@register("known_pairs", O.build(f"SELECT userid, itemid, {O.r6('rating')} AS rating FROM test_known", "test_known"))
+def q_known_pairs(i: Inputs) -> DataFrame:
+    """Test-matrix rows whose user and item have factor vectors."""
+    return _known(i)
+
+
+@register(
+    "known_pairs_report",
+    O.build(
+        """SELECT *, round(n_users_removed * 100.0 / n_users, 2) AS pct_users_removed,
+       round(n_items_removed * 100.0 / n_items, 2) AS pct_items_removed
+FROM (
+  SELECT count(DISTINCT userid) AS n_users,
+         count(DISTINCT CASE WHEN userid NOT IN (SELECT id FROM user_factors) THEN userid END) AS n_users_removed,
+         count(DISTINCT itemid) AS n_items,
+         count(DISTINCT CASE WHEN itemid NOT IN (SELECT id FROM item_factors) THEN itemid END) AS n_items_removed,
+         count(*) AS n_rows,
+         CAST(sum(CASE WHEN userid IN (SELECT id FROM user_factors) AND itemid IN (SELECT id FROM item_factors)
+                       THEN 1 ELSE 0 END) AS BIGINT) AS n_rows_kept
+  FROM test_matrix
+)""",
+        "test_matrix",
+        "user_factors",
+        "item_factors",
+    ),
+)
+def q_known_pairs_report(i: Inputs) -> DataFrame:
+    """J5 report: share of users and items without vectors."""
+    return RM.known_pairs_report(i.test_matrix, i.user_factors, i.item_factors)
+
+
+@register(
+    "lookup_vectors",
+    O.build(
+        f"""SELECT kind, k.id, f.id IS NOT NULL AS known, {_flat_sql(f"coalesce(f.features, {O._COLD})")}
+FROM (SELECT DISTINCT 'user' AS kind, userid AS id FROM impressions) k LEFT JOIN user_factors f ON k.id = f.id
+UNION ALL
+SELECT kind, k.id, f.id IS NOT NULL AS known, {_flat_sql(f"coalesce(f.features, {O._COLD})")}
+FROM (SELECT DISTINCT 'item' AS kind, imp_itemid AS id FROM impressions) k LEFT JOIN item_factors f ON k.id = f.id""",
+        "impressions",
+        "user_factors",
+        "item_factors",
+    ),
+)
+def q_lookup_vectors(i: Inputs) -> DataFrame:
+    """Vector lookup with the -1 default for every user and item shown."""
+    from ..operators.replay import lookup_vectors
+
+    out = []
+    for kind, col, factors in (("user", "userid", i.user_factors), ("item", "imp_itemid", i.item_factors)):
+        keys = i.impressions.select(F.col(col).alias("id")).distinct()
+        known = keys.join(factors.select("id", F.lit(True).alias("known")), "id", "left").fillna(False, ["known"])
+        got = lookup_vectors(known, "id", factors, "features", i.rank, "minus_one")
+        out.append(sinks.flatten_factors(got.select("id", "features", "known"), i.rank).join(known, "id").select(F.lit(kind).alias("kind"), "*"))
+    return out[0].unionByName(out[1])
+
+
+def _pair_scores(i: Inputs, expr) -> DataFrame:
+    j = _known(i).join(i.user_factors.select(F.col("id").alias("userid"), F.col("features").alias("_u")), "userid").join(
+        i.item_factors.select(F.col("id").alias("itemid"), F.col("features").alias("_v")), "itemid"
+    )
+    return j.select("userid", "itemid", expr("_u", "_v").alias("score"))
+
+
+@register("dot_score", O.build(f"SELECT userid, itemid, {O.r6('list_inner_product(uf, vf)')} AS score FROM known_vectors", "known_vectors"))
+def q_dot_score(i: Inputs) -> DataFrame:
+    """Dot product of user and item vectors for every known test pair."""
+    return _pair_scores(i, V.dot)
+
+
+@register(
+    "euclidean_score",
+    O.build(
+        f"SELECT userid, itemid, {O.r6(O._pair_score('euclidean_distance', 'uf', 'vf'))} AS score FROM known_vectors",
+        "known_vectors",
+    ),
+)
+def q_euclidean_score(i: Inputs) -> DataFrame:
+    """Euclidean distance of user and item vectors for every known test pair."""
+    return _pair_scores(i, V.euclidean)
+
+
+@register("cosine_score", O.build(f"SELECT userid, itemid, {O.r6('list_cosine_similarity(uf, vf)')} AS score FROM known_vectors", "known_vectors"))
+def q_cosine_score(i: Inputs) -> DataFrame:
+    """Cosine similarity for every known test pair."""
+    return _pair_scores(i, V.cosine)
+
+
+@register(
+    "vector_norms",
+    O.build(
+        f"""SELECT 'user' AS kind, id, {O.r6('sqrt(list_sum(list_transform(features, lambda x: x * x)))')} AS norm FROM user_factors
+UNION ALL
+SELECT 'item' AS kind, id, {O.r6('sqrt(list_sum(list_transform(features, lambda x: x * x)))')} AS norm FROM item_factors""",
+        "user_factors",
+        "item_factors",
+    ),
+)
+def q_vector_norms(i: Inputs) -> DataFrame:
+    """L2 norm of every factor vector."""
+    u = i.user_factors.select(F.lit("user").alias("kind"), "id", V.norm("features").alias("norm"))
+    it = i.item_factors.select(F.lit("item").alias("kind"), "id", V.norm("features").alias("norm"))
+    return u.unionByName(it)
+
+
+@register(
+    "factor_export",
+    O.build(
+        f"""SELECT 'users' AS kind, id, {_flat_sql('features')} FROM user_factors
+UNION ALL SELECT 'items' AS kind, id, {_flat_sql('features')} FROM item_factors""",
+        "user_factors",
+        "item_factors",
+    ),
+)
+def q_factor_export(i: Inputs) -> DataFrame:
+    """The flat ``kind, id, c1..cn`` frame the factor sink writes."""
+    return sinks.export_frame(i.user_factors, i.item_factors, i.rank)
+
+
+# ------------------------------------------------------------------ rank metrics
+
+
+def _scored(i: Inputs, metric: str = "dot_product") -> RM.Scored:
+    return RM.Scored(_known(i), i.user_factors, i.item_factors, i.cfg.k, metric)
+
+
+@register("topk_relevant", O.build(f"SELECT userid, rank, itemid, {O.r6('rating')} AS rating FROM rel_topk", "rel_topk"))
+def q_topk_relevant(i: Inputs) -> DataFrame:
+    """Each user's top-k items by rating."""
+    return RM.topk_relevant(_known(i), i.cfg.k)
+
+
+@register(
+    "topk_relevant_lists",
+    O.build("SELECT userid, count(*) AS n_items, string_agg(itemid, ',' ORDER BY rank) AS items FROM rel_topk GROUP BY userid", "rel_topk"),
+)
+def q_topk_relevant_lists(i: Inputs) -> DataFrame:
+    """The same as one ordered list per user."""
+    return RM.topk_lists(RM.topk_relevant(_known(i), i.cfg.k))
+
+
+@register("topk_predicted", O.build(f"SELECT userid, rank, itemid, {O.r6('score')} AS score FROM pred_items", "pred_items"))
+def q_topk_predicted(i: Inputs) -> DataFrame:
+    """W3 + J8: each user's top-k candidate items by predicted score."""
+    return _scored(i).top_items()
+
+
+@register(
+    "score_candidates",
+    O.build(f"SELECT userid, level_start, {O.r6('level_key')} AS level_key, n_items, {O.r6('gain_sum')} AS gain_sum FROM levels", "levels"),
+)
+def q_score_candidates(i: Inputs) -> DataFrame:
+    """All candidates scored; per user the score levels starting within the top k."""
+    return _scored(i).levels()
+
+
+@register("ndcg_at_k", O.build(f"SELECT userid, {O.r6('dcg')} AS dcg, {O.r6('idcg')} AS idcg, {O.r6('ndcg')} AS ndcg FROM ndcg_users", "ndcg_users"))
+def q_ndcg_at_k(i: Inputs) -> DataFrame:
+    """Per-user tie-averaged NDCG@k."""
+    return _scored(i).ndcg()
+
+
+@register("map_at_k", O.build(f"SELECT userid, n_hits, {O.r6('ap')} AS ap FROM ap_users", "ap_users"))
+def q_map_at_k(i: Inputs) -> DataFrame:
+    """Per-user average precision@k."""
+    return _scored(i).average_precision()
+
+
+@register("mar_at_k", O.build(f"SELECT userid, n_relevant, n_hits, {O.r6('recall')} AS recall FROM recall_users", "recall_users"))
+def q_mar_at_k(i: Inputs) -> DataFrame:
+    """Per-user recall@k against the top-k relevant items."""
+    return _scored(i).recall()
+
+
+@register(
+    "rank_metrics",
+    O.build(
+        f"""SELECT CAST({O.K} AS BIGINT) AS k, count(*) AS n_users,
+       {O.r6('avg(coalesce(n.ndcg, 0.0))')} AS ndcg_at_k, {O.r6('avg(coalesce(a.ap, 0.0))')} AS map_at_k,
+       {O.r6('avg(coalesce(r.recall, 0.0))')} AS mar_at_k
+FROM ndcg_users n FULL JOIN ap_users a ON n.userid = a.userid
+FULL JOIN recall_users r ON coalesce(n.userid, a.userid) = r.userid""",
+        "ndcg_users",
+        "ap_users",
+        "recall_users",
+    ),
+)
+def q_rank_metrics(i: Inputs) -> DataFrame:
+    """EvaluationMetrics.compute_metric: mean NDCG@k, MAP@k, MAR@k."""
+    return _scored(i).summary()
+
+
+# ------------------------------------------------------------------ rerank
+
+
+def _rerank(i: Inputs, metric: str) -> DataFrame:
+    return RR.rerank(i.rerank_requests, i.user_factors, i.item_factors, metric)
+
+
+@register("rerank_dot", O.rerank_sql("dot_product"))
+def q_rerank_dot(i: Inputs) -> DataFrame:
+    """Every request's products ordered by dot product."""
+    return _rerank(i, "dot_product")
+
+
+@register("rerank_cosine", O.rerank_sql("cosine"))
+def q_rerank_cosine(i: Inputs) -> DataFrame:
+    """Ordered by (per-item) cosine similarity."""
+    return _rerank(i, "cosine")
+
+
+@register("rerank_euclidean", O.rerank_sql("euclidean_distance"))
+def q_rerank_euclidean(i: Inputs) -> DataFrame:
+    """Ordered by euclidean distance, nearest first."""
+    return _rerank(i, "euclidean_distance")
