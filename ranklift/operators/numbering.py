@@ -21,17 +21,23 @@ from pyspark.sql import functions as F
 _LOW33 = (1 << 33) - 1
 
 
-def dense_index(values: DataFrame, column: str, index_col: str = "idx", partitions: int | None = None) -> DataFrame:
-    """``(column, index_col)`` with ``index_col`` = 0-based rank of the distinct value."""
+def dense_index(values: DataFrame, columns, index_col: str = "idx", partitions: int | None = None) -> DataFrame:
+    """``(*columns, index_col)``: 0-based rank of each distinct key in sorted order."""
+    cols = [columns] if isinstance(columns, str) else list(columns)
     spark = values.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    distinct = values.select(column).where(F.col(column).isNotNull()).distinct()
+    not_null = None
+    for c in cols:
+        cond = F.col(c).isNotNull()
+        not_null = cond if not_null is None else (not_null & cond)
+    distinct = values.select(*cols).where(not_null).distinct()
     # Explicit partition count: AQE leaves REPARTITION_BY_NUM alone, so each task
     # holds one contiguous, sorted key range.
-    ranged = distinct.repartitionByRange(n, column).sortWithinPartitions(column)
+    ranged = distinct.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     ranged = ranged.withColumn("_mid", F.monotonically_increasing_id())
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_local", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
-    # Materialise once so the counts and the rows see the same partitioning.
+    # Materialise once (reliable checkpoint in the shared checkpoint dir) so the
+    # counts and the rows see the same partitioning, and lineage is cut.
     ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
@@ -39,7 +45,7 @@ def dense_index(values: DataFrame, column: str, index_col: str = "idx", partitio
     ).fillna(0, ["_off"])
     # One row per task: a proven bound, so broadcast.
     out = ranged.join(F.broadcast(offsets), "_pid")
-    return out.select(column, (F.col("_off") + F.col("_local")).alias(index_col))
+    return out.select(*cols, (F.col("_off") + F.col("_local")).alias(index_col))
 
 
 def row_hash(*cols: Column) -> Column:

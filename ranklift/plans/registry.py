@@ -464,3 +464,100 @@ def q_rerank_cosine(i: Inputs) -> DataFrame:
 def q_rerank_euclidean(i: Inputs) -> DataFrame:
     """Ordered by euclidean distance, nearest first."""
     return _rerank(i, "euclidean_distance")
+
+
+# ------------------------------------------------------------------ model
+from ..config import SearchSpace  # noqa: E402
+from ..operators import factors as FA  # noqa: E402
+from .pipeline import replay_prefix  # noqa: E402
+from .search import ReplayScorer, search  # noqa: E402
+
+LOSS_ALPHA, LOSS_REG = 40.0, 1.0
+
+
+@register(
+    "id_dictionary",
+    O.build(
+        """SELECT 'user' AS kind, userid AS id, CAST(dense_rank() OVER (ORDER BY userid) - 1 AS BIGINT) AS idx
+FROM (SELECT DISTINCT userid FROM train_matrix)
+UNION ALL
+SELECT 'item' AS kind, itemid AS id, CAST(dense_rank() OVER (ORDER BY itemid) - 1 AS BIGINT) AS idx
+FROM (SELECT DISTINCT itemid FROM train_matrix)""",
+        "train_matrix",
+    ),
+)
+def q_id_dictionary(i: Inputs) -> DataFrame:
+    """M1: dense int ids for users and items of the training matrix."""
+    users, items = FA.id_dictionary(i.train_matrix)
+    return users.select(F.lit("user").alias("kind"), F.col("userid").alias("id"), F.col("u").alias("idx")).unionByName(
+        items.select(F.lit("item").alias("kind"), F.col("itemid").alias("id"), F.col("i").alias("idx"))
+    )
+
+
+@register("als_factors")
+def q_als_factors(i: Inputs) -> DataFrame:
+    """M2 + M3: implicit ALS on the training matrix; one row per user and item vector."""
+    users, items = FA.fit_als(i.train_matrix, FA.ALSParams(rank=10, regularization=1.0, alpha=40.0, iterations=5, seed=42))
+    u = users.select(F.lit("user").alias("kind"), "id", F.size("features").cast("bigint").alias("rank"), V.norm("features").alias("norm"))
+    it = items.select(F.lit("item").alias("kind"), "id", F.size("features").cast("bigint").alias("rank"), V.norm("features").alias("norm"))
+    return u.unionByName(it)
+
+
+@register(
+    "implicit_loss",
+    O.build(
+        f"""SELECT n_users, n_items, nnz, {O.r6('total_confidence')} AS total_confidence,
+       {O.r6('observed_loss / w')} AS observed_share, {O.r6('unobserved_loss / w')} AS unobserved_share,
+       {O.r6('reg_loss / w')} AS reg_share, {O.r6('(observed_loss + unobserved_loss + reg_loss) / w')} AS loss_normalized
+FROM (
+  SELECT *, total_confidence + n_users * n_items - nnz AS w FROM (
+    SELECT (SELECT count(*) FROM user_factors) AS n_users, (SELECT count(*) FROM item_factors) AS n_items,
+           count(*) AS nnz, sum({LOSS_ALPHA} * t.rating) AS total_confidence,
+           sum({LOSS_ALPHA} * t.rating * power(1 - list_inner_product(u.features, i.features), 2)) AS observed_loss,
+           (SELECT sum(power(list_inner_product(a.features, b.features), 2)) FROM user_factors a CROSS JOIN item_factors b)
+             - sum(power(list_inner_product(u.features, i.features), 2)) AS unobserved_loss,
+           {LOSS_REG} * ((SELECT sum(list_sum(list_transform(features, lambda x: x * x))) FROM user_factors)
+                       + (SELECT sum(list_sum(list_transform(features, lambda x: x * x))) FROM item_factors)) AS reg_loss
+    FROM train_matrix t JOIN user_factors u ON t.userid = u.id JOIN item_factors i ON t.itemid = i.id
+  )
+)""",
+        "train_matrix",
+        "user_factors",
+        "item_factors",
+    ),
+)
+def q_implicit_loss(i: Inputs) -> DataFrame:
+    """M4: implicit objective of the fixed factors on the training matrix (terms per unit weight)."""
+    loss = FA.implicit_loss(i.train_matrix, i.user_factors, i.item_factors, LOSS_ALPHA, LOSS_REG)
+    w = F.col("total_confidence") + F.col("n_users") * F.col("n_items") - F.col("nnz")
+    return loss.select(
+        "n_users",
+        "n_items",
+        "nnz",
+        "total_confidence",
+        (F.col("observed_loss") / w).alias("observed_share"),
+        (F.col("unobserved_loss") / w).alias("unobserved_share"),
+        (F.col("reg_loss") / w).alias("reg_share"),
+        "loss_normalized",
+    )
+
+
+@register(
+    "kfold_assign",
+    O.build(
+        f"SELECT userid, itemid, {O.r6('rating')} AS rating, CAST(ntile(3) OVER (ORDER BY userid, itemid) AS BIGINT) AS fold FROM train_matrix",
+        "train_matrix",
+    ),
+)
+def q_kfold_assign(i: Inputs) -> DataFrame:
+    """M6: three contiguous folds over the training matrix ordered by (user, item)."""
+    return FA.kfold_assign(i.train_matrix, 3)
+
+
+@register("hyper_search")
+def q_hyper_search(i: Inputs) -> DataFrame:
+    """M5 + M7: two seeded trials, two folds each, scored by replay MAI (trial log)."""
+    merged = replay_prefix(i.cart_events, i.search_results, i.cfg).persist()
+    space = SearchSpace(rank=(4, 8), regularization=(1, 30), alpha=(40, 80), iterations=3, n_trials=2, folds=2, seed=7)
+    trials, _best = search(i.train_matrix, ReplayScorer(merged, "dot_product"), space)
+    return trials
