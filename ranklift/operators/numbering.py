@@ -61,12 +61,15 @@ def number_within(
     rows_per_bucket: int = 1_000_000,
     rn_col: str = "rn",
     size_col: str = "group_rows",
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``rn_col`` (1-based, order ``(hash_col, *order)``) and ``size_col`` per group.
 
-    ``df`` must already carry ``hash_col`` (see ``row_hash``).
+    ``df`` must already carry ``hash_col`` (see ``row_hash``). ``sizes`` may pass
+    in the per-group row counts ``(*group, size_col)`` when the caller has them.
     """
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias(size_col))
+    if sizes is None:
+        sizes = group_sizes(df, group, size_col)
     sized = df.join(sizes, group)  # many-to-one; partial aggregation kept sizes small
     n_buckets = F.greatest(F.lit(1), F.ceil(F.col(size_col) / F.lit(float(rows_per_bucket)))).cast("bigint")
     bucketed = sized.withColumn("_bucket", F.floor(F.col(hash_col) * n_buckets / F.lit(float(1 << 32))).cast("bigint"))
@@ -83,3 +86,8 @@ def number_within(
     )
     out = local.join(offsets, [*group, "_bucket"])
     return out.withColumn(rn_col, (F.col("_off") + F.col("_local")).cast("bigint")).drop("_bucket", "_local", "_off")
+
+
+def group_sizes(df: DataFrame, group: list[str], size_col: str = "group_rows") -> DataFrame:
+    """Rows per group (map-side partial counts, so hot groups are combined early)."""
+    return df.groupBy(*group).agg(F.count(F.lit(1)).alias(size_col))

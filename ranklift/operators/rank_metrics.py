@@ -98,7 +98,8 @@ class Scored:
 
     def __init__(self, known: DataFrame, users: DataFrame, items: DataFrame, k: int, metric: str, **block_opts):
         self.k = int(k)
-        self.known = known
+        # Small and read by every branch (candidates, relevance, ideal DCG).
+        self.known = known = known.persist()
         cand_users = users.select(F.col("id").alias("userid"), "features").join(
             known.select("userid").distinct(), "userid", "left_semi"
         )
@@ -107,6 +108,10 @@ class Scored:
         )
         self.users = cand_users
         self.items = cand_items
+        # Every id of ``known`` has a vector, so one pass over it sizes both sides.
+        sizes = known.agg(F.count_distinct("userid").alias("u"), F.count_distinct("itemid").alias("i")).first()
+        block_opts.setdefault("n_users", int(sizes["u"]))
+        block_opts.setdefault("n_items", int(sizes["i"]))
         # Read by both the item and the level merges: keep one scoring pass.
         self.raw = score_top_levels(cand_users, cand_items, known, self.k, metric, **block_opts).persist()
 

@@ -68,29 +68,59 @@ def predict_pairs(
     return with_i.withColumn("prediction", score(metric, "_u", "_i")).drop("_u", "_i")
 
 
-def slot_assignment(predicted: DataFrame, metric: str) -> DataFrame:
+def predict_pairs_all(
+    merged: DataFrame,
+    user_factors: DataFrame,
+    item_factors: DataFrame,
+    metrics=("dot_product", "euclidean_distance"),
+    cold_start: str = "minus_one",
+    rank: int | None = None,
+) -> DataFrame:
+    """Both scores from one vector lookup: one row per (merged row, metric)."""
+    for m in metrics:
+        check_metric(m)
+    rank = rank or factor_rank(item_factors)
+    with_u = lookup_vectors(merged, "userid", user_factors, "_u", rank, cold_start)
+    with_i = lookup_vectors(with_u, "imp_itemid", item_factors, "_i", rank, cold_start)
+    per_metric = F.explode(
+        F.array(*[F.struct(F.lit(m).alias("metric"), score(m, "_u", "_i").alias("prediction")) for m in metrics])
+    )
+    return with_i.select("*", per_metric.alias("_m")).select(
+        *[c for c in merged.columns], F.col("_m.metric").alias("metric"), F.col("_m.prediction").alias("prediction")
+    )
+
+
+def slot_assignment(predicted: DataFrame, metric: str | None, keys=()) -> DataFrame:
     """W4 + W5: predicted order of each group mapped onto its shown slots.
 
     Output ``(GROUP..., slot, predict_itemid, prediction, imp_position)``: the
     item ranked ``slot`` by the model and the position of the ``slot``-th shown
     result. Ties: rounded score, then shown position, then item id.
+    ``metric=None`` reads the metric per row from a ``metric`` column (then pass
+    ``keys=("metric",)``).
     """
-    key = rank_key(metric, F.col("prediction"))
-    by_pred = W.partitionBy(*GROUP).orderBy(key.desc(), F.col("imp_position"), F.col("imp_itemid"))
-    by_slot = W.partitionBy(*GROUP).orderBy(F.col("imp_position"), F.col("imp_itemid"))
+    group = [*GROUP, *keys]
+    if metric is None:
+        r = F.round(F.col("prediction"), 9)
+        key = F.when(F.col("metric") == "dot_product", r).otherwise(-r)
+    else:
+        key = rank_key(metric, F.col("prediction"))
+    by_pred = W.partitionBy(*group).orderBy(key.desc(), F.col("imp_position"), F.col("imp_itemid"))
+    by_slot = W.partitionBy(*group).orderBy(F.col("imp_position"), F.col("imp_itemid"))
     ranked = predicted.withColumn("_pred_rank", F.row_number().over(by_pred)).withColumn(
         "_slot", F.row_number().over(by_slot)
     )
-    items = ranked.select(*GROUP, F.col("_pred_rank").alias("slot"), F.col("imp_itemid").alias("predict_itemid"), "prediction")
-    slots = ranked.select(*GROUP, F.col("_slot").alias("slot"), "imp_position")
-    return items.join(slots, [*GROUP, "slot"])
+    items = ranked.select(*group, F.col("_pred_rank").alias("slot"), F.col("imp_itemid").alias("predict_itemid"), "prediction")
+    slots = ranked.select(*group, F.col("_slot").alias("slot"), "imp_position")
+    return items.join(slots, [*group, "slot"])
 
 
-def position_shift(merged: DataFrame, slots: DataFrame) -> DataFrame:
+def position_shift(merged: DataFrame, slots: DataFrame, keys=()) -> DataFrame:
     """J3 (weighted): ``(GROUP..., current_pos, predict_pos, diff_pos, n_pairs)``.
 
     ``n_pairs`` = number of rows the reference's many-to-many merge emits for
-    this (current, predicted) position pair.
+    this (current, predicted) position pair. ``keys`` are extra grouping
+    columns of ``slots`` (e.g. ``metric``).
     """
     cur = (
         merged.where(F.col("imp_itemid") == F.col("a2c_itemid"))
@@ -99,11 +129,12 @@ def position_shift(merged: DataFrame, slots: DataFrame) -> DataFrame:
     )
     pre = (
         slots.where(F.col("predict_itemid") == F.col("a2c_itemid"))
-        .groupBy(*GROUP, F.col("imp_position").alias("predict_pos"))
+        .groupBy(*GROUP, *keys, F.col("imp_position").alias("predict_pos"))
         .agg(F.count(F.lit(1)).alias("_np"))
     )
     return cur.join(pre, GROUP).select(
         *GROUP,
+        *keys,
         "current_pos",
         "predict_pos",
         (F.col("current_pos") - F.col("predict_pos")).alias("diff_pos"),
@@ -140,10 +171,11 @@ def _finish(df: DataFrame, mai_digits: int, keys: list[str]) -> DataFrame:
     )
 
 
-def improvement_overall(shift: DataFrame) -> DataFrame:
-    """One row of statistics; ``mai`` 3 dp, ``manip`` 2 dp (half-even)."""
+def improvement_overall(shift: DataFrame, keys=()) -> DataFrame:
+    """One row of statistics (per ``keys``); ``mai`` 3 dp, ``manip`` 2 dp (half-even)."""
     aggs, digits = _stats(3)
-    return _finish(shift.agg(*aggs), digits, [])
+    agg = shift.groupBy(*keys).agg(*aggs) if keys else shift.agg(*aggs)
+    return _finish(agg, digits, list(keys))
 
 
 def improvement_by_query(shift: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import md5_u32
-from .numbering import number_within, row_hash
+from .numbering import group_sizes, number_within, row_hash
 
 ORDER = ["fecha", "userid", "correlation_id", "a2c_itemid", "a2c_position"]
 
@@ -48,12 +48,11 @@ def sample_per_query(
         raise ValueError("size must be > 0")
     spark = adds.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = number_within(add_row_hash(adds), ["search_query"], ORDER, rows_per_bucket=rows_per_bucket, size_col="_len")
-    queries = (
-        numbered.groupBy("search_query")
-        .agg(F.first("_len").alias("_len"))
-        .withColumn("_n", F.floor(F.col("_len").cast("double") * F.lit(float(size))).cast("bigint"))
-        .where(F.col("_n") > 0)
+    hashed = add_row_hash(adds)
+    sizes = group_sizes(hashed, ["search_query"], "_len")
+    numbered = number_within(hashed, ["search_query"], ORDER, rows_per_bucket=rows_per_bucket, size_col="_len", sizes=sizes)
+    queries = sizes.withColumn("_n", F.floor(F.col("_len").cast("double") * F.lit(float(size))).cast("bigint")).where(
+        F.col("_n") > 0
     )
     chunk = F.lit(int(draws_per_chunk))
     chunks = queries.select(

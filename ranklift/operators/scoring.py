@@ -49,7 +49,6 @@ def _block_scorer(k: int, metric: str):
     """The per-task kernel. Self-contained (imports inside) so it ships by value."""
     dot = metric == "dot_product"
     digits = KEY_DIGITS
-    names = [f.name for f in OUT_SCHEMA.fields]
 
     def score_batches(batches):
         import numpy as np
@@ -66,28 +65,27 @@ def _block_scorer(k: int, metric: str):
             ]
         )
 
-        def matrix(list_array, n):
-            flat = list_array.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-            return flat.reshape(n, -1)
+        def matrix(flat, n):
+            return flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, -1)
+
+        def strings(list_scalar):
+            return np.asarray(list_scalar.values.to_pylist(), dtype=object)
 
         for batch in batches:
-            out = {name: [] for name in names}
+            parts = []
             for r in range(batch.num_rows):
-                uids = batch.column("u_ids")[r].values.to_pylist()
-                iids = batch.column("i_ids")[r].values.to_pylist()
+                uids, iids = strings(batch.column("u_ids")[r]), strings(batch.column("i_ids")[r])
                 nu, ni = len(uids), len(iids)
                 if nu == 0 or ni == 0:
                     continue
                 U = matrix(batch.column("u_vecs")[r].values, nu)
                 V = matrix(batch.column("i_vecs")[r].values, ni)
-                # Items sorted by id so a stable sort breaks key ties by itemid.
-                order = np.argsort(np.asarray(iids, dtype=object), kind="stable")
-                iids = [iids[j] for j in order]
-                V = V[order]
+                # Items sorted by id, so a stable sort breaks key ties by itemid.
+                by_id = np.argsort(iids, kind="stable")
+                iids, V = iids[by_id], V[by_id]
                 raw = U @ V.T
                 if not dot:
-                    sq = (U * U).sum(1)[:, None] + (V * V).sum(1)[None, :] - 2.0 * raw
-                    raw = np.sqrt(np.maximum(sq, 0.0))
+                    raw = np.sqrt(np.maximum((U * U).sum(1)[:, None] + (V * V).sum(1)[None, :] - 2.0 * raw, 0.0))
                 key = np.round(raw, digits)
                 if not dot:
                     key = -key
@@ -96,43 +94,82 @@ def _block_scorer(k: int, metric: str):
                 if r_u.is_valid and len(r_u) > 0:
                     upos = {u: j for j, u in enumerate(uids)}
                     ipos = {i: j for j, i in enumerate(iids)}
-                    ru = r_u.values.to_pylist()
-                    ri = batch.column("r_i")[r].values.to_pylist()
+                    ru, ri = r_u.values.to_pylist(), batch.column("r_i")[r].values.to_pylist()
                     rv = batch.column("r_v")[r].values.to_numpy(zero_copy_only=False)
                     for a, b, v in zip(ru, ri, rv):
-                        if a in upos and b in ipos:
-                            gains[upos[a], ipos[b]] += v
+                        ja, jb = upos.get(a), ipos.get(b)
+                        if ja is not None and jb is not None:
+                            gains[ja, jb] += v
                 top = min(k, ni)
-                ranked = np.argsort(-key, axis=1, kind="stable")[:, :top]
-                for x in range(nu):
-                    uid = uids[x]
-                    cols_x = ranked[x]
-                    for j in cols_x:
-                        out["userid"].append(uid)
-                        out["itemid"].append(iids[j])
-                        out["key"].append(float(key[x, j]))
-                        out["score"].append(float(raw[x, j]))
-                        out["gain"].append(float(gains[x, j]))
-                        out["cnt"].append(1)
-                    # Every level that starts inside this block's top k, counted in full.
-                    for lv in np.unique(key[x, cols_x]):
-                        mask = key[x] == lv
-                        out["userid"].append(uid)
-                        out["itemid"].append(None)
-                        out["key"].append(float(lv))
-                        out["score"].append(None)
-                        out["gain"].append(float(gains[x, mask].sum()))
-                        out["cnt"].append(int(mask.sum()))
-            yield pa.RecordBatch.from_pydict(out, schema=out_schema)
+                # k-th best key per row; every item at or above it is a candidate
+                # (ties at the cut included, so the cut level is counted in full).
+                thr = np.partition(key, ni - top, axis=1)[:, ni - top]
+                rows, cols = np.nonzero(key >= thr[:, None])
+                ckey = key[rows, cols]
+                o = np.lexsort((cols, -ckey, rows))  # row, then key desc, then item id
+                rows, cols, ckey = rows[o], cols[o], ckey[o]
+                cgain = gains[rows, cols]
+                first = np.searchsorted(rows, np.arange(nu))
+                pos = np.arange(len(rows)) - first[rows]
+                sel = pos < top
+                parts.append(
+                    (
+                        uids[rows[sel]],
+                        iids[cols[sel]],
+                        ckey[sel],
+                        raw[rows[sel], cols[sel]],
+                        cgain[sel],
+                        np.ones(int(sel.sum()), dtype=np.int64),
+                    )
+                )
+                # score levels: runs of equal key within a row (all start inside the top k)
+                change = np.ones(len(rows), dtype=bool)
+                change[1:] = (rows[1:] != rows[:-1]) | (ckey[1:] != ckey[:-1])
+                st = np.flatnonzero(change)
+                en = np.append(st[1:], len(rows))
+                csum = np.concatenate([[0.0], np.cumsum(cgain)])
+                parts.append(
+                    (
+                        uids[rows[st]],
+                        np.full(len(st), None, dtype=object),
+                        ckey[st],
+                        np.full(len(st), np.nan),
+                        csum[en] - csum[st],
+                        (en - st).astype(np.int64),
+                    )
+                )
+            if parts:
+                cols = [np.concatenate([p[c] for p in parts]) for c in range(6)]
+            else:
+                cols = [np.array([], dtype=object)] * 2 + [np.array([])] * 3 + [np.array([], dtype=np.int64)]
+            score_col = pa.array(cols[3], type=pa.float64(), from_pandas=True)  # NaN -> null on level rows
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(cols[0], type=pa.string()),
+                    pa.array(cols[1], type=pa.string()),
+                    pa.array(cols[2], type=pa.float64()),
+                    score_col,
+                    pa.array(cols[4], type=pa.float64()),
+                    pa.array(cols[5], type=pa.int64()),
+                ],
+                schema=out_schema,
+            )
 
     return score_batches
 
 
 def _blocks(df: DataFrame, id_col: str, n_blocks: int, block_col: str, prefix: str) -> DataFrame:
+    """One row per block: ids and their vectors flattened into one ``array<double>``
+    (flat primitive arrays cross the JVM/Python boundary far faster than nested ones)."""
     with_block = df.withColumn(block_col, F.pmod(F.xxhash64(id_col), F.lit(n_blocks)))
+    m = F.col("_m")
     return with_block.groupBy(block_col).agg(
         F.collect_list(F.struct(F.col(id_col).alias("id"), F.col("features").alias("v"))).alias("_m")
-    ).select(block_col, F.col("_m.id").alias(f"{prefix}_ids"), F.col("_m.v").alias(f"{prefix}_vecs"))
+    ).select(
+        block_col,
+        F.transform(m, lambda s: s["id"]).alias(f"{prefix}_ids"),
+        F.flatten(F.transform(m, lambda s: s["v"])).alias(f"{prefix}_vecs"),
+    )
 
 
 def score_top_levels(
@@ -141,9 +178,11 @@ def score_top_levels(
     ratings: DataFrame,
     k: int,
     metric: str,
-    user_block: int = 1024,
+    user_block: int = 512,
     item_block: int = 4096,
     broadcast_bytes: int = 64 << 20,
+    n_users: int | None = None,
+    n_items: int | None = None,
 ) -> DataFrame:
     """Per-user top-k items and top score levels over all candidate items.
 
@@ -153,11 +192,16 @@ def score_top_levels(
     ``merge_levels``).
     """
     check_metric(metric)
-    n_users = users.count()
-    n_items = items.count()
-    if n_users == 0 or n_items == 0:
+    if n_users is None:
+        n_users = users.count()
+    first = items.select(F.size("features").alias("rank")).first()
+    if n_users == 0 or first is None:
+        return users.sparkSession.createDataFrame([], OUT_SCHEMA)
+    rank = int(first["rank"])
+    if n_items is None:
+        n_items = items.count()
+    if n_items == 0:
         return users.sparkSession.createDataFrame([], OUT_SCHEMA)
-    rank = len(items.select("features").first()[0])
     nu = max(1, math.ceil(n_users / user_block))
     ni = max(1, math.ceil(n_items / item_block))
     ub = _blocks(users, "userid", nu, "ub", "u")

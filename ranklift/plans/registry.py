@@ -224,12 +224,11 @@ def q_improvement_by_query(i: Inputs) -> DataFrame:
     ),
 )
 def q_replay_improvement(i: Inputs) -> DataFrame:
-    """Replay end to end (``ModelPerformance.compute_metric``) under both metrics."""
-    parts = [
-        replay.improvement_overall(_shift(i, m)).select(F.lit(m).alias("metric"), "*")
-        for m in ("dot_product", "euclidean_distance")
-    ]
-    return parts[0].unionByName(parts[1])
+    """Replay end to end (``ModelPerformance.compute_metric``) under both metrics, one pass."""
+    pred = replay.predict_pairs_all(i.merged, i.user_factors, i.item_factors, cold_start=i.cfg.cold_start, rank=i.rank)
+    slots = replay.slot_assignment(pred, None, keys=("metric",))
+    shift = replay.position_shift(i.merged, slots, keys=("metric",))
+    return replay.improvement_overall(shift, keys=("metric",))
 
 
 # ------------------------------------------------------------------ vectors and lookups
