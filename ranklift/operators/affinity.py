@@ -54,7 +54,10 @@ def user_day_totals(uid: DataFrame) -> DataFrame:
 def day_weights(uid: DataFrame, day_totals: str = "join") -> DataFrame:
     """A3 + J1: item-day rows with their day totals and the two weights."""
     if day_totals == "join":
-        rows = uid.join(user_day_totals(uid), ["userid", "event_day"], "left")
+        # Inner = left here: userid is token-checked and event_day comes from a
+        # non-null in-window key, so every row finds its totals. Inner lets
+        # Catalyst see two identical sides and reuse one exchange for both.
+        rows = uid.join(user_day_totals(uid), ["userid", "event_day"], "inner")
     elif day_totals == "window":
         w = W.partitionBy("userid", "event_day")
         rows = uid.withColumn("n_total_items_per_day", F.sum("n_items").over(w)).withColumn(
