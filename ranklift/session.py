@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Bounded Arrow batches into the block scorer (its rows carry whole blocks).
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(256 << 20),
 }
 
 
