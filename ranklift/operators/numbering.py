@@ -38,6 +38,9 @@ def dense_index(values: DataFrame, columns, index_col: str = "idx", partitions:
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_local", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
     # Materialise once (reliable checkpoint in the shared checkpoint dir) so the
     # counts and the rows see the same partitioning, and lineage is cut.
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

@@ -43,7 +43,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only pick one when unset (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``; only pick one when unset (tests,
+    single-machine sessions)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
