@@ -4,8 +4,9 @@ rating(u, i) = 1 + sum over active days of  n(u,i,d) / n(u,d)  +  price(u,i,d) /
 
 Plan shape at scale: every aggregate is a ``groupBy`` with map-side partial
 aggregation, so a hot user or item is combined before it is shuffled. The
-user-day totals are re-joined to the item-day rows (many-to-one equi-join: AQE
-broadcasts the totals when they are small and splits a skewed side otherwise).
+user-day totals (one partial aggregate of the events to (user, day)) are
+re-joined to the item-day rows (many-to-one equi-join: AQE broadcasts the
+totals when they are small and splits a skewed side otherwise).
 ``day_totals='window'`` swaps that join for a window over ``(userid, day)``
 (one exchange fewer, but a hot user-day is then one window partition).
 """
@@ -51,13 +52,27 @@ def user_day_totals(uid: DataFrame) -> DataFrame:
     )
 
 
-def day_weights(uid: DataFrame, day_totals: str = "join") -> DataFrame:
-    """A3 + J1: item-day rows with their day totals and the two weights."""
+def user_day_totals_from_events(events: DataFrame, window: Window) -> DataFrame:
+    """A2 straight from the events: the same sums (count of rows, sum of prices,
+    NULL prices skipped) with one partial aggregate to (userid, day)."""
+    rows = filter_events(events, window)
+    return rows.groupBy("userid", parse_day("event_dt").alias("event_day")).agg(
+        F.count(F.lit(1)).alias("n_total_items_per_day"),
+        F.sum("price").alias("n_total_price_per_day"),
+    )
+
+
+def day_weights(uid: DataFrame, day_totals: str = "join", totals: DataFrame | None = None) -> DataFrame:
+    """A3 + J1: item-day rows with their day totals and the two weights.
+
+    ``totals`` may be given (e.g. ``user_day_totals_from_events``); by default
+    they are re-aggregated from ``uid``.
+    """
     if day_totals == "join":
         # Inner = left here: userid is token-checked and event_day comes from a
-        # non-null in-window key, so every row finds its totals. Inner lets
-        # Catalyst see two identical sides and reuse one exchange for both.
-        rows = uid.join(user_day_totals(uid), ["userid", "event_day"], "inner")
+        # non-null in-window key, so every row finds its totals.
+        t = totals if totals is not None else user_day_totals(uid)
+        rows = uid.join(t, ["userid", "event_day"], "inner")
     elif day_totals == "window":
         w = W.partitionBy("userid", "event_day")
         rows = uid.withColumn("n_total_items_per_day", F.sum("n_items").over(w)).withColumn(
@@ -94,7 +109,9 @@ def affinity_matrix(events: DataFrame, window: Window, day_totals: str = "join")
     NULL ratings are dropped (F12); rows are unique per (userid, itemid) by
     construction, so the reference's exact dedup is a no-op and is not planned.
     """
-    scores = affinity_scores(day_weights(user_item_day(events, window), day_totals))
+    uid = user_item_day(events, window)
+    totals = user_day_totals_from_events(events, window) if day_totals == "join" else None
+    scores = affinity_scores(day_weights(uid, day_totals, totals))
     return scores.where(F.col("affinity_score").isNotNull()).select(
         "userid", "itemid", F.col("affinity_score").alias("rating")
     )
