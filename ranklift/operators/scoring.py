@@ -3,7 +3,7 @@
 The rank metrics are defined over *all* candidate items of each user, so every
 (user, item) score has to be computed; materialising them as rows would be
 quadratic. Instead users and items are packed into bounded blocks (hash of the
-id, ``user_block`` / ``item_block`` rows each), each (user block, item block)
+id, ``user_block`` / ``item_block`` rows each, 512 / 2048 by default), each (user block, item block)
 pair is scored by one dense numpy matmul inside ``mapInArrow``, and only two
 small things leave the task per user:
 
@@ -15,10 +15,10 @@ Both merge exactly across blocks: a level or item in the global top-k is in the
 local top-k of every block that holds it. Output rows are O(users x k x item
 blocks), never O(users x items).
 
-The item-block table is broadcast only when its estimated size
-(items x rank x 8 bytes) is under ``broadcast_bytes``; otherwise the block pairs
-are formed by a shuffle-based product of the two block tables (block pairs, not
-item pairs).
+The item blocks are shipped once per worker (a broadcast) only when their
+size (items x rank x 8 bytes) is under ``broadcast_bytes``; otherwise the block
+pairs are formed by a product of the two block tables (block pairs, not item
+pairs), each pair one task-side matmul.
 """
 
 from __future__ import annotations
@@ -45,8 +45,13 @@ OUT_SCHEMA = T.StructType(
 )
 
 
-def _block_scorer(k: int, metric: str):
-    """The per-task kernel. Self-contained (imports inside) so it ships by value."""
+def _block_scorer(k: int, metric: str, item_blocks=None):
+    """The per-task kernel. Self-contained (imports inside) so it ships by value.
+
+    ``item_blocks``: a broadcast of ``[(ids, matrix), ...]`` when the item table
+    is under the broadcast bound; otherwise every input row carries one item
+    block (``i_ids``, ``i_vecs``).
+    """
     dot = metric == "dot_product"
     digits = KEY_DIGITS
 
@@ -71,84 +76,110 @@ def _block_scorer(k: int, metric: str):
         def strings(list_scalar):
             return np.asarray(list_scalar.values.to_pylist(), dtype=object)
 
+        def sorted_block(iids, V):
+            # Items sorted by id, so a stable order breaks key ties by itemid.
+            by_id = np.argsort(iids, kind="stable")
+            return iids[by_id], V[by_id]
+
+        shared = None
+        if item_blocks is not None:
+            shared = [sorted_block(np.asarray(ids, dtype=object), vecs) for ids, vecs in item_blocks.value]
+
+        def score_pair(uids, U, iids, V, rel, parts):
+            nu, ni = len(uids), len(iids)
+            raw = U @ V.T
+            if not dot:
+                raw = np.sqrt(np.maximum((U * U).sum(1)[:, None] + (V * V).sum(1)[None, :] - 2.0 * raw, 0.0))
+            key = np.round(raw, digits)
+            if not dot:
+                key = -key
+            gains = np.zeros((nu, ni))
+            if rel:
+                upos = {u: j for j, u in enumerate(uids)}
+                ipos = {i: j for j, i in enumerate(iids)}
+                for a, b, v in rel:
+                    ja, jb = upos.get(a), ipos.get(b)
+                    if ja is not None and jb is not None:
+                        gains[ja, jb] += v
+            top = min(k, ni)
+            # k-th best key per row; every item at or above it is a candidate
+            # (ties at the cut included, so the cut level is counted in full).
+            thr = np.partition(key, ni - top, axis=1)[:, ni - top]
+            rows, cols = np.nonzero(key >= thr[:, None])
+            ckey = key[rows, cols]
+            o = np.lexsort((cols, -ckey, rows))  # row, then key desc, then item id
+            rows, cols, ckey = rows[o], cols[o], ckey[o]
+            cgain = gains[rows, cols]
+            first = np.searchsorted(rows, np.arange(nu))
+            pos = np.arange(len(rows)) - first[rows]
+            sel = pos < top
+            parts.append(
+                (
+                    uids[rows[sel]],
+                    iids[cols[sel]],
+                    ckey[sel],
+                    raw[rows[sel], cols[sel]],
+                    cgain[sel],
+                    np.ones(int(sel.sum()), dtype=np.int64),
+                )
+            )
+            # score levels: runs of equal key within a row (all start inside the top k)
+            change = np.ones(len(rows), dtype=bool)
+            change[1:] = (rows[1:] != rows[:-1]) | (ckey[1:] != ckey[:-1])
+            st = np.flatnonzero(change)
+            en = np.append(st[1:], len(rows))
+            csum = np.concatenate([[0.0], np.cumsum(cgain)])
+            parts.append(
+                (
+                    uids[rows[st]],
+                    np.full(len(st), None, dtype=object),
+                    ckey[st],
+                    np.full(len(st), np.nan),
+                    csum[en] - csum[st],
+                    (en - st).astype(np.int64),
+                )
+            )
+
         for batch in batches:
             parts = []
+            names = batch.schema.names
             for r in range(batch.num_rows):
-                uids, iids = strings(batch.column("u_ids")[r]), strings(batch.column("i_ids")[r])
-                nu, ni = len(uids), len(iids)
-                if nu == 0 or ni == 0:
+                uids = strings(batch.column("u_ids")[r])
+                if len(uids) == 0:
                     continue
-                U = matrix(batch.column("u_vecs")[r].values, nu)
-                V = matrix(batch.column("i_vecs")[r].values, ni)
-                # Items sorted by id, so a stable sort breaks key ties by itemid.
-                by_id = np.argsort(iids, kind="stable")
-                iids, V = iids[by_id], V[by_id]
-                raw = U @ V.T
-                if not dot:
-                    raw = np.sqrt(np.maximum((U * U).sum(1)[:, None] + (V * V).sum(1)[None, :] - 2.0 * raw, 0.0))
-                key = np.round(raw, digits)
-                if not dot:
-                    key = -key
-                gains = np.zeros((nu, ni))
+                U = matrix(batch.column("u_vecs")[r].values, len(uids))
                 r_u = batch.column("r_u")[r]
+                rel = []
                 if r_u.is_valid and len(r_u) > 0:
-                    upos = {u: j for j, u in enumerate(uids)}
-                    ipos = {i: j for j, i in enumerate(iids)}
-                    ru, ri = r_u.values.to_pylist(), batch.column("r_i")[r].values.to_pylist()
-                    rv = batch.column("r_v")[r].values.to_numpy(zero_copy_only=False)
-                    for a, b, v in zip(ru, ri, rv):
-                        ja, jb = upos.get(a), ipos.get(b)
-                        if ja is not None and jb is not None:
-                            gains[ja, jb] += v
-                top = min(k, ni)
-                # k-th best key per row; every item at or above it is a candidate
-                # (ties at the cut included, so the cut level is counted in full).
-                thr = np.partition(key, ni - top, axis=1)[:, ni - top]
-                rows, cols = np.nonzero(key >= thr[:, None])
-                ckey = key[rows, cols]
-                o = np.lexsort((cols, -ckey, rows))  # row, then key desc, then item id
-                rows, cols, ckey = rows[o], cols[o], ckey[o]
-                cgain = gains[rows, cols]
-                first = np.searchsorted(rows, np.arange(nu))
-                pos = np.arange(len(rows)) - first[rows]
-                sel = pos < top
-                parts.append(
-                    (
-                        uids[rows[sel]],
-                        iids[cols[sel]],
-                        ckey[sel],
-                        raw[rows[sel], cols[sel]],
-                        cgain[sel],
-                        np.ones(int(sel.sum()), dtype=np.int64),
+                    rel = list(
+                        zip(
+                            r_u.values.to_pylist(),
+                            batch.column("r_i")[r].values.to_pylist(),
+                            batch.column("r_v")[r].values.to_numpy(zero_copy_only=False),
+                        )
                     )
-                )
-                # score levels: runs of equal key within a row (all start inside the top k)
-                change = np.ones(len(rows), dtype=bool)
-                change[1:] = (rows[1:] != rows[:-1]) | (ckey[1:] != ckey[:-1])
-                st = np.flatnonzero(change)
-                en = np.append(st[1:], len(rows))
-                csum = np.concatenate([[0.0], np.cumsum(cgain)])
-                parts.append(
-                    (
-                        uids[rows[st]],
-                        np.full(len(st), None, dtype=object),
-                        ckey[st],
-                        np.full(len(st), np.nan),
-                        csum[en] - csum[st],
-                        (en - st).astype(np.int64),
-                    )
-                )
+                if shared is not None:
+                    blocks = shared
+                elif "i_ids" in names:
+                    iids = strings(batch.column("i_ids")[r])
+                    if len(iids) == 0:
+                        continue
+                    blocks = [sorted_block(iids, matrix(batch.column("i_vecs")[r].values, len(iids)))]
+                else:
+                    blocks = []
+                for iids, V in blocks:
+                    if len(iids):
+                        score_pair(uids, U, iids, V, rel, parts)
             if parts:
                 cols = [np.concatenate([p[c] for p in parts]) for c in range(6)]
             else:
                 cols = [np.array([], dtype=object)] * 2 + [np.array([])] * 3 + [np.array([], dtype=np.int64)]
-            score_col = pa.array(cols[3], type=pa.float64(), from_pandas=True)  # NaN -> null on level rows
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(cols[0], type=pa.string()),
                     pa.array(cols[1], type=pa.string()),
                     pa.array(cols[2], type=pa.float64()),
-                    score_col,
+                    pa.array(cols[3], type=pa.float64(), from_pandas=True),  # NaN -> null on level rows
                     pa.array(cols[4], type=pa.float64()),
                     pa.array(cols[5], type=pa.int64()),
                 ],
@@ -179,7 +210,7 @@ def score_top_levels(
     k: int,
     metric: str,
     user_block: int = 512,
-    item_block: int = 4096,
+    item_block: int = 2048,
     broadcast_bytes: int = 64 << 20,
     n_users: int | None = None,
     n_items: int | None = None,
@@ -216,6 +247,16 @@ def score_top_levels(
     )
     # One user block per task; the task scores it against every item block.
     ub = ub.join(rb, "ub", "left").repartition(nu, "ub")
-    item_side = F.broadcast(ib) if n_items * rank * 8 <= broadcast_bytes else ib
-    pairs = ub.crossJoin(item_side)
+    if n_items * rank * 8 <= broadcast_bytes:
+        # Proven bound: ship the item blocks once per worker.
+        table = ib.toArrow()
+        blocks = []
+        for j in range(table.num_rows):
+            ids = table.column("i_ids")[j].values.to_pylist()
+            flat = table.column("i_vecs")[j].values.to_numpy(zero_copy_only=False).astype("float64")
+            blocks.append((ids, flat.reshape(len(ids), -1)))
+        shared = users.sparkSession.sparkContext.broadcast(blocks)
+        return ub.mapInArrow(_block_scorer(int(k), metric, shared), OUT_SCHEMA)
+    # Larger catalogues: pair user blocks with item blocks (blocks, not items).
+    pairs = ub.crossJoin(ib)
     return pairs.mapInArrow(_block_scorer(int(k), metric), OUT_SCHEMA)

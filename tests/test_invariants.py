@@ -86,6 +86,9 @@ def test_scorer_independent_of_block_sizes(spark, inputs):
     known = rank_metrics.known_pairs(inputs.test_matrix, inputs.user_factors, inputs.item_factors)
     a = rank_metrics.Scored(known, inputs.user_factors, inputs.item_factors, 5, "dot_product")
     b = rank_metrics.Scored(known, inputs.user_factors, inputs.item_factors, 5, "dot_product", user_block=7, item_block=13)
+    # the oversize path (block pairs instead of a broadcast) gives the same rows
+    c = rank_metrics.Scored(known, inputs.user_factors, inputs.item_factors, 5, "dot_product", item_block=50, broadcast_bytes=0)
+    assert _rows(a.top_items().select("userid", "rank", "itemid")) == _rows(c.top_items().select("userid", "rank", "itemid"))
     assert _rows(a.top_items().select("userid", "rank", "itemid")) == _rows(b.top_items().select("userid", "rank", "itemid"))
     lv = ["userid", "level_start", "level_key", "n_items", F.round("gain_sum", 9)]
     assert _rows(a.levels().select(lv)) == _rows(b.levels().select(lv))
