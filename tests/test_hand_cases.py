@@ -233,3 +233,14 @@ def test_rerank_orders(spark):
     assert order("euclidean_distance") == ["A", "C", "B"]
     with pytest.raises(ValueError):
         rerank.rerank(req, users, items, "manhattan")
+
+
+def test_rerank_with_score_function(spark):
+    from ranklift.functions import dot
+    from ranklift.operators import rerank
+
+    req = spark.createDataFrame([(1, "u", ["A", "B", "C"])], schemas.RERANK_REQUESTS)
+    users = _factors(spark, [("u", [1.0, 0.0])])
+    items = _factors(spark, [("A", [1.0, 0.0]), ("B", [3.0, 0.0]), ("C", [0.0, 1.0])])
+    by_fn = rerank.rerank(req, users, items, lambda u, v: dot(u, v)).orderBy("rank").collect()
+    assert [r["itemid"] for r in by_fn] == ["B", "A", "C"]
