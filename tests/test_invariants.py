@@ -162,3 +162,9 @@ def test_kfold_sizes_like_ntile(spark, inputs):
 def test_clean_single_day_equality(spark, inputs):
     adds = cleaning.clean_cart_adds(inputs.cart_events, Window("19980101", "19980101"))
     assert adds.where(F.col("fecha") != F.to_date(F.lit("1998-01-01"))).count() == 0
+
+
+def test_sample_independent_of_chunks_and_buckets(spark, inputs):
+    base = _rows(inputs.sampled)
+    tiny = sampling.sample_per_query(inputs.cart_adds, 0.2, 1, rows_per_bucket=5, draws_per_chunk=3)
+    assert _rows(tiny) == base
