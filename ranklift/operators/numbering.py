@@ -5,11 +5,12 @@ repartition gives each task a contiguous sorted slice; the per-task counts (one
 row per task) are turned into offsets. No single-partition window.
 
 ``number_within``: 1-based row number inside each group under the total order
-``(h, order...)`` where ``h`` is a 32-bit md5 prefix of the row. Groups larger
-than ``rows_per_bucket`` are split into contiguous ``h`` ranges that are
-numbered in parallel and stitched with per-bucket offsets, so a group holding a
-third of all rows still spreads over many tasks. The numbering does not depend
-on the bucket size.
+``(h, order...)`` where ``h`` is a 32-bit md5 prefix of the row. One small
+action reads the largest group size: when every group fits ``rows_per_bucket``
+a single window numbers them; otherwise groups are split into contiguous ``h``
+ranges that are numbered in parallel and stitched with per-bucket offsets, so a
+group holding a third of all rows still spreads over many tasks. The numbering
+does not depend on the bucket size.
 """
 
 from __future__ import annotations
@@ -73,6 +74,13 @@ def number_within(
     """
     if sizes is None:
         sizes = group_sizes(df, group, size_col)
+    largest = sizes.agg(F.max(size_col).alias("m")).first()["m"]
+    if largest is None or largest <= rows_per_bucket:
+        # Every group fits one bucket: a single window gives the same numbering.
+        w = W.partitionBy(*group)
+        return df.withColumn(rn_col, F.row_number().over(w.orderBy(hash_col, *order)).cast("bigint")).withColumn(
+            size_col, F.count(F.lit(1)).over(w)
+        )
     sized = df.join(sizes, group)  # many-to-one; partial aggregation kept sizes small
     n_buckets = F.greatest(F.lit(1), F.ceil(F.col(size_col) / F.lit(float(rows_per_bucket)))).cast("bigint")
     bucketed = sized.withColumn("_bucket", F.floor(F.col(hash_col) * n_buckets / F.lit(float(1 << 32))).cast("bigint"))

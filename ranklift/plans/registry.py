@@ -10,9 +10,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import SearchSpace
+from ..functions import vectors as V
 from ..operators import affinity, replay, sampling
+from ..operators import factors as FA
+from ..operators import rank_metrics as RM
+from ..operators import rerank as RR
+from ..sources import sinks
 from . import oracle as O
 from .context import Inputs, round_doubles
+from .pipeline import replay_prefix
+from .search import ReplayScorer, search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -232,10 +240,6 @@ def q_replay_improvement(i: Inputs) -> DataFrame:
 
 
 # ------------------------------------------------------------------ vectors and lookups
-from ..functions import vectors as V  # noqa: E402
-from ..operators import rank_metrics as RM  # noqa: E402
-from ..operators import rerank as RR  # noqa: E402
-from ..sources import sinks  # noqa: E402
 
 _RANK = 64  # vector length of the bundled embeddings (oracle SQL columns c1..c64)
 
@@ -294,13 +298,11 @@ FROM (SELECT DISTINCT 'item' AS kind, imp_itemid AS id FROM impressions) k LEFT
 )
 def q_lookup_vectors(i: Inputs) -> DataFrame:
     """Vector lookup with the -1 default for every user and item shown."""
-    from ..operators.replay import lookup_vectors
-
     out = []
     for kind, col, factors in (("user", "userid", i.user_factors), ("item", "imp_itemid", i.item_factors)):
         keys = i.impressions.select(F.col(col).alias("id")).distinct()
         known = keys.join(factors.select("id", F.lit(True).alias("known")), "id", "left").fillna(False, ["known"])
-        got = lookup_vectors(known, "id", factors, "features", i.rank, "minus_one")
+        got = replay.lookup_vectors(known, "id", factors, "features", i.rank, "minus_one")
         out.append(sinks.flatten_factors(got.select("id", "features", "known"), i.rank).join(known, "id").select(F.lit(kind).alias("kind"), "*"))
     return out[0].unionByName(out[1])
 
@@ -466,10 +468,6 @@ def q_rerank_euclidean(i: Inputs) -> DataFrame:
 
 
 # ------------------------------------------------------------------ model
-from ..config import SearchSpace  # noqa: E402
-from ..operators import factors as FA  # noqa: E402
-from .pipeline import replay_prefix  # noqa: E402
-from .search import ReplayScorer, search  # noqa: E402
 
 LOSS_ALPHA, LOSS_REG = 40.0, 1.0
 

@@ -15,6 +15,7 @@ that shrinks the workload.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -103,9 +104,7 @@ def _result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("i") + DISTRACTOR_SORT_BASE).cast("long").alias("sort_key"),
         )
     )
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("orderkey").orderBy("sort_key", "partkey")
+    w = W.partitionBy("orderkey").orderBy("sort_key", "partkey")
     shown = lines.unionByName(extra).withColumn("position", F.row_number().over(w))
     return shown.join(orders, shown.orderkey == orders.o_orderkey).join(part, shown.partkey == part.p_partkey, "left")
 
