@@ -88,5 +88,6 @@ class Inputs:
 
     @cached_property
     def merged(self) -> DataFrame:
+        # Read by both sides of the position shift (current and predicted).
         adds = sampling.adds_of_top_queries(self.sampled, self.top)
-        return replay.session_join(self.impressions, adds)
+        return replay.session_join(self.impressions, adds).persist()
