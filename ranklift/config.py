@@ -59,6 +59,7 @@ class SearchSpace:
     n_trials: int = 20
     folds: int = 3
     seed: int = 7
+    parallelism: int = 1  # trials submitted concurrently (each trial's fits stay sequential)
 
 
 @dataclass(frozen=True)

@@ -555,6 +555,6 @@ def q_kfold_assign(i: Inputs) -> DataFrame:
 def q_hyper_search(i: Inputs) -> DataFrame:
     """M5 + M7: two seeded trials, two folds each, scored by replay MAI (trial log)."""
     merged = replay_prefix(i.cart_events, i.search_results, i.cfg).persist()
-    space = SearchSpace(rank=(4, 8), regularization=(1, 30), alpha=(40, 80), iterations=3, n_trials=2, folds=2, seed=7)
+    space = SearchSpace(rank=(4, 8), regularization=(1, 30), alpha=(40, 80), iterations=3, n_trials=2, folds=2, seed=7, parallelism=2)
     trials, _best = search(i.train_matrix, ReplayScorer(merged, "dot_product"), space)
     return trials
