@@ -14,8 +14,9 @@ from .. import schemas
 
 
 def read_table(spark: SparkSession, path_or_name: str, schema=None, fmt: str = "parquet") -> DataFrame:
-    """Read a path (with an explicit schema) or a catalog table name."""
-    if "/" not in path_or_name and "." not in path_or_name.split("/")[-1]:
+    """Read a path (with an explicit schema) or a catalog table name (``db.table``)."""
+    is_path = "/" in path_or_name or ":" in path_or_name or path_or_name.endswith((".parquet", ".orc", ".csv", ".json"))
+    if not is_path:
         return spark.table(path_or_name)
     reader = spark.read.format(fmt)
     if schema is not None:

@@ -168,3 +168,19 @@ def test_sample_independent_of_chunks_and_buckets(spark, inputs):
     base = _rows(inputs.sampled)
     tiny = sampling.sample_per_query(inputs.cart_adds, 0.2, 1, rows_per_bucket=5, draws_per_chunk=3)
     assert _rows(tiny) == base
+
+
+def test_typed_scans_from_parquet_and_catalog(spark, inputs):
+    from ranklift.sources import tables
+
+    path = tempfile.mkdtemp(prefix="ranklift-src-", dir="/tmp") + "/cart_events"
+    inputs.cart_events.write.mode("overwrite").partitionBy("event_dt").parquet(path)
+    back = tables.scan_cart_events(spark, path)
+    assert back.columns == inputs.cart_events.columns
+    assert back.count() == inputs.cart_events.count()
+    # the day window prunes partitions of a day-partitioned table
+    adds = cleaning.clean_cart_adds(back, Window("19980101", "19980131"))
+    plan = adds._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_dt" in plan
+    inputs.cart_events.createOrReplaceTempView("cart_events_view")
+    assert tables.scan_cart_events(spark, "cart_events_view").count() == back.count()
