@@ -71,7 +71,7 @@ def cart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _dirt(F.col("o_orderkey"))
     q = _query_text(F.col("o_orderpriority"), F.col("o_orderkey"))
     out = rows.select(
-        F.date_format("o_orderdate", "yyyyMMdd").alias("event_dt"),
+        F.date_format(F.to_date("o_orderdate"), "yyyyMMdd").alias("event_dt"),
         _dirty_user(d, F.col("o_custkey")).alias("userid"),
         F.concat(F.lit("C"), F.col("o_orderkey").cast("string")).alias("correlation_id"),
         _dirty_query(d, q).alias("search_query"),
