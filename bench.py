@@ -36,7 +36,9 @@ def main() -> None:
     from ranklift.plans.registry import QUERIES
     from ranklift.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)), app="ranklift-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+    spark = local_session(cores=cpus, shuffle_partitions=parts, app="ranklift-bench")
+    input_rows = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("lineitem", "orders", "part", "customer", "embeddings")}
     times: dict[str, float] = {}
     for name in names:
         fn = QUERIES[name]
@@ -59,6 +61,8 @@ def main() -> None:
                 "queries": times,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": int(cpus),
+                "shuffle_partitions": parts,
+                "input_rows": input_rows,
                 "spark": spark.version,
                 "reps": reps,
             }
