@@ -3,9 +3,9 @@
 The rank metrics are defined over *all* candidate items of each user, so every
 (user, item) score has to be computed; materialising them as rows would be
 quadratic. Instead users and items are packed into bounded blocks (hash of the
-id, ``user_block`` / ``item_block`` rows each, 512 / 2048 by default), each (user block, item block)
-pair is scored by one dense numpy matmul inside ``mapInArrow``, and only two
-small things leave the task per user:
+id; ``user_block`` / ``item_block`` rows each, 512 / 2048 by default), each
+(user block, item block) pair is scored by one dense numpy matmul inside
+``mapInArrow``, and only two small things leave the task per user:
 
 * the block's top-k items under the total order (key desc, itemid asc);
 * the block's top score levels ``(key, count, gain sum)`` covering the first k
@@ -219,8 +219,8 @@ def score_top_levels(
 
     users: ``(userid, features)``; items: ``(itemid, features)``;
     ratings: ``(userid, itemid, rating)`` (relevance; absent pairs have 0).
-    Returns rows of ``OUT_SCHEMA`` (to be merged by ``merge_top_items`` /
-    ``merge_levels``).
+    Returns rows of ``OUT_SCHEMA``, merged across item blocks by
+    ``rank_metrics.Scored.top_items`` / ``Scored.levels``.
     """
     check_metric(metric)
     if n_users is None:
