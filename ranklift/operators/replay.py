@@ -52,6 +52,13 @@ def lookup_vectors(keys: DataFrame, key_col: str, factors: DataFrame, out_col: s
     return joined.withColumn(out_col, F.coalesce(F.col(out_col), constant_vector(fill, rank)))
 
 
+def _score_back(merged: DataFrame, scored: DataFrame, extra: list[str]) -> DataFrame:
+    """Join per-pair scores back onto the merged rows (null-safe: a shown SKU may be NULL)."""
+    s = scored.select(F.col("userid").alias("_su"), F.col("imp_itemid").alias("_si"), *extra)
+    cond = merged["userid"].eqNullSafe(s["_su"]) & merged["imp_itemid"].eqNullSafe(s["_si"])
+    return merged.join(s, cond, "inner").drop("_su", "_si")
+
+
 def predict_pairs(
     merged: DataFrame,
     user_factors: DataFrame,
@@ -60,12 +67,19 @@ def predict_pairs(
     cold_start: str = "minus_one",
     rank: int | None = None,
 ) -> DataFrame:
-    """Score every (user, shown item) row: dot product or euclidean distance."""
+    """Score every (user, shown item) row: dot product or euclidean distance.
+
+    Each distinct (user, item) pair is scored once (a result list repeats once
+    per add of its search) and only the scalar travels back to the rows, so
+    the vectors are shuffled with the pairs, not with every merged row.
+    """
     check_metric(metric)
     rank = rank or factor_rank(item_factors)
-    with_u = lookup_vectors(merged, "userid", user_factors, "_u", rank, cold_start)
+    pairs = merged.select("userid", "imp_itemid").distinct()
+    with_u = lookup_vectors(pairs, "userid", user_factors, "_u", rank, cold_start)
     with_i = lookup_vectors(with_u, "imp_itemid", item_factors, "_i", rank, cold_start)
-    return with_i.withColumn("prediction", score(metric, "_u", "_i")).drop("_u", "_i")
+    scored = with_i.select("userid", "imp_itemid", score(metric, "_u", "_i").alias("prediction"))
+    return _score_back(merged, scored, ["prediction"])
 
 
 def predict_pairs_all(
@@ -80,13 +94,19 @@ def predict_pairs_all(
     for m in metrics:
         check_metric(m)
     rank = rank or factor_rank(item_factors)
-    with_u = lookup_vectors(merged, "userid", user_factors, "_u", rank, cold_start)
+    pairs = merged.select("userid", "imp_itemid").distinct()
+    with_u = lookup_vectors(pairs, "userid", user_factors, "_u", rank, cold_start)
     with_i = lookup_vectors(with_u, "imp_itemid", item_factors, "_i", rank, cold_start)
-    per_metric = F.explode(
-        F.array(*[F.struct(F.lit(m).alias("metric"), score(m, "_u", "_i").alias("prediction")) for m in metrics])
+    scored = with_i.select(
+        "userid",
+        "imp_itemid",
+        F.array(*[F.struct(F.lit(m).alias("metric"), score(m, "_u", "_i").alias("prediction")) for m in metrics]).alias(
+            "_scores"
+        ),
     )
-    return with_i.select("*", per_metric.alias("_m")).select(
-        *[c for c in merged.columns], F.col("_m.metric").alias("metric"), F.col("_m.prediction").alias("prediction")
+    back = _score_back(merged, scored, ["_scores"])
+    return back.select(*merged.columns, F.explode("_scores").alias("_m")).select(
+        *merged.columns, F.col("_m.metric").alias("metric"), F.col("_m.prediction").alias("prediction")
     )
 
 
