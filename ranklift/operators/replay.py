@@ -59,6 +59,21 @@ def _score_back(merged: DataFrame, scored: DataFrame, extra: list[str]) -> DataF
     return merged.join(s, cond, "inner").drop("_su", "_si")
 
 
+BROADCAST_BYTES = 64 << 20
+
+
+def _factors_fit_broadcast(user_factors: DataFrame, item_factors: DataFrame, rank: int, bound: int) -> bool:
+    """Checked size of both factor tables (rows x rank x 8 bytes) against ``bound``."""
+    return (user_factors.count() + item_factors.count()) * rank * 8 <= bound
+
+
+def _attach_vectors(rows: DataFrame, users: DataFrame, items: DataFrame, rank: int, cold_start: str, small: bool) -> DataFrame:
+    if small:
+        users, items = F.broadcast(users), F.broadcast(items)
+    with_u = lookup_vectors(rows, "userid", users, "_u", rank, cold_start)
+    return lookup_vectors(with_u, "imp_itemid", items, "_i", rank, cold_start)
+
+
 def predict_pairs(
     merged: DataFrame,
     user_factors: DataFrame,
@@ -66,18 +81,22 @@ def predict_pairs(
     metric: str,
     cold_start: str = "minus_one",
     rank: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Score every (user, shown item) row: dot product or euclidean distance.
 
-    Each distinct (user, item) pair is scored once (a result list repeats once
-    per add of its search) and only the scalar travels back to the rows, so
-    the vectors are shuffled with the pairs, not with every merged row.
+    Factor tables under the checked ``broadcast_bytes`` are broadcast and the
+    rows never move. Beyond it, each distinct (user, item) pair is scored once
+    (a result list repeats once per add of its search) and only the scalar is
+    joined back, so the vectors are shuffled with the pairs, not with every row.
     """
     check_metric(metric)
     rank = rank or factor_rank(item_factors)
+    if _factors_fit_broadcast(user_factors, item_factors, rank, broadcast_bytes):
+        rows = _attach_vectors(merged, user_factors, item_factors, rank, cold_start, True)
+        return rows.withColumn("prediction", score(metric, "_u", "_i")).drop("_u", "_i")
     pairs = merged.select("userid", "imp_itemid").distinct()
-    with_u = lookup_vectors(pairs, "userid", user_factors, "_u", rank, cold_start)
-    with_i = lookup_vectors(with_u, "imp_itemid", item_factors, "_i", rank, cold_start)
+    with_i = _attach_vectors(pairs, user_factors, item_factors, rank, cold_start, False)
     scored = with_i.select("userid", "imp_itemid", score(metric, "_u", "_i").alias("prediction"))
     return _score_back(merged, scored, ["prediction"])
 
@@ -89,22 +108,20 @@ def predict_pairs_all(
     metrics=("dot_product", "euclidean_distance"),
     cold_start: str = "minus_one",
     rank: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Both scores from one vector lookup: one row per (merged row, metric)."""
     for m in metrics:
         check_metric(m)
     rank = rank or factor_rank(item_factors)
-    pairs = merged.select("userid", "imp_itemid").distinct()
-    with_u = lookup_vectors(pairs, "userid", user_factors, "_u", rank, cold_start)
-    with_i = lookup_vectors(with_u, "imp_itemid", item_factors, "_i", rank, cold_start)
-    scored = with_i.select(
-        "userid",
-        "imp_itemid",
-        F.array(*[F.struct(F.lit(m).alias("metric"), score(m, "_u", "_i").alias("prediction")) for m in metrics]).alias(
-            "_scores"
-        ),
-    )
-    back = _score_back(merged, scored, ["_scores"])
+    scores = F.array(*[F.struct(F.lit(m).alias("metric"), score(m, "_u", "_i").alias("prediction")) for m in metrics])
+    if _factors_fit_broadcast(user_factors, item_factors, rank, broadcast_bytes):
+        rows = _attach_vectors(merged, user_factors, item_factors, rank, cold_start, True)
+        back = rows.select(*merged.columns, scores.alias("_scores"))
+    else:
+        pairs = merged.select("userid", "imp_itemid").distinct()
+        with_i = _attach_vectors(pairs, user_factors, item_factors, rank, cold_start, False)
+        back = _score_back(merged, with_i.select("userid", "imp_itemid", scores.alias("_scores")), ["_scores"])
     return back.select(*merged.columns, F.explode("_scores").alias("_m")).select(
         *merged.columns, F.col("_m.metric").alias("metric"), F.col("_m.prediction").alias("prediction")
     )

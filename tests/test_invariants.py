@@ -184,3 +184,14 @@ def test_typed_scans_from_parquet_and_catalog(spark, inputs):
     assert "PartitionFilters: [isnotnull(event_dt" in plan
     inputs.cart_events.createOrReplaceTempView("cart_events_view")
     assert tables.scan_cart_events(spark, "cart_events_view").count() == back.count()
+
+
+def test_prediction_paths_agree(spark, inputs):
+    from ranklift.operators import replay
+
+    small = replay.predict_pairs_all(inputs.merged, inputs.user_factors, inputs.item_factors, rank=inputs.rank)
+    large = replay.predict_pairs_all(inputs.merged, inputs.user_factors, inputs.item_factors, rank=inputs.rank, broadcast_bytes=0)
+    cols = [*inputs.merged.columns, "metric", F.round("prediction", 9)]
+    assert _rows(small.select(cols)) == _rows(large.select(cols))
+    one = replay.predict_pairs(inputs.merged, inputs.user_factors, inputs.item_factors, "dot_product", broadcast_bytes=0)
+    assert one.count() == inputs.merged.count()
