@@ -196,6 +196,8 @@ def _frequencies(chunks: DataFrame, percent: int) -> DataFrame:
     parts = groups(chunks.sparkSession)
     asked = chunks.mapInArrow(functools.partial(_requests, parts=parts), "r int, chunk string, size long, tokens binary, counts binary")
     replies = cut(asked.groupBy("r").applyInPandas(_replies, "chunk string, r int, size long, classes binary"))
+    del asked
+    release(chunks.sparkSession)
     per_chunk = replies.groupBy("chunk").agg(F.collect_list(F.struct("r", "size", "classes")).alias("replies"))  # one entry per token range
     found = chunks.select("chunk", "n", "sid", "tokens").join(per_chunk, "chunk").mapInArrow(functools.partial(_survivors, percent=percent), "sid long, n long, prefix array<bigint>, tokens binary")
     return cut(found.dropDuplicates(["sid"]))
@@ -245,6 +247,7 @@ def _linked(sets: DataFrame, percent: int, leaders: int = 2) -> DataFrame:
     met = met.select("b", "nb", F.col("l.sid").alias("a"), F.col("l.n").alias("na")).where(size_ok & (F.col("a") != F.col("b")))
     links = cut(_links(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets, percent))
     first = cut(components(links))
+    release(sets.sparkSession)
     # Members of one bucket that are still apart: every such pair is verified. A pair's
     # first common token in the common order passes the bound on what can still be shared.
     label = rows.join(first.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
