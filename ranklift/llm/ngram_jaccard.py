@@ -165,7 +165,7 @@ def prefix_length(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
-_SURVIVOR = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), ("tokens", pa.binary())])
+_SURVIVOR = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("lone", pa.int64()), ("prefix", pa.list_(pa.int64())), ("tokens", pa.binary())])
 
 
 def _survivors(batches, percent: int):
@@ -182,11 +182,11 @@ def _survivors(batches, percent: int):
             lone = _sum_runs((cls == 1).astype(np.int64), sizes)
             need = prefix_length(sizes, percent)
             ends = np.cumsum(sizes)
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[] for _ in _SURVIVOR]
             for i in np.flatnonzero((sizes > 0) & (lone < need)):
                 mine, c = tokens[ends[i] - sizes[i] : ends[i]], cls[ends[i] - sizes[i] : ends[i]]
                 order = np.argsort((c << np.uint64(BITS)) | mine)[lone[i] : need[i]]
-                for x, v in zip(out, (sid[i], sizes[i], mine[order].view(np.int64), _deltas(mine, sizes[i : i + 1]))):
+                for x, v in zip(out, (sid[i], sizes[i], lone[i], mine[order].view(np.int64), _deltas(mine, sizes[i : i + 1]))):
                     x.append(v)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(out, _SURVIVOR)], schema=_SURVIVOR)
@@ -199,8 +199,10 @@ def _frequencies(chunks: DataFrame, percent: int) -> DataFrame:
     del asked
     release(chunks.sparkSession)
     per_chunk = replies.groupBy("chunk").agg(F.collect_list(F.struct("r", "size", "classes")).alias("replies"))  # one entry per token range
-    found = chunks.select("chunk", "n", "sid", "tokens").join(per_chunk, "chunk").mapInArrow(functools.partial(_survivors, percent=percent), "sid long, n long, prefix array<bigint>, tokens binary")
-    return cut(found.dropDuplicates(["sid"]))
+    found = chunks.select("chunk", "n", "sid", "tokens").join(per_chunk, "chunk").mapInArrow(functools.partial(_survivors, percent=percent), "sid long, n long, lone long, prefix array<bigint>, tokens binary")
+    found = cut(found)
+    del per_chunk, replies
+    return found
 
 
 def _verified(batches, percent: int):
@@ -237,10 +239,13 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _linked(sets: DataFrame, percent: int, leaders: int = 2) -> DataFrame:
     """(node, component) of every set that links with another one."""
     size_ok = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-    rows = sets.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
+    rows = sets.select("sid", "n", "lone", F.posexplode("prefix").alias("pos", "token"))
 
     def rank(k: int) -> Column:
-        return F.struct(F.xxhash64(F.lit(k), "sid").alias("h"), "sid", "n")
+        # the first leader is the set with the smallest share of tokens that no other has: the
+        # text that a group's copies were made from, if it is there, or the nearest to it
+        order = F.floor(F.col("lone") * 1000 / F.col("n")) if k == 0 else F.lit(0).cast("long")
+        return F.struct(order.alias("o"), F.xxhash64(F.lit(k), "sid").alias("h"), "sid", "n")
 
     heads = rows.groupBy("token").agg(F.count("*").alias("size"), *(F.min(rank(k)).alias(f"l{k}") for k in range(leaders))).where("size > 1")
     met = rows.join(heads.drop("size"), "token").select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.explode(F.array(*(F.col(f"l{k}") for k in range(leaders)))).alias("l"))
@@ -249,9 +254,10 @@ def _linked(sets: DataFrame, percent: int, leaders: int = 2) -> DataFrame:
     first = cut(components(links))
     release(sets.sparkSession)
     # Members of one bucket that are still apart: every such pair is verified. A pair's
-    # first common token in the common order passes the bound on what can still be shared.
+    # first common token in the common order passes the bound on what can still be shared:
+    # tokens that no other set has come first in that order and are never shared.
     label = rows.join(first.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    label = cut(label.select("token", "sid", "n", "component", (F.col("n") - F.col("pos")).alias("rest")))
+    label = cut(label.select("token", "sid", "n", "component", (F.col("n") - F.col("lone") - F.col("pos")).alias("rest")))
     mixed = label.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
     open_rows = label.join(mixed, "token", "left_semi")
     x = open_rows.select("token", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("rest").alias("ra"))
@@ -271,6 +277,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, chunk_bytes:
     sets = _frequencies(chunks, percent)
     del chunks
     release(docs.sparkSession)
+    sets = cut(sets.dropDuplicates(["sid"]))
+    release(docs.sparkSession)
     linked = _linked(sets, percent)
     rows = rows.join(linked.withColumnRenamed("node", "sid"), "sid", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("component", "sid")))
     lowest = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("low"))
