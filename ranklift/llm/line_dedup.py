@@ -26,16 +26,22 @@ from pyspark.sql import functions as F
 
 from ranklift.llm.storage import cut, release
 
-PLACE = F.struct("doc_id", "text_hash", "line_no")
+PLACE = ("doc_id", "text_hash", "line_no")
+HALVES = ("h0", "h1", "h2", "h3")
 
 
-def _half_keys(words: Column, n: Column) -> Column:
+def _half_keys(words: Column, n: Column) -> list[Column]:
     """Hashes of the first and last h words, for the h a line and a partner within the bound
     both use: half the length of the shorter."""
     keys = []
     for h in (F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")):
         keys += [F.xxhash64(F.lit("first"), h, F.slice(words, 1, h)), F.xxhash64(F.lit("last"), h, F.slice(words, n - h + 1, h))]
-    return F.array_distinct(F.array(*keys))
+    return keys
+
+
+def _same_place(left: str, right: str) -> Column:
+    same = [F.col(f"{left}{c}").eqNullSafe(F.col(f"{right}{c}")) for c in PLACE]
+    return same[0] & same[1] & same[2]
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -50,15 +56,19 @@ def _line_id() -> list[Column]:
 
 
 def _variants(words: DataFrame) -> DataFrame:
-    """(k1, k2, first, n, pos, key, whole): key of the line without word ``pos``, and of the
-    whole line."""
-    rows = words.select("k1", "k2", "first", "n", F.posexplode("words").alias("pos", "word"))
-    rows = rows.select("k1", "k2", "first", "n", "pos", F.xxhash64("word", "pos").alias("stay"), F.xxhash64("word", F.col("pos") - 1).alias("move"))
-    by_line = Window.partitionBy("k1", "k2")
-    run = by_line.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.select("*", F.bit_xor("stay").over(run).alias("stayed"), F.bit_xor("move").over(run).alias("moved"), F.bit_xor("stay").over(by_line).alias("whole"), F.bit_xor("move").over(by_line).alias("all_moved"))
+    """(place, n, pos, key): key of the line without word ``pos``."""
+    rows = words.select(*PLACE, "n", F.posexplode("words").alias("pos", "word"))
+    rows = rows.select(*PLACE, "n", "pos", F.xxhash64("word", "pos").alias("stay"), F.xxhash64("word", F.col("pos") - 1).alias("move"))
+    by_line = Window.partitionBy(*PLACE).orderBy("pos")
+    run, rest = by_line.rowsBetween(Window.unboundedPreceding, Window.currentRow), by_line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.select("*", F.bit_xor("stay").over(run).alias("stayed"), F.bit_xor("move").over(run).alias("moved"), F.bit_xor("move").over(rest).alias("all_moved"))
     key = F.col("stayed").bitwiseXOR(F.col("stay")).bitwiseXOR(F.col("all_moved")).bitwiseXOR(F.col("moved"))
-    return rows.select("k1", "k2", "first", "n", "pos", key.alias("key"), "whole")
+    return rows.select(*PLACE, "n", "pos", key.alias("key"))
+
+
+def _whole(words: Column) -> Column:
+    """The same key of a whole line."""
+    return F.aggregate(F.transform(words, lambda w, i: F.xxhash64(w, i)), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
 
 
 def _within_one(a: Column, b: Column) -> Column:
@@ -71,49 +81,52 @@ def _within_one(a: Column, b: Column) -> Column:
     return (F.abs(n - m) <= 1) & ((tail <= 0) | (F.slice(a, n - tail + 1, F.greatest(tail, F.lit(0))) == F.slice(b, m - tail + 1, F.greatest(tail, F.lit(0)))))
 
 
-def duplicate_lines(docs: DataFrame, min_words: int = 3, min_near: int = 10) -> DataFrame:
+def duplicate_lines(docs: DataFrame, min_words: int = 3, min_near: int = 10, broadcast_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, text_hash, line_no, kind, first): the lines that go, ``kind`` "exact" or
-    "near", and the place of the earlier line each repeats."""
+    "near", and the place of the earlier line each repeats. The list of lines whose words are
+    read again is broadcast when its (counted) rows take up to ``broadcast_bytes``."""
     spark = docs.sparkSession
     split = lines(docs).select("*", *_line_id(), F.split("line", " ").alias("words"))
     n = F.size("words")
-    rows = split.where(n >= min_words).select("doc_id", "text_hash", "line_no", "k1", "k2", n.alias("n"), F.when(n >= min_near, _half_keys(F.col("words"), n)).alias("halves"))
-    rows = cut(rows)
-    unlike = cut(rows.groupBy("k1", "k2").agg(F.min(PLACE).alias("first"), F.count("*").alias("size"), F.min("n").alias("n"), F.min("halves").alias("halves")))
-
-    halves = unlike.where("halves is not null").select("k1", "k2", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("size")).where("size > 1").select("half")
-    near = halves.join(shared, "half", "left_semi").select("k1", "k2").distinct().join(unlike.select("k1", "k2", "first", "n"), ["k1", "k2"])
-    place = near.select(*(F.col(f"first.{c}").alias(c) for c in ("doc_id", "text_hash", "line_no")), "k1", "k2", "first", "n")
+    keys = [F.when(n >= min_near, k).alias(h) for h, k in zip(HALVES, _half_keys(F.col("words"), n))]
+    rows = cut(split.where(n >= min_words).select(*PLACE, "k1", "k2", n.alias("n"), *keys))
+    unlike = rows.groupBy("k1", "k2").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("size"), F.min("n").alias("n"), *(F.min(h).alias(h) for h in HALVES))
+    unlike = cut(unlike.select("k1", "k2", *(F.col(f"first.{c}").alias(c) for c in PLACE), "size", "n", *HALVES))
+    release(spark)
+
+    halves = unlike.where("n >= %d" % min_near).select("k1", "k2", F.explode(F.array_distinct(F.array(*HALVES))).alias("half"))
+    shared = halves.groupBy("half").agg(F.count("*").alias("times")).where("times > 1").select("half")
+    near = halves.join(shared, "half", "left_semi").select("k1", "k2").distinct()
+    near = cut(near.join(unlike.select("k1", "k2", *PLACE), ["k1", "k2"]).select("k1", "k2", *(F.col(c).alias(f"__{c}") for c in PLACE)))
+    release(spark)
     # the words of those lines, read from where each stands first
-    on = [F.col("k1") == F.col("j1"), F.col("k2") == F.col("j2"), F.col("doc_id").eqNullSafe(F.col("__doc")), F.col("text_hash") == F.col("__hash"), F.col("line_no") == F.col("__line")]
-    found = place.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("line_no").alias("__line"), F.col("k1").alias("j1"), F.col("k2").alias("j2"), "first", "n")
-    texts = lines(docs).select("*", *_line_id())
-    words = texts.join(found, on).select("k1", "k2", "first", "n", F.split("line", " ").alias("words")).dropDuplicates(["k1", "k2"])
-    words = cut(words)
+    ship = F.broadcast if near.count() * 48 <= broadcast_bytes else (lambda df: df)
+    texts = lines(docs).select("*", *_line_id()).join(ship(near), ["k1", "k2"]).where(_same_place("", "__"))
+    words = cut(texts.select("k1", "k2", *PLACE, F.split("line", " ").alias("words")).withColumn("n", F.size("words")).dropDuplicates(["k1", "k2"]))
+    release(spark)
     variants = cut(_variants(words))
     release(spark)
 
-    me = F.struct("first", "k1", "k2")
+    me = F.struct(*PLACE)
     # substitutions: the same position lost, so all of a key are one edit apart
-    same = variants.groupBy("key", "pos", "n").agg(F.min(me).alias("other"), F.count("*").alias("size")).where("size > 1")
-    subst = variants.join(same, ["key", "pos", "n"]).select("k1", "k2", "first", "other")
+    same = variants.groupBy("key", "pos", "n").agg(F.min(me).alias("other"), F.count("*").alias("times")).where("times > 1").drop("times")
+    subst = variants.join(same, ["key", "pos", "n"]).select(me.alias("line"), "other")
     # insertions: a line that is a variant of another
-    whole = variants.where("pos = 0").select(F.col("whole").alias("key"), (F.col("n") + 1).alias("n"), me.alias("short"))
-    grown = variants.select("key", "n", me.alias("long")).distinct().join(whole, ["key", "n"])
-    longer = grown.select("long.k1", "long.k2", "long.first", F.col("short").alias("other"))
-    shorter = grown.groupBy("short").agg(F.min("long").alias("other")).select("short.k1", "short.k2", "short.first", "other")
-    met = subst.union(longer).union(shorter).where("other.first < first").groupBy("k1", "k2").agg(F.min("other").alias("other"))
-    mine = words.select("k1", "k2", F.col("words").alias("mine"))
-    theirs = words.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("words").alias("theirs"))
-    checked = met.select("k1", "k2", F.col("other.k1").alias("o1"), F.col("other.k2").alias("o2"), F.col("other.first").alias("near_first")).join(mine, ["k1", "k2"]).join(theirs, ["o1", "o2"])
-    checked = checked.where(_within_one(F.col("mine"), F.col("theirs"))).select("k1", "k2", "near_first")
-
-    fate = unlike.join(checked, ["k1", "k2"], "left").where("size > 1 or near_first is not null").select("k1", "k2", "first", "near_first")
-    gone = rows.select("doc_id", "text_hash", "line_no", "k1", "k2").join(fate, ["k1", "k2"])
-    gone = gone.where(F.col("near_first").isNotNull() | ~F.col("first").eqNullSafe(PLACE))
-    exact = ~F.col("first").eqNullSafe(PLACE)
-    return gone.select("doc_id", "text_hash", "line_no", F.when(exact, "exact").otherwise("near").alias("kind"), F.when(exact, F.col("first")).otherwise(F.col("near_first")).alias("first"))
+    whole = words.select(_whole(F.col("words")).alias("key"), (F.col("n") + 1).alias("n"), me.alias("short"))
+    grown = variants.join(whole, ["key", "n"]).select(me.alias("long"), "short").distinct()
+    shorter = grown.groupBy("short").agg(F.min("long").alias("other"))
+    met = subst.union(grown).union(shorter).where("other < line").groupBy("line").agg(F.min("other").alias("other"))
+    met = met.select(*(F.col(f"line.{c}").alias(f"l_{c}") for c in PLACE), *(F.col(f"other.{c}").alias(f"o_{c}") for c in PLACE))
+    mine = words.select("k1", "k2", *PLACE, F.col("words").alias("mine"))
+    theirs = words.select(*(F.col(c).alias(f"t_{c}") for c in PLACE), F.col("words").alias("theirs"))
+    checked = met.join(mine, _same_place("l_", "")).join(theirs, _same_place("o_", "t_")).where(_within_one(F.col("mine"), F.col("theirs")))
+    checked = checked.select("k1", "k2", F.struct(*(F.col(f"o_{c}").alias(c) for c in PLACE)).alias("near_first"))
+
+    fate = unlike.join(checked, ["k1", "k2"], "left").where("size > 1 or near_first is not null").select("k1", "k2", me.alias("first"), "near_first")
+    gone = rows.select(*PLACE, "k1", "k2").join(fate, ["k1", "k2"])
+    exact = ~F.col("first").eqNullSafe(me)
+    gone = gone.where(F.col("near_first").isNotNull() | exact)
+    return gone.select(*PLACE, F.when(exact, "exact").otherwise("near").alias("kind"), F.when(exact, F.col("first")).otherwise(F.col("near_first")).alias("first"))
 
 
 def drop_duplicate_lines(docs: DataFrame, min_words: int = 3, min_near: int = 10) -> DataFrame:
