@@ -18,6 +18,7 @@ ignored.
 from __future__ import annotations
 
 import functools
+import os
 import zlib
 
 import numpy as np
@@ -27,53 +28,92 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ranklift.llm.storage import cut, release
-from ranklift.llm.words import in_runs, word_hashes
+from ranklift.llm.words import word_hashes
 
-_TOKENIZERS: dict[str, tuple] = {}
-_CACHE_WORDS = 400_000  # ids of this many words are kept by a worker
+_CACHES: dict = {}
+_AT_ONCE = 200  # words that the tokenizer gets in one string
+_SLICE = 16 << 20  # bytes of text that are worked off together
+_KEEP = 2_000_000  # words whose ids a worker keeps from slice to slice
+_MARK = "#"  # stands between words; those that hold it are encoded apart
 
 
-def _tokenizer(path: str):
-    if path not in _TOKENIZERS:
+class _Words:
+    """Ids of the distinct words a worker has seen, by word hash."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path] = (Tokenizer.from_file(path), {})
-    return _TOKENIZERS[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.begin, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per word); none of the words holds white space."""
+        plain = [i for i, w in enumerate(words) if _MARK not in w] if self.mark is not None else []
+        other = [i for i, w in enumerate(words) if _MARK in w] if self.mark is not None else list(range(len(words)))
+        between = f" {_MARK} "
+        lists = self.tokenizer.encode_batch_fast([between.join([words[i] for i in plain[a : a + _AT_ONCE]]) + between for a in range(0, len(plain), _AT_ONCE)], add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(x.ids, np.uint32) for x in lists)])
+        ends = np.flatnonzero(ids == self.mark) if self.mark is not None else np.zeros(0, np.int64)
+        sizes = np.zeros(len(words), np.int64)
+        sizes[plain] = np.diff(ends, prepend=-1) - 1
+        singles = [x.ids for x in self.tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False)]
+        sizes[other] = [len(x) for x in singles]
+        out = np.zeros(int(sizes.sum()), np.uint32)
+        is_other = np.zeros(len(words), bool)
+        is_other[other] = True
+        apart = np.repeat(is_other, sizes)
+        out[~apart] = np.delete(ids, ends)
+        out[apart] = [x for xs in singles for x in xs]
+        return out, sizes
+
+    def learn(self, hashes: np.ndarray, word_at) -> np.ndarray:
+        """Places of the sorted ``hashes``; ``word_at`` gives the words at the given indices."""
+        if len(self.hashes) > _KEEP:
+            self.clear()
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        new = np.flatnonzero(~known)
+        if len(new):
+            flat, size = self.encode(word_at(new))
+            begin = np.cumsum(size) - size + len(self.flat)
+            all_hashes = np.concatenate([self.hashes, hashes[new]])
+            order = np.argsort(all_hashes, kind="stable")
+            self.hashes, self.begin, self.size = all_hashes[order], np.concatenate([self.begin, begin])[order], np.concatenate([self.size, size])[order]
+            self.flat = np.concatenate([self.flat, flat])
+            at = np.searchsorted(self.hashes, hashes)
+        return at
 
 
 def encode(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, ids per text), each text followed by ``end_id``.
 
-    The tokenizer splits at white space, so every distinct word of a batch is encoded once and
-    its ids are copied to where it stands. White space other than space and \\t to \\r stays
-    inside what is encoded.
+    The tokenizer splits at white space, so every distinct word is encoded once and its ids are
+    copied to where it stands. White space other than space and \\t to \\r stays inside what is
+    encoded.
     """
-    tokenizer, known = _tokenizer(path)
+    if path not in _CACHES:
+        _CACHES[path] = _Words(path)
+    cache = _CACHES[path]
     hashes, before, start, stop, raw = word_hashes(texts, lower=False, spans=True)
-    names, first, at = np.unique(hashes, return_index=True, return_inverse=True)
-    names = names.tolist()
-    new = [i for i, h in enumerate(names) if h not in known]
-    fresh: dict = {}
-    if new:
-        data = raw.tobytes()
-        words = [data[start[first[i]] : stop[first[i]]].decode("utf-8") for i in new]
-        for a in range(0, len(words), 20_000):
-            for i, e in zip(new[a : a + 20_000], tokenizer.encode_batch(words[a : a + 20_000], add_special_tokens=False)):
-                fresh[names[i]] = np.array(e.ids, np.uint32)
-    ids = [fresh[h] if h in fresh else known[h] for h in names]
-    if len(known) + len(fresh) > _CACHE_WORDS:
-        known.clear()
-    known.update(fresh)
-    size = np.array([len(x) for x in ids], np.int64)
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-    begin = np.cumsum(size) - size
-    per_word = size[at]
+    unlike, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+    data = raw.data
+    at = cache.learn(unlike, lambda new: [bytes(data[x:y]).decode("utf-8") for x, y in zip(start[first[new]].tolist(), stop[first[new]].tolist())])
+    size, begin = cache.size[at], cache.begin[at]
+    per_word = size[place]
     total = np.concatenate([[0], np.cumsum(per_word)])
     per_text = total[before[1:]] - total[before[:-1]]
     out = np.full(int(per_text.sum()) + len(per_text), end_id, np.uint32)
     ends = np.zeros(len(out), bool)
     ends[np.cumsum(per_text + 1) - 1] = True
-    out[~ends] = flat[np.repeat(begin[at], per_word) + in_runs(per_word)]
+    out[~ends] = cache.flat[np.repeat(begin[place] - total[:-1], per_word) + np.arange(total[-1])]
     return out, per_text + 1
 
 
@@ -157,7 +197,7 @@ def _pack(batches, path: str, end_id: int, length: int, windows: int, with_ids:
         at = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
         a = 0
         while a < len(text):
-            b = max(a + 1, int(np.searchsorted(at, at[a] + (8 << 20), "right")) - 1)
+            b = max(a + 1, int(np.searchsorted(at, at[a] + _SLICE, "right")) - 1)
             ids, sizes = encode(text.slice(a, b - a), path, end_id)
             for doc, end, size in zip(batch.column("doc_id").slice(a, b - a).to_pylist(), np.cumsum(sizes).tolist(), sizes.tolist()):
                 state.add((doc, 0, ids[end - size : end], size))
