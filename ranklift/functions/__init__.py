@@ -5,7 +5,7 @@ from .columns import (  # noqa: F401
     NULL_TOKENS,
     USER_SENTINEL,
     half_even,
-    md5_u32,
+    md5_u60,
     normalized_query,
     parse_day,
     safe_div,

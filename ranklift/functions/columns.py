@@ -44,6 +44,6 @@ def half_even(c: Column, digits: int) -> Column:
     return F.bround(c, digits)
 
 
-def md5_u32(c: Column) -> Column:
-    """First 32 bits of ``md5(c)`` as a non-negative bigint (portable to SQL engines)."""
-    return F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("bigint")
+def md5_u60(c: Column) -> Column:
+    """First 60 bits of ``md5(c)`` as a non-negative bigint (portable to SQL engines)."""
+    return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("bigint")

@@ -53,8 +53,8 @@ def dense_index(values: DataFrame, columns, index_col: str = "idx", partitions:
 
 
 def row_hash(*cols: Column) -> Column:
-    """32-bit md5 prefix of ``concat_ws('|', cols)`` (same value in any SQL engine)."""
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *cols)), 1, 8), 16, 10).cast("bigint")
+    """60-bit md5 prefix of ``concat_ws('|', cols)`` (same value in any SQL engine)."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *cols)), 1, 15), 16, 10).cast("bigint")
 
 
 def number_within(
@@ -74,16 +74,9 @@ def number_within(
     """
     if sizes is None:
         sizes = group_sizes(df, group, size_col)
-    largest = sizes.agg(F.max(size_col).alias("m")).first()["m"]
-    if largest is None or largest <= rows_per_bucket:
-        # Every group fits one bucket: a single window gives the same numbering.
-        w = W.partitionBy(*group)
-        return df.withColumn(rn_col, F.row_number().over(w.orderBy(hash_col, *order)).cast("bigint")).withColumn(
-            size_col, F.count(F.lit(1)).over(w)
-        )
     sized = df.join(sizes, group)  # many-to-one; partial aggregation kept sizes small
     n_buckets = F.greatest(F.lit(1), F.ceil(F.col(size_col) / F.lit(float(rows_per_bucket)))).cast("bigint")
-    bucketed = sized.withColumn("_bucket", F.floor(F.col(hash_col) * n_buckets / F.lit(float(1 << 32))).cast("bigint"))
+    bucketed = sized.withColumn("_bucket", F.least(F.floor(F.col(hash_col) / F.lit(float(1 << 60)) * n_buckets).cast("bigint"), n_buckets - 1))
     w = W.partitionBy(*group, "_bucket").orderBy(hash_col, *order)
     local = bucketed.withColumn("_local", F.row_number().over(w))
     bucket_sizes = bucketed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_bn"))

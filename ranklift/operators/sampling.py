@@ -2,7 +2,7 @@
 
 Per query with ``len`` adds, ``n = floor(len * size)`` draws (queries with
 ``len * size < 1`` vanish, as in the reference). Draw ``d`` takes row
-``1 + md5_u32(seed|query|d) mod len`` of the query's rows numbered by
+``1 + md5_u60(seed|query|d) mod len`` of the query's rows numbered by
 ``(h, fecha, userid, correlation_id, a2c_itemid, a2c_position)`` where ``h`` is
 the md5 prefix of the row: deterministic, reproducible in plain SQL, and
 distributed (see ``numbering.number_within``).
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import md5_u32
+from ..functions import md5_u60
 from .numbering import group_sizes, number_within, row_hash
 
 ORDER = ["fecha", "userid", "correlation_id", "a2c_itemid", "a2c_position"]
@@ -70,7 +70,7 @@ def sample_per_query(
         "rn",
         F.lit(1)
         + F.pmod(
-            md5_u32(F.concat_ws("|", F.lit(str(seed)), F.col("search_query"), F.col("draw").cast("string"))),
+            md5_u60(F.concat_ws("|", F.lit(str(seed)), F.col("search_query"), F.col("draw").cast("string"))),
             F.col("_len"),
         ),
     )

@@ -203,8 +203,8 @@ _GROUP = "fecha, userid, correlation_id, search_query, a2c_itemid"
 _ON_GROUP = " AND ".join(f"a.{c} = b.{c}" for c in ["fecha", "userid", "correlation_id", "search_query", "a2c_itemid"])
 
 
-def _h32(expr: str) -> str:
-    return f"('0x' || substr(md5({expr}), 1, 8))::BIGINT"
+def _h60(expr: str) -> str:
+    return f"('0x' || substr(md5({expr}), 1, 15))::BIGINT"
 
 
 frag(
@@ -213,7 +213,7 @@ frag(
        row_number() OVER (PARTITION BY search_query
                           ORDER BY h, fecha, userid, correlation_id, a2c_itemid, a2c_position) AS rn,
        count(*) OVER (PARTITION BY search_query) AS len
-FROM (SELECT *, {_h32("concat_ws('|', CAST(fecha AS VARCHAR), userid, correlation_id, a2c_itemid, CAST(CAST(floor(a2c_position) AS BIGINT) AS VARCHAR))")} AS h
+FROM (SELECT *, {_h60("concat_ws('|', CAST(fecha AS VARCHAR), userid, correlation_id, a2c_itemid, CAST(CAST(floor(a2c_position) AS BIGINT) AS VARCHAR))")} AS h
       FROM cart_adds)""",
     "cart_adds",
 )
@@ -223,7 +223,7 @@ frag(
     f"""SELECT n.fecha, n.search_query, n.userid, n.correlation_id, n.a2c_itemid, n.a2c_position, d.draw
 FROM (
   SELECT search_query, draw,
-         1 + ({_h32("'" + str(CFG.sample_seed) + "|' || search_query || '|' || CAST(draw AS VARCHAR)")} % len) AS rn
+         1 + ({_h60("'" + str(CFG.sample_seed) + "|' || search_query || '|' || CAST(draw AS VARCHAR)")} % len) AS rn
   FROM (
     SELECT search_query, len, unnest(range(1, n + 1)) AS draw
     FROM (SELECT DISTINCT search_query, len,

@@ -43,14 +43,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only pick one when unset (tests,
-    single-machine sessions)."""
+    """The folder of ``spark.checkpoint.dir``. A session on one machine without that setting
+    (tests) gets a folder of its own; on a cluster its lack is an error, since executors do
+    not see each other's disks."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="ranklift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

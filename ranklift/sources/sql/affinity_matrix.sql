@@ -1,35 +1,21 @@
--- User x item affinity over a window of days.
--- Bound parameters: :init_date, :end_date ('YYYYMMDD'); never spliced into the text.
--- rating = 1 + sum over days of (share of the user's adds that day)
---            + sum over days of (share of the user's spend that day)
-WITH valid AS (
-  SELECT userid, item_id, price, to_date(event_dt, 'yyyyMMdd') AS event_day
+-- Affinity of users to items over the days :init_date to :end_date ('YYYYMMDD').
+-- One scan: per user, item and day the adds and the spend, each as a share of the user's day
+-- (a window over the day), summed over the days on top of 1.
+WITH bought AS (
+  SELECT userid, item_id, event_dt, count(*) AS adds, sum(price) AS spend
   FROM cart_events
-  WHERE event_dt BETWEEN :init_date AND :end_date
-    AND userid IS NOT NULL AND userid NOT IN ('null', '')
-    AND item_id IS NOT NULL AND item_id NOT IN ('(not set)', 'null', '')
+  WHERE event_dt >= :init_date AND event_dt <= :end_date
+    AND forall(array(userid, item_id), token -> token IS NOT NULL AND token NOT IN ('', 'null'))
+    AND item_id <> '(not set)'
+  GROUP BY ALL
 ),
-item_days AS (
-  SELECT userid, item_id AS itemid, event_day,
-         CASE WHEN count(*) > 0 THEN 1 ELSE 0 END AS interaccion,
-         count(*) AS n_items,
-         sum(price) AS total_price
-  FROM valid
-  GROUP BY userid, item_id, event_day
-),
-user_days AS (
-  SELECT userid, event_day, count(*) AS day_items, sum(price) AS day_price
-  FROM valid
-  GROUP BY userid, event_day
-),
-shares AS (
-  SELECT i.userid, i.itemid, i.interaccion,
-         try_divide(CAST(i.n_items AS DOUBLE), CAST(u.day_items AS DOUBLE)) AS item_share,
-         try_divide(i.total_price, u.day_price) AS price_share
-  FROM item_days i
-  JOIN user_days u ON u.userid = i.userid AND u.event_day = i.event_day
+share AS (
+  SELECT userid, item_id,
+         try_divide(CAST(adds AS DOUBLE), CAST(sum(adds) OVER one_day AS DOUBLE)) AS of_adds,
+         try_divide(spend, sum(spend) OVER one_day) AS of_spend
+  FROM bought
+  WINDOW one_day AS (PARTITION BY userid, event_dt)
 )
-SELECT userid, itemid, 1.0D + sum(item_share) + sum(price_share) AS affinity_score
-FROM shares
-WHERE interaccion = 1
-GROUP BY userid, itemid
+SELECT userid, item_id AS itemid, 1.0D + sum(of_adds) + sum(of_spend) AS affinity_score
+FROM share
+GROUP BY userid, item_id

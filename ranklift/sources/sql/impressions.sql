@@ -1,18 +1,10 @@
--- Shown search results of a window of days (a single day: bind :end_date = :init_date).
-WITH raw AS (
-  SELECT *, regexp_replace(request_term, '^\\s+|\\s+$', '') AS term_trimmed
+-- Shown search results of the days :init_date to :end_date ('YYYYMMDD', inclusive).
+-- A row counts when customer and correlation are known and the trimmed term has three characters.
+SELECT shown.SCL_CREATED_DATE, shown.customer_id, shown.correlation_id, lower(shown.term) AS search_query,
+       shown.response_item_number, shown.response_sku, shown.response_position, shown.response_name
+FROM (
+  SELECT *, regexp_replace(request_term, '^\\s+|\\s+$', '') AS term, array(customer_id, correlation_id) AS tokens
   FROM search_results
-  WHERE SCL_CREATED_DATE BETWEEN to_date(:init_date, 'yyyyMMdd') AND to_date(:end_date, 'yyyyMMdd')
-)
-SELECT SCL_CREATED_DATE,
-       customer_id,
-       correlation_id,
-       lower(term_trimmed) AS search_query,
-       response_item_number,
-       response_sku,
-       response_position,
-       response_name
-FROM raw
-WHERE length(term_trimmed) >= 3
-  AND correlation_id NOT IN ('null', '')
-  AND customer_id NOT IN ('null', '')
+  WHERE SCL_CREATED_DATE >= to_date(:init_date, 'yyyyMMdd') AND SCL_CREATED_DATE <= to_date(:end_date, 'yyyyMMdd')
+) AS shown
+WHERE forall(shown.tokens, token -> token NOT IN ('', 'null')) AND length(shown.term) > 2
