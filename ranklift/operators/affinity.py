@@ -4,11 +4,10 @@ rating(u, i) = 1 + sum over active days of  n(u,i,d) / n(u,d)  +  price(u,i,d) /
 
 Plan shape at scale: every aggregate is a ``groupBy`` with map-side partial
 aggregation, so a hot user or item is combined before it is shuffled. The
-user-day totals (one partial aggregate of the events to (user, day)) are
-re-joined to the item-day rows (many-to-one equi-join: AQE broadcasts the
-totals when they are small and splits a skewed side otherwise).
-``day_totals='window'`` swaps that join for a window over ``(userid, day)``
-(one exchange fewer, but a hot user-day is then one window partition).
+user-day totals are a window over the item-day rows, one scan in all: its
+partition holds the distinct items of one user's day. ``day_totals='join'``
+re-joins totals aggregated from a second scan instead, for sources where one
+user-day (a shop's own account, say) holds more items than a task should sort.
 """
 
 from __future__ import annotations
@@ -103,7 +102,7 @@ def affinity_scores(weights: DataFrame) -> DataFrame:
     )
 
 
-def affinity_matrix(events: DataFrame, window: Window, day_totals: str = "join") -> DataFrame:
+def affinity_matrix(events: DataFrame, window: Window, day_totals: str = "window") -> DataFrame:
     """Flagship: cleaned user-item matrix ``(userid, itemid, rating)``.
 
     NULL ratings are dropped (F12); rows are unique per (userid, itemid) by

@@ -12,8 +12,10 @@ id; ``user_block`` / ``item_block`` rows each, 512 / 2048 by default), each
   positions (needed for tie-averaged NDCG).
 
 Both merge exactly across blocks: a level or item in the global top-k is in the
-local top-k of every block that holds it. Output rows are O(users x k x item
-blocks), never O(users x items).
+local top-k of every block that holds it. A task merges them as it goes over the
+item blocks, so it emits O(users x k) rows, whatever the block size. Distances are
+computed directly for the items that may be kept; scores closer than
+``digits`` decimals count as ties (``None``: only equal ones).
 
 The item blocks are shipped once per worker (a broadcast) only when their
 size (items x rank x 8 bytes) is under ``broadcast_bytes``; otherwise the block
@@ -45,7 +47,7 @@ OUT_SCHEMA = T.StructType(
 )
 
 
-def _block_scorer(k: int, metric: str, item_blocks=None):
+def _block_scorer(k: int, metric: str, item_blocks=None, digits: int | None = KEY_DIGITS):
     """The per-task kernel. Self-contained (imports inside) so it ships by value.
 
     ``item_blocks``: a broadcast of ``[(ids, matrix), ...]`` when the item table
@@ -53,22 +55,13 @@ def _block_scorer(k: int, metric: str, item_blocks=None):
     block (``i_ids``, ``i_vecs``).
     """
     dot = metric == "dot_product"
-    digits = KEY_DIGITS
 
     def score_batches(batches):
         import numpy as np
         import pyarrow as pa
 
-        out_schema = pa.schema(
-            [
-                ("userid", pa.string()),
-                ("itemid", pa.string()),
-                ("key", pa.float64()),
-                ("score", pa.float64()),
-                ("gain", pa.float64()),
-                ("cnt", pa.int64()),
-            ]
-        )
+        types = [pa.string(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
+        out_schema = pa.schema(list(zip(("userid", "itemid", "key", "score", "gain", "cnt"), types)))
 
         def matrix(flat, n):
             return flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, -1)
@@ -76,115 +69,116 @@ def _block_scorer(k: int, metric: str, item_blocks=None):
         def strings(list_scalar):
             return np.asarray(list_scalar.values.to_pylist(), dtype=object)
 
-        def sorted_block(iids, V):
-            # Items sorted by id, so a stable order breaks key ties by itemid.
-            by_id = np.argsort(iids, kind="stable")
-            return iids[by_id], V[by_id]
+        def catalogue(blocks):
+            """All ids in order, id -> number, block and column of each number, (numbers, vectors) per block."""
+            ids = np.sort(np.concatenate([b for b, _ in blocks]))
+            number = {x: j for j, x in enumerate(ids)}
+            block, column, parts = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), []
+            for j, (b, v) in enumerate(blocks):
+                at = np.fromiter((number[x] for x in b), np.int64, len(b))
+                o = np.argsort(at)
+                block[at], column[at[o]] = j, np.arange(len(b))
+                parts.append((at[o], v[o]))
+            return ids, number, block, column, parts
 
         shared = None
         if item_blocks is not None:
-            shared = [sorted_block(np.asarray(ids, dtype=object), vecs) for ids, vecs in item_blocks.value]
+            shared = catalogue([(np.asarray(ids, dtype=object), vecs) for ids, vecs in item_blocks.value])
 
-        def score_pair(uids, U, iids, V, rel, parts):
-            nu, ni = len(uids), len(iids)
+        def first_of(rows, n):
+            return np.searchsorted(rows, np.arange(n))
+
+        def best_items(n, rows, item, key, raw, gain):
+            o = np.lexsort((item, -key, rows))
+            rows = rows[o]
+            sel = np.arange(len(rows)) - first_of(rows, n)[rows] < k
+            return rows[sel], *(x[o][sel] for x in (item, key, raw, gain))
+
+        def best_levels(n, rows, key, gain, cnt):
+            """Equal keys of a user added up; the levels that start within the first k places."""
+            o = np.lexsort((-key, rows))
+            rows, key = rows[o], key[o]
+            new = np.ones(len(rows), bool)
+            new[1:] = (rows[1:] != rows[:-1]) | (key[1:] != key[:-1])
+            st = np.flatnonzero(new)
+            rows, key, gain, cnt = rows[st], key[st], np.add.reduceat(gain[o], st), np.add.reduceat(cnt[o], st)
+            before = np.cumsum(cnt) - cnt
+            sel = before - before[first_of(rows, n)][rows] < k
+            return rows[sel], key[sel], gain[sel], cnt[sel]
+
+        def candidates(U, V):
+            """(user row, item column, key, raw score) of all that may stand in a user's top k."""
+            top = V.shape[0] - min(k, V.shape[0])
             raw = U @ V.T
-            if not dot:
-                raw = np.sqrt(np.maximum((U * U).sum(1)[:, None] + (V * V).sum(1)[None, :] - 2.0 * raw, 0.0))
-            key = np.round(raw, digits)
-            if not dot:
-                key = -key
-            gains = np.zeros((nu, ni))
-            if rel:
-                upos = {u: j for j, u in enumerate(uids)}
-                ipos = {i: j for j, i in enumerate(iids)}
-                for a, b, v in rel:
-                    ja, jb = upos.get(a), ipos.get(b)
-                    if ja is not None and jb is not None:
-                        gains[ja, jb] += v
-            top = min(k, ni)
-            # k-th best key per row; every item at or above it is a candidate
-            # (ties at the cut included, so the cut level is counted in full).
-            thr = np.partition(key, ni - top, axis=1)[:, ni - top]
-            rows, cols = np.nonzero(key >= thr[:, None])
-            ckey = key[rows, cols]
-            o = np.lexsort((cols, -ckey, rows))  # row, then key desc, then item id
-            rows, cols, ckey = rows[o], cols[o], ckey[o]
-            cgain = gains[rows, cols]
-            first = np.searchsorted(rows, np.arange(nu))
-            pos = np.arange(len(rows)) - first[rows]
-            sel = pos < top
-            parts.append(
-                (
-                    uids[rows[sel]],
-                    iids[cols[sel]],
-                    ckey[sel],
-                    raw[rows[sel], cols[sel]],
-                    cgain[sel],
-                    np.ones(int(sel.sum()), dtype=np.int64),
-                )
-            )
-            # score levels: runs of equal key within a row (all start inside the top k)
-            change = np.ones(len(rows), dtype=bool)
-            change[1:] = (rows[1:] != rows[:-1]) | (ckey[1:] != ckey[:-1])
-            st = np.flatnonzero(change)
-            en = np.append(st[1:], len(rows))
-            csum = np.concatenate([[0.0], np.cumsum(cgain)])
-            parts.append(
-                (
-                    uids[rows[st]],
-                    np.full(len(st), None, dtype=object),
-                    ckey[st],
-                    np.full(len(st), np.nan),
-                    csum[en] - csum[st],
-                    (en - st).astype(np.int64),
-                )
-            )
+            if dot:
+                key = np.round(raw, digits) if digits is not None else raw
+                rows, cols = np.nonzero(key >= np.partition(key, top, axis=1)[:, top][:, None])
+                return rows, cols, key[rows, cols], raw[rows, cols]
+            # The expanded square only selects, with room for its error; distances are direct.
+            uu, vv = (U * U).sum(1), (V * V).sum(1)
+            near = 2.0 * raw - uu[:, None] - vv[None, :]
+            cut = np.partition(near, top, axis=1)[:, top]
+            room = 1e-8 * (1.0 + np.sqrt(np.maximum(-cut, 0.0))) + 1e-11 * (uu + vv.max())
+            rows, cols = np.nonzero(near >= (cut - room)[:, None])
+            d = np.empty(len(rows))
+            for a in range(0, len(rows), 1 << 16):
+                s = slice(a, a + (1 << 16))
+                d[s] = np.sqrt(((U[rows[s]] - V[cols[s]]) ** 2).sum(1))
+            return rows, cols, -(np.round(d, digits) if digits is not None else d), d
+
+        def score_users(U, n, rel, parts):
+            """Running top k and levels of a user block over all item blocks."""
+            r_row, r_block, r_col, r_gain = rel
+            edges = np.searchsorted(r_block, np.arange(len(parts) + 1))
+            items = levels = None
+            for j, (numbers, V) in enumerate(parts):
+                if not len(numbers):
+                    continue
+                rows, cols, key, raw = candidates(U, V)
+                gains = np.zeros((n, len(numbers)))
+                mine = slice(edges[j], edges[j + 1])
+                np.add.at(gains, (r_row[mine], r_col[mine]), r_gain[mine])
+                gain = gains[rows, cols]
+                found = (rows, numbers[cols], key, raw, gain)
+                runs = (rows, key, gain, np.ones(len(rows), np.int64))
+                items = best_items(n, *(found if items is None else map(np.concatenate, zip(items, found))))
+                levels = best_levels(n, *(runs if levels is None else map(np.concatenate, zip(levels, runs))))
+            return items, levels
 
         for batch in batches:
-            parts = []
-            names = batch.schema.names
+            out = [[] for _ in types]
             for r in range(batch.num_rows):
                 uids = strings(batch.column("u_ids")[r])
-                if len(uids) == 0:
-                    continue
-                U = matrix(batch.column("u_vecs")[r].values, len(uids))
-                r_u = batch.column("r_u")[r]
-                rel = []
-                if r_u.is_valid and len(r_u) > 0:
-                    rel = list(
-                        zip(
-                            r_u.values.to_pylist(),
-                            batch.column("r_i")[r].values.to_pylist(),
-                            batch.column("r_v")[r].values.to_numpy(zero_copy_only=False),
-                        )
-                    )
-                if shared is not None:
-                    blocks = shared
-                elif "i_ids" in names:
+                if shared is None:
                     iids = strings(batch.column("i_ids")[r])
-                    if len(iids) == 0:
-                        continue
-                    blocks = [sorted_block(iids, matrix(batch.column("i_vecs")[r].values, len(iids)))]
+                    ids, number, block, column, parts = catalogue([(iids, matrix(batch.column("i_vecs")[r].values, len(iids)))])
                 else:
-                    blocks = []
-                for iids, V in blocks:
-                    if len(iids):
-                        score_pair(uids, U, iids, V, rel, parts)
-            if parts:
-                cols = [np.concatenate([p[c] for p in parts]) for c in range(6)]
-            else:
-                cols = [np.array([], dtype=object)] * 2 + [np.array([])] * 3 + [np.array([], dtype=np.int64)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(cols[0], type=pa.string()),
-                    pa.array(cols[1], type=pa.string()),
-                    pa.array(cols[2], type=pa.float64()),
-                    pa.array(cols[3], type=pa.float64(), from_pandas=True),  # NaN -> null on level rows
-                    pa.array(cols[4], type=pa.float64()),
-                    pa.array(cols[5], type=pa.int64()),
-                ],
-                schema=out_schema,
-            )
+                    ids, number, block, column, parts = shared
+                if len(uids) == 0 or len(ids) == 0:
+                    continue
+                rel = [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
+                if batch.column("r_u")[r].is_valid and len(batch.column("r_u")[r]) > 0:
+                    row_of = {u: j for j, u in enumerate(uids)}
+                    users = np.array([row_of.get(x, -1) for x in batch.column("r_u")[r].values.to_pylist()], np.int64)
+                    item = np.array([number.get(x, -1) for x in batch.column("r_i")[r].values.to_pylist()], np.int64)
+                    gain = batch.column("r_v")[r].values.to_numpy(zero_copy_only=False)
+                    known = (users >= 0) & (item >= 0)
+                    users, item, gain = users[known], item[known], gain[known]
+                    o = np.argsort(block[item], kind="stable")
+                    rel = [users[o], block[item[o]], column[item[o]], gain[o]]
+                (rows, item, key, raw, gain), (l_rows, l_key, l_gain, l_cnt) = score_users(matrix(batch.column("u_vecs")[r].values, len(uids)), len(uids), rel, parts)
+                n, m = len(rows), len(l_rows)
+                new = (
+                    np.concatenate([uids[rows], uids[l_rows]]),
+                    np.concatenate([ids[item], np.full(m, None, dtype=object)]),
+                    np.concatenate([key, l_key]),
+                    np.concatenate([raw, np.full(m, np.nan)]),  # NaN -> null on level rows
+                    np.concatenate([gain, l_gain]),
+                    np.concatenate([np.ones(n, np.int64), l_cnt]),
+                )
+                for x, v in zip(out, new):
+                    x.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], type=t, from_pandas=True) for x, t in zip(out, types)], schema=out_schema)
 
     return score_batches
 
@@ -214,6 +208,7 @@ def score_top_levels(
     broadcast_bytes: int = 64 << 20,
     n_users: int | None = None,
     n_items: int | None = None,
+    digits: int | None = KEY_DIGITS,
 ) -> DataFrame:
     """Per-user top-k items and top score levels over all candidate items.
 
@@ -256,7 +251,7 @@ def score_top_levels(
             flat = table.column("i_vecs")[j].values.to_numpy(zero_copy_only=False).astype("float64")
             blocks.append((ids, flat.reshape(len(ids), -1)))
         shared = users.sparkSession.sparkContext.broadcast(blocks)
-        return ub.mapInArrow(_block_scorer(int(k), metric, shared), OUT_SCHEMA)
+        return ub.mapInArrow(_block_scorer(int(k), metric, shared, digits), OUT_SCHEMA)
     # Larger catalogues: pair user blocks with item blocks (blocks, not items).
     pairs = ub.crossJoin(ib)
-    return pairs.mapInArrow(_block_scorer(int(k), metric), OUT_SCHEMA)
+    return pairs.mapInArrow(_block_scorer(int(k), metric, None, digits), OUT_SCHEMA)

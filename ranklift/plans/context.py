@@ -56,6 +56,10 @@ class Inputs:
     def rerank_requests(self) -> DataFrame:
         return fixtures.rerank_requests(self.spark, self.sf_dir, self.user_factors, self.item_factors)
 
+    @cached_property
+    def whole_requests(self) -> DataFrame:
+        return fixtures.rerank_requests(self.spark, self.sf_dir)
+
     @cached_property
     def rank(self) -> int:
         return replay.factor_rank(self.item_factors)

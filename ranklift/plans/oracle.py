@@ -370,6 +370,34 @@ frag(
     "all_scores",
 )
 
+frag(
+    "all_scores_euc",
+    """SELECT u.id AS userid, i.id AS itemid, list_distance(u.features, i.features) AS score,
+       -round(list_distance(u.features, i.features), 9) AS key, coalesce(t.rating, 0.0) AS gain
+FROM (SELECT * FROM user_factors WHERE id IN (SELECT userid FROM test_known)) u
+CROSS JOIN (SELECT * FROM item_factors WHERE id IN (SELECT itemid FROM test_known)) i
+LEFT JOIN test_known t ON t.userid = u.id AND t.itemid = i.id""",
+    "test_known",
+)
+
+frag(
+    "pred_items_euc",
+    f"""SELECT userid, itemid, score, row_number() OVER (PARTITION BY userid ORDER BY key DESC, itemid) AS rank
+FROM all_scores_euc QUALIFY rank <= {K}""",
+    "all_scores_euc",
+)
+
+frag(
+    "levels_euc",
+    f"""SELECT * FROM (
+  SELECT userid, key AS level_key, n_items, gain_sum,
+         coalesce(sum(n_items) OVER (PARTITION BY userid ORDER BY key DESC
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS level_start
+  FROM (SELECT userid, key, count(*) AS n_items, sum(gain) AS gain_sum FROM all_scores_euc GROUP BY 1, 2)
+) WHERE level_start <= {K}""",
+    "all_scores_euc",
+)
+
 frag(
     "disc",
     f"""SELECT j, 1.0 / log2(j + 1) AS d, sum(1.0 / log2(j + 1)) OVER (ORDER BY j) AS c
@@ -401,6 +429,23 @@ FROM (
     "rel_topk",
 )
 
+frag(
+    "ndcg_users_euc",
+    f"""SELECT d.userid, d.dcg, coalesce(i.idcg, 0.0) AS idcg, coalesce(d.dcg / NULLIF(i.idcg, 0), 0.0) AS ndcg
+FROM (
+  SELECT l.userid, sum(l.gain_sum / l.n_items * (ce.c - cs.c)) AS dcg
+  FROM levels_euc l
+  JOIN disc ce ON ce.j = least(l.level_start + l.n_items - 1, {K})
+  JOIN disc cs ON cs.j = l.level_start - 1
+  GROUP BY l.userid
+) d LEFT JOIN (
+  SELECT r.userid, sum(r.rating * dd.d) AS idcg FROM rel_topk r JOIN disc dd ON dd.j = r.rank GROUP BY r.userid
+) i ON d.userid = i.userid""",
+    "levels_euc",
+    "disc",
+    "rel_topk",
+)
+
 frag(
     "hits",
     """SELECT p.userid, p.rank, p.itemid, CASE WHEN r.itemid IS NULL THEN 0 ELSE 1 END AS hit
@@ -409,6 +454,14 @@ FROM pred_items p LEFT JOIN rel_topk r ON p.userid = r.userid AND p.itemid = r.i
     "rel_topk",
 )
 
+frag(
+    "hits_euc",
+    """SELECT p.userid, p.rank, p.itemid, CASE WHEN r.itemid IS NULL THEN 0 ELSE 1 END AS hit
+FROM pred_items_euc p LEFT JOIN rel_topk r ON p.userid = r.userid AND p.itemid = r.itemid""",
+    "pred_items_euc",
+    "rel_topk",
+)
+
 frag(
     "ap_users",
     """SELECT userid, CAST(sum(hit) AS BIGINT) AS n_hits,
@@ -419,6 +472,16 @@ GROUP BY userid""",
     "hits",
 )
 
+frag(
+    "ap_users_euc",
+    """SELECT userid, CAST(sum(hit) AS BIGINT) AS n_hits,
+       coalesce(sum(prec * hit) / NULLIF(sum(hit), 0), 0.0) AS ap
+FROM (SELECT *, sum(hit) OVER (PARTITION BY userid ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / rank AS prec
+      FROM hits_euc)
+GROUP BY userid""",
+    "hits_euc",
+)
+
 frag(
     "recall_users",
     """SELECT r.userid, r.n_relevant, coalesce(h.n_hits, 0) AS n_hits, coalesce(h.n_hits, 0) / r.n_relevant AS recall
@@ -428,6 +491,34 @@ LEFT JOIN (SELECT userid, CAST(sum(hit) AS BIGINT) AS n_hits FROM hits GROUP BY
     "hits",
 )
 
+frag(
+    "recall_users_euc",
+    """SELECT r.userid, r.n_relevant, coalesce(h.n_hits, 0) AS n_hits, coalesce(h.n_hits, 0) / r.n_relevant AS recall
+FROM (SELECT userid, count(*) AS n_relevant FROM rel_topk GROUP BY userid) r
+LEFT JOIN (SELECT userid, CAST(sum(hit) AS BIGINT) AS n_hits FROM hits_euc GROUP BY userid) h ON r.userid = h.userid""",
+    "rel_topk",
+    "hits_euc",
+)
+
+frag(
+    "whole_requests",
+    """SELECT request_id, userid, list(item ORDER BY position) AS products
+FROM (
+  SELECT r.orderkey AS request_id, 'U' || CAST(o.o_custkey AS VARCHAR) AS userid,
+         'I' || CAST(r.partkey AS VARCHAR) AS item, min(r.position) AS position
+  FROM result_rows r JOIN orders o ON r.orderkey = o.o_orderkey
+  GROUP BY 1, 2, 3
+) GROUP BY request_id, userid""",
+    "result_rows",
+)
+
+frag(
+    "whole_exploded",
+    """SELECT request_id, userid, unnest(products) AS itemid, unnest(range(len(products))) AS pos
+FROM whole_requests""",
+    "whole_requests",
+)
+
 frag(
     "req_exploded",
     """SELECT request_id, userid, unnest(products) AS itemid, unnest(range(len(products))) AS pos
@@ -436,19 +527,27 @@ FROM rerank_requests""",
 )
 
 
-def rerank_sql(metric: str) -> str:
-    if metric == "dot_product":
+def rerank_sql(metric: str, whole: bool = False) -> str:
+    """``whole``: all requests, with a null score, last, where a vector is missing."""
+    requests, join = ("whole_exploded", "LEFT JOIN") if whole else ("req_exploded", "JOIN")
+    if metric == "list_norm":
+        s = ("list_inner_product(u.features, i.features) / (sqrt(list_inner_product(u.features, u.features))"
+             " * sqrt(sum(list_inner_product(i.features, i.features)) OVER (PARTITION BY e.request_id)))")
+        order = "DESC"
+    elif metric == "per_item_length":
+        s, order = "list_inner_product(u.features, i.features) / sqrt(list_inner_product(i.features, i.features))", "DESC"
+    elif metric == "dot_product":
         s, order = "list_inner_product(u.features, i.features)", "DESC"
     elif metric == "cosine":
         s, order = "list_cosine_similarity(u.features, i.features)", "DESC"
     else:
         s, order = "sqrt(list_sum(list_transform(list_zip(u.features, i.features), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))", "ASC"
     return build(
-        f"""SELECT request_id, userid, CAST(row_number() OVER (PARTITION BY request_id ORDER BY round(score, 9) {order}, pos) AS BIGINT) AS rank,
+        f"""SELECT request_id, userid, CAST(row_number() OVER (PARTITION BY request_id ORDER BY round(score, 9) {order} NULLS LAST, pos) AS BIGINT) AS rank,
        itemid, {r6('score')} AS score
 FROM (SELECT e.request_id, e.userid, e.itemid, e.pos, {s} AS score
-      FROM req_exploded e JOIN user_factors u ON e.userid = u.id JOIN item_factors i ON e.itemid = i.id)""",
-        "req_exploded",
+      FROM {requests} e {join} user_factors u ON e.userid = u.id {join} item_factors i ON e.itemid = i.id)""",
+        requests,
         "user_factors",
         "item_factors",
     )

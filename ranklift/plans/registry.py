@@ -442,6 +442,30 @@ def q_rank_metrics(i: Inputs) -> DataFrame:
     return _scored(i).summary()
 
 
+@register("topk_predicted_euclidean", O.build(f"SELECT userid, rank, itemid, {O.r6('score')} AS score FROM pred_items_euc", "pred_items_euc"))
+def q_topk_predicted_euclidean(i: Inputs) -> DataFrame:
+    """W3 + J8: each user's k nearest candidate items."""
+    return _scored(i, "euclidean_distance").top_items()
+
+
+@register(
+    "rank_metrics_euclidean",
+    O.build(
+        f"""SELECT CAST({O.K} AS BIGINT) AS k, count(*) AS n_users,
+       {O.r6('avg(coalesce(n.ndcg, 0.0))')} AS ndcg_at_k, {O.r6('avg(coalesce(a.ap, 0.0))')} AS map_at_k,
+       {O.r6('avg(coalesce(r.recall, 0.0))')} AS mar_at_k
+FROM ndcg_users_euc n FULL JOIN ap_users_euc a ON n.userid = a.userid
+FULL JOIN recall_users_euc r ON coalesce(n.userid, a.userid) = r.userid""",
+        "ndcg_users_euc",
+        "ap_users_euc",
+        "recall_users_euc",
+    ),
+)
+def q_rank_metrics_euclidean(i: Inputs) -> DataFrame:
+    """Mean NDCG@k, MAP@k, MAR@k with items ordered by distance, nearest first."""
+    return _scored(i, "euclidean_distance").summary()
+
+
 # ------------------------------------------------------------------ rerank
 
 
@@ -467,9 +491,44 @@ def q_rerank_euclidean(i: Inputs) -> DataFrame:
     return _rerank(i, "euclidean_distance")
 
 
+@register("rerank_cosine_list_norm", O.rerank_sql("list_norm"))
+def q_rerank_cosine_list_norm(i: Inputs) -> DataFrame:
+    """R4 with the norm taken over the whole product list."""
+    return RR.rerank(i.rerank_requests, i.user_factors, i.item_factors, "cosine", cosine_norm="frobenius")
+
+
+@register("rerank_by_function", O.rerank_sql("per_item_length"))
+def q_rerank_by_function(i: Inputs) -> DataFrame:
+    """R2: ordered by a function of the two vectors (dot product over the item's length)."""
+    return RR.rerank(i.rerank_requests, i.user_factors, i.item_factors, lambda u, v: F.try_divide(V.dot(u, v), V.norm(v)))
+
+
+@register("rerank_whole_requests", O.rerank_sql("dot_product", whole=True))
+def q_rerank_whole_requests(i: Inputs) -> DataFrame:
+    """R1 + R3 on every request: products or users without a vector stay, unscored and last."""
+    return RR.rerank(i.whole_requests, i.user_factors, i.item_factors, on_missing="keep")
+
+
+@register(
+    "rerank_missing",
+    O.build(
+        """SELECT request_id, 'user' AS kind, userid AS id FROM whole_requests WHERE userid NOT IN (SELECT id FROM user_factors)
+UNION ALL
+SELECT request_id, 'item' AS kind, itemid AS id FROM whole_exploded WHERE itemid NOT IN (SELECT id FROM item_factors)""",
+        "whole_exploded",
+        "user_factors",
+        "item_factors",
+    ),
+)
+def q_rerank_missing(i: Inputs) -> DataFrame:
+    """Every requested id without a factor vector."""
+    return RR.missing_ids(i.whole_requests, i.user_factors, i.item_factors)
+
+
 # ------------------------------------------------------------------ model
 
 LOSS_ALPHA, LOSS_REG = 40.0, 1.0
+ALS_RANK = 10
 
 
 @register(
@@ -491,25 +550,32 @@ def q_id_dictionary(i: Inputs) -> DataFrame:
     )
 
 
-@register("als_factors")
+@register(
+    "als_factors",
+    O.build(
+        f"""SELECT DISTINCT 'user' AS kind, userid AS id, CAST({ALS_RANK} AS BIGINT) AS rank FROM train_matrix
+UNION ALL SELECT DISTINCT 'item' AS kind, itemid AS id, CAST({ALS_RANK} AS BIGINT) AS rank FROM train_matrix""",
+        "train_matrix",
+    ),
+)
 def q_als_factors(i: Inputs) -> DataFrame:
     """M2 + M3: implicit ALS on the training matrix; one row per user and item vector."""
-    users, items = FA.fit_als(i.train_matrix, FA.ALSParams(rank=10, regularization=1.0, alpha=40.0, iterations=5, seed=42))
-    u = users.select(F.lit("user").alias("kind"), "id", F.size("features").cast("bigint").alias("rank"), V.norm("features").alias("norm"))
-    it = items.select(F.lit("item").alias("kind"), "id", F.size("features").cast("bigint").alias("rank"), V.norm("features").alias("norm"))
+    users, items = FA.fit_als(i.train_matrix, FA.ALSParams(rank=ALS_RANK, regularization=1.0, alpha=40.0, iterations=10, seed=42))
+    u = users.select(F.lit("user").alias("kind"), "id", F.size("features").cast("bigint").alias("rank"))
+    it = items.select(F.lit("item").alias("kind"), "id", F.size("features").cast("bigint").alias("rank"))
     return u.unionByName(it)
 
 
 @register(
     "implicit_loss",
     O.build(
-        f"""SELECT n_users, n_items, nnz, {O.r6('total_confidence')} AS total_confidence,
+        f"""SELECT n_users, n_items, nnz, n_ratings_without_vectors, {O.r6('total_confidence')} AS total_confidence,
        {O.r6('observed_loss / w')} AS observed_share, {O.r6('unobserved_loss / w')} AS unobserved_share,
        {O.r6('reg_loss / w')} AS reg_share, {O.r6('(observed_loss + unobserved_loss + reg_loss) / w')} AS loss_normalized
 FROM (
   SELECT *, total_confidence + n_users * n_items - nnz AS w FROM (
     SELECT (SELECT count(*) FROM user_factors) AS n_users, (SELECT count(*) FROM item_factors) AS n_items,
-           count(*) AS nnz, sum({LOSS_ALPHA} * t.rating) AS total_confidence,
+           count(*) AS nnz, (SELECT count(*) FROM train_matrix) - count(*) AS n_ratings_without_vectors, sum({LOSS_ALPHA} * t.rating) AS total_confidence,
            sum({LOSS_ALPHA} * t.rating * power(1 - list_inner_product(u.features, i.features), 2)) AS observed_loss,
            (SELECT sum(power(list_inner_product(a.features, b.features), 2)) FROM user_factors a CROSS JOIN item_factors b)
              - sum(power(list_inner_product(u.features, i.features), 2)) AS unobserved_loss,
@@ -531,6 +597,7 @@ def q_implicit_loss(i: Inputs) -> DataFrame:
         "n_users",
         "n_items",
         "nnz",
+        "n_ratings_without_vectors",
         "total_confidence",
         (F.col("observed_loss") / w).alias("observed_share"),
         (F.col("unobserved_loss") / w).alias("unobserved_share"),

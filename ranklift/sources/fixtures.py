@@ -155,11 +155,11 @@ def item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform(known.join(emb, "vec_id"), schemas.FACTORS)
 
 
-def rerank_requests(spark: SparkSession, sf_dir: str, users: DataFrame, items: DataFrame) -> DataFrame:
+def rerank_requests(spark: SparkSession, sf_dir: str, users: DataFrame | None = None, items: DataFrame | None = None) -> DataFrame:
     """One request per order: its user and its distinct shown items, in shown order.
 
-    Only ids present in the factor tables are kept (the reference raises on
-    unknown ids).
+    Given factor tables, only ids present in them are kept (an unknown id fails
+    a rerank); without, every request is whole.
     """
     rows = _result_rows(spark, sf_dir).select(
         F.col("orderkey").alias("request_id"),
@@ -167,8 +167,10 @@ def rerank_requests(spark: SparkSession, sf_dir: str, users: DataFrame, items: D
         F.concat(F.lit("I"), F.col("partkey").cast("string")).alias("item"),
         "position",
     )
-    rows = rows.join(users.select(F.col("id").alias("userid")), "userid", "left_semi")
-    rows = rows.join(items.select(F.col("id").alias("item")), "item", "left_semi")
+    if users is not None:
+        rows = rows.join(users.select(F.col("id").alias("userid")), "userid", "left_semi")
+    if items is not None:
+        rows = rows.join(items.select(F.col("id").alias("item")), "item", "left_semi")
     first = rows.groupBy("request_id", "userid", "item").agg(F.min("position").alias("position"))
     out = first.groupBy("request_id", "userid").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("position", "item"))), lambda s: s["item"]).alias("products")

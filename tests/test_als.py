@@ -12,7 +12,7 @@ def test_user_factors_solve_normal_equations(spark):
     # Small on purpose: the check itself runs on the driver with numpy.
     m = Inputs(spark, SF_SMALL).train_matrix
     alpha, lam = 40.0, 0.5
-    users, items = factors.fit_als(m, factors.ALSParams(rank=4, regularization=lam, alpha=alpha, iterations=4, seed=11))
+    users, items = factors.fit_als(m, factors.ALSParams(rank=4, regularization=lam, alpha=alpha, iterations=4, seed=11, regularization_scale="mllib"))
     Y = {r["id"]: np.array(r["features"]) for r in items.collect()}
     X = {r["id"]: np.array(r["features"]) for r in users.collect()}
     ratings = {}
@@ -70,7 +70,7 @@ def test_planted_blocks_beat_random(spark):
             row = (f"u{u}", f"i{i}", 1.0 + rng.random())
             (test if j < 5 else train).append(row)
     train_df = spark.createDataFrame(train, schemas.USER_ITEM)
-    users, items = factors.fit_als(train_df, factors.ALSParams(rank=4, regularization=0.1, alpha=10.0, iterations=8, seed=2))
+    users, items = factors.fit_als(train_df, factors.ALSParams(rank=4, regularization=0.1, alpha=10.0, iterations=8, seed=2, regularization_scale="mllib"))
     rand_u = spark.createDataFrame([(r["id"], [rng.gauss(0, 1) for _ in range(4)]) for r in users.collect()], schemas.FACTORS)
     rand_i = spark.createDataFrame([(r["id"], [rng.gauss(0, 1) for _ in range(4)]) for r in items.collect()], schemas.FACTORS)
 

@@ -195,3 +195,12 @@ def test_prediction_paths_agree(spark, inputs):
     assert _rows(small.select(cols)) == _rows(large.select(cols))
     one = replay.predict_pairs(inputs.merged, inputs.user_factors, inputs.item_factors, "dot_product", broadcast_bytes=0)
     assert one.count() == inputs.merged.count()
+
+
+def test_scorer_rows_do_not_grow_with_item_blocks(spark, inputs):
+    known = rank_metrics.known_pairs(inputs.test_matrix, inputs.user_factors, inputs.item_factors)
+    for metric in ("dot_product", "euclidean_distance"):
+        a = rank_metrics.Scored(known, inputs.user_factors, inputs.item_factors, 5, metric)
+        b = rank_metrics.Scored(known, inputs.user_factors, inputs.item_factors, 5, metric, item_block=20, user_block=50)
+        assert a.raw.where("itemid is not null").count() == b.raw.where("itemid is not null").count()
+        assert sorted(a.top_items().select("userid", "rank", "itemid").collect()) == sorted(b.top_items().select("userid", "rank", "itemid").collect())
