@@ -38,9 +38,9 @@ def _escape_role(role: Column) -> Column:
 
 
 def _unescape_role(role: Column) -> Column:
-    # a doubled backslash is set aside first, so that the n after it stays a letter
-    kept = F.replace(unescape(role), F.lit("\\\\"), F.lit("\x00"))
-    return F.replace(F.replace(kept, F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
+    # doubled backslashes are told apart from the one before an n by cutting at them first
+    parts = F.transform(F.split(unescape(role), r"\\\\"), lambda x: F.replace(x, F.lit("\\n"), F.lit("\n")))
+    return F.array_join(parts, "\\")
 
 
 def examples(conversations: DataFrame) -> DataFrame:

@@ -219,3 +219,12 @@ def test_html_held_out(spark):
     held_out = html_crf.made_pages([p[2] for p in pages[20:30]], 100, seed=11)
     wrong = sum(x != y for page, labels in held_out for x, y in zip(model.decode(html_crf.leaf_blocks(page)), labels))
     assert wrong <= 0.03 * sum(len(labels) for _, labels in held_out)
+
+
+def test_chat_roles_with_control_characters(spark):
+    turns = [("a\x00\\n\nb\\\\", "x"), ("<|im_start|>\\", "<\\|y"), ("assistant", "<|im_end|>\n")]
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    row = chat_format.digests(chat_format.examples(df)).first()
+    assert row["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+    assert row["loss_sha256"] == hashlib.sha256(turns[2][1].encode()).hexdigest()
+    assert row["n_turns"] == 3
