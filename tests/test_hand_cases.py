@@ -244,3 +244,15 @@ def test_rerank_with_score_function(spark):
     items = _factors(spark, [("A", [1.0, 0.0]), ("B", [3.0, 0.0]), ("C", [0.0, 1.0])])
     by_fn = rerank.rerank(req, users, items, lambda u, v: dot(u, v)).orderBy("rank").collect()
     assert [r["itemid"] for r in by_fn] == ["B", "A", "C"]
+
+
+def test_rerank_unknown_ids_fail_or_stay(spark):
+    from ranklift.operators import rerank as rr
+
+    users = spark.createDataFrame([("u", [1.0, 0.0])], "id string, features array<double>")
+    items = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [2.0, 0.0])], "id string, features array<double>")
+    asked = spark.createDataFrame([(1, "u", ["a", "x", "b"]), (2, "v", ["a"])], "request_id long, userid string, products array<string>")
+    with pytest.raises(Exception, match="no factor vector for"):
+        rr.rerank(asked, users, items).collect()
+    kept = rr.rerank(asked, users, items, on_missing="keep").orderBy("request_id", "rank").collect()
+    assert [(r["request_id"], r["itemid"], r["score"]) for r in kept] == [(1, "b", 2.0), (1, "a", 1.0), (1, "x", None), (2, "a", None)]
