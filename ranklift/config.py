@@ -7,7 +7,7 @@ as typed parameters, never spliced as text.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 _DAY = re.compile(r"^\d{8}$")
 
@@ -75,6 +75,8 @@ class RunConfig:
     test: Window = field(default_factory=lambda: Window("20000101", "20011231"))
     # Cart adds and impressions replayed against the model (the "test day").
     replay: Window = field(default_factory=lambda: Window("20000101", "20011231"))
+    # Days replayed to choose the hyper-parameters; None: the replay window itself.
+    validation: Window | None = None
     k: int = 20
     metric: str = "dot_product"
     top_n_queries: int = 100
@@ -91,6 +93,3 @@ class RunConfig:
             raise ValueError("sample_size must be > 0")
         if self.cold_start not in ("minus_one", "drop", "zero"):
             raise ValueError(f"unknown cold_start {self.cold_start!r}")
-
-    def with_(self, **kw) -> "RunConfig":
-        return replace(self, **kw)

@@ -4,7 +4,6 @@ from .columns import (  # noqa: F401
     ITEM_SENTINEL,
     NULL_TOKENS,
     USER_SENTINEL,
-    half_even,
     md5_u60,
     normalized_query,
     parse_day,

@@ -39,11 +39,6 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def half_even(c: Column, digits: int) -> Column:
-    """numpy/pandas rounding (half to even)."""
-    return F.bround(c, digits)
-
-
 def md5_u60(c: Column) -> Column:
     """First 60 bits of ``md5(c)`` as a non-negative bigint (portable to SQL engines)."""
     return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("bigint")

@@ -58,7 +58,3 @@ def rank_key(metric: str, raw: Column, digits: int = 9) -> Column:
     """Ranking key where larger is better; rounded so ties are engine-independent."""
     rounded = F.round(raw, digits)
     return rounded if higher_is_better(metric) else -rounded
-
-
-def to_double_array(c) -> Column:
-    return _c(c).cast("array<double>")

@@ -39,16 +39,20 @@ def factor_rank(factors: DataFrame) -> int:
     return int(row["n"])
 
 
-def lookup_vectors(keys: DataFrame, key_col: str, factors: DataFrame, out_col: str, rank: int, cold_start: str = "minus_one") -> DataFrame:
+def lookup_vectors(keys: DataFrame, key_col: str, factors: DataFrame, out_col: str, rank: int, cold_start: str = "minus_one", known_col: str | None = None) -> DataFrame:
     """Attach a factor vector; unknown ids get the cold-start vector.
 
     ``minus_one`` (reference): all -1.0; ``zero``: all 0.0; ``drop``: row removed.
+    ``known_col`` names a column that says whether the id had a vector.
     """
     f = factors.select(F.col("id").alias(key_col), F.col("features").alias(out_col))
     if cold_start == "drop":
-        return keys.join(f, key_col, "inner")
+        found = keys.join(f, key_col, "inner")
+        return found.withColumn(known_col, F.lit(True)) if known_col else found
     fill = -1.0 if cold_start == "minus_one" else 0.0
     joined = keys.join(f, key_col, "left")
+    if known_col:
+        joined = joined.withColumn(known_col, F.col(out_col).isNotNull())
     return joined.withColumn(out_col, F.coalesce(F.col(out_col), constant_vector(fill, rank)))
 
 

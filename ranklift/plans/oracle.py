@@ -8,7 +8,7 @@ depends on, in dependency order. Doubles are rounded to 6 dp on both sides.
 
 from __future__ import annotations
 
-from ..config import RunConfig
+from ..config import RunConfig, Window
 
 CFG = RunConfig()
 K = CFG.k
@@ -125,34 +125,40 @@ FROM (
 )
 
 # ---------------------------------------------------------------- cleaning
-_R = CFG.replay
-frag(
-    "cart_adds",
-    f"""SELECT DISTINCT CAST(strptime(event_dt, '%Y%m%d') AS DATE) AS fecha,
+ONE_DAY = "20000203"
+
+
+def _cleaning_frags(prefix: str, window: Window) -> None:
+    frag(
+        f"{prefix}cart_adds",
+        f"""SELECT DISTINCT CAST(strptime(event_dt, '%Y%m%d') AS DATE) AS fecha,
        lower(trim(search_query)) AS search_query, userid, correlation_id,
        item_id AS a2c_itemid, CAST(item_list_index AS DOUBLE) AS a2c_position
 FROM cart_events
-WHERE event_dt BETWEEN '{_R.start}' AND '{_R.end}'
+WHERE event_dt BETWEEN '{window.start}' AND '{window.end}'
   AND userid NOT IN ('null', '', 'undefined')
   AND item_id NOT IN ('null', '', '(not set)')
   AND correlation_id NOT IN ('null', '')
   AND search_query NOT IN ('null', '')
   AND length(trim(search_query)) >= 3
   AND item_list_index >= 0""",
-    "cart_events",
-)
-
-frag(
-    "impressions",
-    f"""SELECT SCL_CREATED_DATE AS fecha, customer_id AS userid, correlation_id,
+        "cart_events",
+    )
+    frag(
+        f"{prefix}impressions",
+        f"""SELECT SCL_CREATED_DATE AS fecha, customer_id AS userid, correlation_id,
        response_sku AS imp_itemid, CAST(response_position AS DOUBLE) - 1.0 AS imp_position
 FROM search_results
-WHERE SCL_CREATED_DATE BETWEEN DATE '{_R.start_iso}' AND DATE '{_R.end_iso}'
+WHERE SCL_CREATED_DATE BETWEEN DATE '{window.start_iso}' AND DATE '{window.end_iso}'
   AND customer_id NOT IN ('null', '', 'undefined')
   AND correlation_id NOT IN ('null', '')
   AND length(trim(request_term)) >= 3""",
-    "search_results",
-)
+        "search_results",
+    )
+
+
+_cleaning_frags("", CFG.replay)
+_cleaning_frags("day_", Window(ONE_DAY, ONE_DAY))
 
 # ---------------------------------------------------------------- affinity
 
@@ -195,6 +201,14 @@ FROM {prefix}_uid m LEFT JOIN {prefix}_totals t ON m.userid = t.userid AND m.eve
     )
 
 
+def matrix_stats_select(matrix: str, window: Window) -> str:
+    return f"""SELECT DATE '{window.end_iso}' - DATE '{window.start_iso}' AS n_days,
+       count(DISTINCT userid) AS n_users, count(DISTINCT itemid) AS n_items,
+       count(DISTINCT userid) * count(DISTINCT itemid) AS n_cells, count(*) AS n_rows,
+       round_even(100.0 * count(*) / (count(DISTINCT userid) * count(DISTINCT itemid)), 2) AS density_pct
+FROM {matrix}"""
+
+
 _affinity_frags("train", CFG.train.start, CFG.train.end)
 _affinity_frags("test", CFG.test.start, CFG.test.end)
 

@@ -12,17 +12,19 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from ..config import RunConfig
+from ..config import RunConfig, Window
 from ..operators import affinity, cleaning, rank_metrics, replay, sampling
 from ..operators.factors import fit_als
 from ..sources import sinks
 from .search import ReplayScorer, search
 
 
-def replay_prefix(cart_events: DataFrame, search_results: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Model-independent part of the replay: sample, top queries, session join."""
-    adds = cleaning.clean_cart_adds(cart_events, cfg.replay)
-    imp = cleaning.clean_impressions(search_results, cfg.replay)
+def replay_prefix(cart_events: DataFrame, search_results: DataFrame, cfg: RunConfig, window: Window | None = None) -> DataFrame:
+    """Model-independent part of the replay of ``window`` (default ``cfg.replay``): sample, top
+    queries, session join."""
+    window = window or cfg.replay
+    adds = cleaning.clean_cart_adds(cart_events, window)
+    imp = cleaning.clean_impressions(search_results, window)
     sampled = sampling.sample_per_query(adds, cfg.sample_size, cfg.sample_seed)
     top = sampling.top_queries(sampled, cfg.top_n_queries)
     return replay.session_join(imp, sampling.adds_of_top_queries(sampled, top))
@@ -39,9 +41,11 @@ def run_pipeline(
     train = affinity.affinity_matrix(cart_events, cfg.train).persist()
     test = affinity.affinity_matrix(cart_events, cfg.test)
     merged = replay_prefix(cart_events, search_results, cfg).persist()
-    scorer = ReplayScorer(merged, cfg.metric, cfg.cold_start)
+    tuned_on = replay_prefix(cart_events, search_results, cfg, cfg.validation).persist() if cfg.validation else merged
 
-    trials, best = search(train, scorer, cfg.search)
+    trials, best = search(train, ReplayScorer(tuned_on, cfg.metric, cfg.cold_start), cfg.search)
+    if tuned_on is not merged:
+        tuned_on.unpersist()
     users, items = fit_als(train, best)  # M8: one refit on the full training matrix
     users, items = users.persist(), items.persist()
 
@@ -53,6 +57,7 @@ def run_pipeline(
         "train_matrix": train,
         "train_stats": affinity.matrix_stats(train, cfg.train),
         "test_matrix": test,
+        "test_stats": affinity.matrix_stats(test, cfg.test),
         "known_report": rank_metrics.known_pairs_report(test, users, items),
         "trials": trials,
         "user_factors": users,

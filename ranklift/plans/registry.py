@@ -10,13 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import SearchSpace
+from ..config import SearchSpace, Window
 from ..functions import vectors as V
-from ..operators import affinity, replay, sampling
+from ..operators import affinity, cleaning, replay, sampling
 from ..operators import factors as FA
 from ..operators import rank_metrics as RM
 from ..operators import rerank as RR
-from ..sources import sinks
+from ..sources import fixtures, sinks, templates
 from . import oracle as O
 from .context import Inputs, round_doubles
 from .pipeline import replay_prefix
@@ -75,6 +75,52 @@ def q_clean_impressions(i: Inputs) -> DataFrame:
     return i.impressions
 
 
+_ONE_DAY = Window(O.ONE_DAY, O.ONE_DAY)
+
+
+@register("clean_cart_adds_day", O.build("SELECT * FROM day_cart_adds", "day_cart_adds"))
+def q_clean_cart_adds_day(i: Inputs) -> DataFrame:
+    """cleaned cart adds of a single day."""
+    return cleaning.clean_cart_adds(i.cart_events, _ONE_DAY)
+
+
+@register("clean_impressions_day", O.build("SELECT * FROM day_impressions", "day_impressions"))
+def q_clean_impressions_day(i: Inputs) -> DataFrame:
+    """cleaned impressions of a single day."""
+    return cleaning.clean_impressions(i.search_results, _ONE_DAY)
+
+
+# ------------------------------------------------------------------ SQL templates
+
+
+@register("sql_add2cart", O.build("SELECT * FROM cart_adds", "cart_adds"))
+def q_sql_add2cart(i: Inputs) -> DataFrame:
+    """S3 + S4: the cart-add template over the replay window."""
+    fixtures.register_views(i.spark, i.sf_dir)
+    return templates.add2cart(i.spark, i.cfg.replay.start, i.cfg.replay.end)
+
+
+@register("sql_add2cart_day", O.build("SELECT * FROM day_cart_adds", "day_cart_adds"))
+def q_sql_add2cart_day(i: Inputs) -> DataFrame:
+    """S3 + S4: the cart-add template for a single day."""
+    fixtures.register_views(i.spark, i.sf_dir)
+    return templates.add2cart(i.spark, _ONE_DAY.start)
+
+
+@register("sql_impressions", O.build("SELECT * FROM impressions", "impressions"))
+def q_sql_impressions(i: Inputs) -> DataFrame:
+    """S3 + S4: the impression template over the replay window."""
+    fixtures.register_views(i.spark, i.sf_dir)
+    return templates.impressions(i.spark, i.cfg.replay.start, i.cfg.replay.end)
+
+
+@register("sql_affinity_matrix", O.build(f"SELECT userid, itemid, {O.r6('rating')} AS rating FROM train_matrix", "train_matrix"))
+def q_sql_affinity_matrix(i: Inputs) -> DataFrame:
+    """S3 + S4: the affinity template over the training window."""
+    fixtures.register_views(i.spark, i.sf_dir)
+    return templates.user_item_matrix(i.spark, i.cfg.train.start, i.cfg.train.end)
+
+
 # ------------------------------------------------------------------ affinity
 
 
@@ -116,6 +162,15 @@ def q_day_weights(i: Inputs) -> DataFrame:
     return affinity.day_weights(affinity.user_item_day(i.cart_events, i.cfg.train))
 
 
+@register(
+    "test_matrix_stats",
+    O.build(O.matrix_stats_select("test_matrix", O.CFG.test), "test_matrix"),
+)
+def q_test_matrix_stats(i: Inputs) -> DataFrame:
+    """A5 on the test matrix."""
+    return affinity.matrix_stats(i.test_matrix, i.cfg.test)
+
+
 @register("affinity_matrix", O.build(f"SELECT userid, itemid, {O.r6('rating')} AS rating FROM train_matrix", "train_matrix"))
 def q_affinity_matrix(i: Inputs) -> DataFrame:
     """A4 (flagship): the training user-item affinity matrix."""
@@ -124,14 +179,7 @@ def q_affinity_matrix(i: Inputs) -> DataFrame:
 
 @register(
     "matrix_stats",
-    O.build(
-        f"""SELECT DATE '{O.CFG.train.end_iso}' - DATE '{O.CFG.train.start_iso}' AS n_days,
-       count(DISTINCT userid) AS n_users, count(DISTINCT itemid) AS n_items,
-       count(DISTINCT userid) * count(DISTINCT itemid) AS n_cells, count(*) AS n_rows,
-       round_even(100.0 * count(*) / (count(DISTINCT userid) * count(DISTINCT itemid)), 2) AS density_pct
-FROM train_matrix""",
-        "train_matrix",
-    ),
+    O.build(O.matrix_stats_select("train_matrix", O.CFG.train), "train_matrix"),
 )
 def q_matrix_stats(i: Inputs) -> DataFrame:
     """A5: matrix report."""
@@ -301,9 +349,8 @@ def q_lookup_vectors(i: Inputs) -> DataFrame:
     out = []
     for kind, col, factors in (("user", "userid", i.user_factors), ("item", "imp_itemid", i.item_factors)):
         keys = i.impressions.select(F.col(col).alias("id")).distinct()
-        known = keys.join(factors.select("id", F.lit(True).alias("known")), "id", "left").fillna(False, ["known"])
-        got = replay.lookup_vectors(known, "id", factors, "features", i.rank, "minus_one")
-        out.append(sinks.flatten_factors(got.select("id", "features", "known"), i.rank).join(known, "id").select(F.lit(kind).alias("kind"), "*"))
+        got = replay.lookup_vectors(keys, "id", factors, "features", i.rank, "minus_one", known_col="known")
+        out.append(got.select(F.lit(kind).alias("kind"), "id", "known", *sinks.vector_columns(i.rank)))
     return out[0].unionByName(out[1])
 
 
@@ -550,6 +597,16 @@ def q_id_dictionary(i: Inputs) -> DataFrame:
     )
 
 
+@register(
+    "summed_ratings",
+    O.build(f"SELECT userid, itemid, {O.r6('sum(weight_items)')} AS rating FROM train_weights GROUP BY userid, itemid", "train_weights"),
+)
+def q_summed_ratings(i: Inputs) -> DataFrame:
+    """One row per user, item and day in, duplicates summed as before a fit."""
+    daily = affinity.day_weights(affinity.user_item_day(i.cart_events, i.cfg.train), "window")
+    return FA.summed_ratings(daily.select("userid", "itemid", F.col("weight_items").alias("rating")))
+
+
 @register(
     "als_factors",
     O.build(

@@ -32,8 +32,3 @@ def scan_cart_events(spark: SparkSession, source: str | DataFrame) -> DataFrame:
 def scan_impressions(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     df = source if isinstance(source, DataFrame) else read_table(spark, source, schemas.SEARCH_RESULTS)
     return schemas.conform(df, schemas.SEARCH_RESULTS)
-
-
-def scan_factors(spark: SparkSession, source: str | DataFrame) -> DataFrame:
-    df = source if isinstance(source, DataFrame) else read_table(spark, source, schemas.FACTORS)
-    return schemas.conform(df, schemas.FACTORS)

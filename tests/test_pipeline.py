@@ -3,14 +3,14 @@
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from ranklift.config import RunConfig, SearchSpace
+from ranklift.config import RunConfig, SearchSpace, Window
 from ranklift.operators import rerank
 from ranklift.plans.pipeline import run_pipeline
 from ranklift.sources import fixtures
 
 
 def test_pipeline_end_to_end(spark, tmp_path):
-    cfg = RunConfig(search=SearchSpace(rank=(3, 5), n_trials=2, folds=2, iterations=2, seed=1))
+    cfg = RunConfig(validation=Window("20000101", "20001231"), replay=Window("20010101", "20011231"), search=SearchSpace(rank=(3, 5), n_trials=2, folds=2, iterations=2, seed=1))
     out = run_pipeline(
         fixtures.cart_events(spark, SF_SMALL),
         fixtures.search_results(spark, SF_SMALL),
@@ -19,7 +19,11 @@ def test_pipeline_end_to_end(spark, tmp_path):
         run_date="2024-01-01",
     )
     trials = out["trials"].collect()
-    assert len(trials) == 2
+    assert len(trials) == 2 and sorted(t["place"] for t in trials) == [1, 2]
+    for t in trials:
+        scores = [float(x) for x in t["fold_mai"].split(",") if x]
+        assert len(scores) == 2 and abs(sum(scores) / 2 - t["mean_mai"]) < 1e-12 and t["std_mai"] >= 0
+    assert out["test_stats"].first()["n_rows"] == out["test_matrix"].count()
     m = out["rank_metrics"].collect()[0]
     for c in ("ndcg_at_k", "map_at_k", "mar_at_k"):
         assert 0.0 <= m[c] <= 1.0
