@@ -1,10 +1,11 @@
 """Finds benchmark items in documents: SimHash windows, Hamming blocks, exact verification.
 
 1. *Windows.* An item of n words is compared with document windows of n words. A window that is
-   similar at all shares a word shingle with an item, so shingles of all documents are matched
-   with the items' (a semi-join on a hash), and every match places windows of the items' sizes
-   where the shingle would stand, and ``slack`` words to either side.
-2. *Fingerprints.* 64 sums of shingle signs, by multiplicity, in column expressions.
+   similar at all contains a word shingle of an item, at whatever place, so shingles of all
+   documents are matched with the items' (a semi-join on a hash), and every window of the items'
+   sizes that contains a match is taken; their starts are kept as intervals until then.
+2. *Fingerprints.* 64 sums of shingle signs, by multiplicity, in column expressions that add
+   several of them in one long.
 3. *Blocks.* The 64 bits are cut into ``radius + 1`` blocks. Two fingerprints within ``radius``
    agree in one block at least, so equality on (size, block) finds all of them.
 4. *Verification.* Bag-of-shingles similarity (sum of smaller over sum of larger counts) of the
@@ -46,11 +47,21 @@ def _shingles(text: Column, k: Column | int) -> Column:
 def fingerprint(shingles: Column) -> Column:
     """SimHash: bit b is set when more shingles (by multiplicity) have it than not."""
 
-    def bit(b: Column) -> Column:
-        ones = F.size(F.filter(shingles, lambda x: F.getbit(x, b) == 1))
-        return F.when(ones * 2 > F.size(shingles), F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))
+    def lanes(width: int) -> Column:
+        """For up to 2 ** (width - 1) - 2 shingles: every ``width``-th bit is counted in its own
+        lane of one long; with the bias, a lane's second bit says whether its count exceeds the
+        half. The top bit stays free, so that no sum overflows."""
+        mask = F.lit(sum(1 << at for at in range(0, BITS, width))).cast("long")
+        bias = F.lit((1 << (width - 2)) - 1).cast("long") - F.call_function("shiftright", F.size(shingles), F.lit(1)).cast("long")
 
-    return F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(BITS - 1)), bit), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+        def part(j: int) -> Column:
+            counts = F.aggregate(shingles, bias * mask, lambda a, x: a + F.call_function("shiftrightunsigned", x, F.lit(j)).bitwiseAND(mask))
+            return F.call_function("shiftleft", F.call_function("shiftrightunsigned", counts, F.lit(width - 2)).bitwiseAND(mask), F.lit(j))
+
+        return reduce(Column.bitwiseOR, map(part, range(width)))
+
+    n = F.size(shingles)
+    return F.when(n <= (1 << 7) - 2, lanes(8)).when(n <= (1 << 15) - 2, lanes(16)).otherwise(lanes(32))
 
 
 def blocks(print_: Column, radius: int) -> Column:
@@ -64,7 +75,10 @@ def blocks(print_: Column, radius: int) -> Column:
 def similarity(a: Column, b: Column) -> tuple[Column, Column]:
     """(sum of smaller, sum of larger counts) over the shingles of two bags."""
     count = lambda xs, y: F.size(F.filter(xs, lambda z: z == y))
-    both = F.aggregate(F.transform(F.array_intersect(a, b), lambda y: F.least(count(a, y), count(b, y)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+    common = F.array_intersect(a, b)
+    counted = F.aggregate(F.transform(common, lambda y: F.least(count(a, y), count(b, y)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+    once = F.size(F.array_distinct(b)) == F.size(b)  # then no smaller count is above 1
+    both = F.when(once, F.size(common).cast("long")).otherwise(counted)
     return both, F.size(a) + F.size(b) - both
 
 
@@ -76,7 +90,17 @@ def items(benchmark: DataFrame) -> DataFrame:
     return rows.withColumn("print", fingerprint(F.col("shingles")))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius: int = 24, slack: int = 2, broadcast_shingles: int = 1_000_000) -> DataFrame:
+def _starts(at: Column) -> Column:
+    """Intervals (lo, hi), apart from each other, of the starts of all n-word windows that contain
+    a shingle at one of the sorted places ``at`` of a text with ``size`` shingles of k words."""
+    reach = F.col("n") - F.col("k")  # a window that starts so far before a shingle ends with it
+    last = F.greatest(F.col("size") - 1 - reach, F.lit(0))
+    opens = F.filter(at, lambda x, i: F.coalesce(x - reach > F.get(at, i - 1) + 1, F.lit(True)))
+    shuts = F.filter(at, lambda x, i: F.coalesce(F.get(at, i + 1) - reach > x + 1, F.lit(True)))
+    return F.zip_with(opens, shuts, lambda x, y: F.struct(F.greatest(x - reach, F.lit(0)).alias("lo"), F.least(y, last).alias("hi")))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius: int = 24, broadcast_shingles: int = 1_000_000) -> DataFrame:
     """(doc_id, text_hash, item_id, start, n_words, similarity): the best window of every item
     that a document holds; ``start`` counts words from 0."""
     wanted = cut(items(benchmark))
@@ -85,23 +109,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius: in
     ship = F.broadcast if small else (lambda df: df)
     text = F.col("text").cast("string")
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    offsets = wanted.select("n", "k", F.posexplode("shingles").alias("offset", "shingle")).distinct()
+    known = wanted.select("k", "n", F.explode("shingles").alias("shingle")).distinct()
     found = []
     for k in sorted(have[1]) or [SHINGLE]:
         at = rows.select("doc_id", "text_hash", _shingles(F.col("text"), k).alias("all")).select("doc_id", "text_hash", F.size("all").alias("size"), F.posexplode("all").alias("pos", "shingle"))
-        found.append(at.join(ship(offsets.where(F.col("k") == k)), "shingle").select("doc_id", "text_hash", "k", "n", "size", (F.col("pos") - F.col("offset")).alias("start")))
-    last = F.greatest(F.col("size") + F.col("k") - 1 - F.col("n"), F.lit(0))
-    near = F.transform(F.sequence(F.col("start") - slack, F.col("start") + slack), lambda s: F.greatest(F.lit(0), F.least(s, last)))
-    starts = reduce(DataFrame.union, found).select("doc_id", "text_hash", "k", "n", "start", "size").distinct()
-    starts = starts.select("doc_id", "text_hash", "k", "n", F.explode(F.array_distinct(near)).alias("start")).distinct()
-    places = cut(starts.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.collect_list(F.struct("k", "n", "start")).alias("places")))  # a document's own windows
+        found.append(at.join(ship(known.where(F.col("k") == k)), "shingle").select("doc_id", "text_hash", "k", "n", "size", "pos"))
+    at = reduce(DataFrame.union, found).groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "k", "n").agg(F.max("size").alias("size"), F.collect_set("pos").alias("at"))
+    at = at.select("__doc", "__hash", F.struct("k", "n", let(F.array_sort("at"), _starts).alias("starts")).alias("p"))
+    places = cut(at.groupBy("__doc", "__hash").agg(F.collect_list("p").alias("places")))  # a document's own intervals
 
     held = rows.join(places, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__hash"))).dropDuplicates(["__doc", "__hash"])
-    bags = held.select("doc_id", "text_hash", "places", F.array(*(_shingles(F.col("text"), k) for k in range(1, SHINGLE + 1))).alias("by_size"))
-    bags = bags.select("doc_id", "text_hash", "by_size", F.explode("places").alias("p"))
-    bag = F.slice(F.get("by_size", F.col("p.k") - 1), F.col("p.start") + 1, F.col("p.n") - F.col("p.k") + 1)
-    windows = bags.select("doc_id", "text_hash", F.col("p.n").alias("n"), F.col("p.start").alias("start"), bag.alias("bag")).where(F.size("bag") > 0)
-    windows = cut(windows.withColumn("print", fingerprint(F.col("bag"))))
+    by_size = F.array(*(_shingles(F.col("text"), k) for k in range(1, SHINGLE + 1)))
+    size = lambda p: p.n - p.k + 1  # noqa: E731  shingles of a window
+    piece = lambda all_, p, r: F.slice(F.get(all_, p.k - 1), r.lo + 1, r.hi - r.lo + size(p))
+    pieces = let(by_size, lambda all_: F.flatten(F.transform("places", lambda p: F.transform(p.starts, lambda r: F.struct(p.n.alias("n"), size(p).alias("size"), r.lo.alias("lo"), r.hi.alias("hi"), piece(all_, p, r).alias("all"))))))
+    windows = held.select("doc_id", "text_hash", F.explode(pieces).alias("p")).select("doc_id", "text_hash", "p", F.explode(F.sequence("p.lo", "p.hi")).alias("start"))
+    windows = windows.select("doc_id", "text_hash", F.col("p.n").alias("n"), "start", F.slice("p.all", F.col("start") - F.col("p.lo") + 1, F.col("p.size")).alias("bag"))
+    windows = windows.withColumn("print", fingerprint(F.col("bag")))
 
     left = windows.select("*", F.explode(blocks(F.col("print"), radius)).alias("b")).select("doc_id", "text_hash", "n", "start", "bag", "print", "b.block", "b.value")
     right = wanted.select("item_id", "n", "shingles", F.col("print").alias("item_print"), F.explode(blocks(F.col("print"), radius)).alias("b")).select("item_id", "n", "shingles", "item_print", "b.block", "b.value")

@@ -228,3 +228,42 @@ def test_chat_roles_with_control_characters(spark):
     assert row["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
     assert row["loss_sha256"] == hashlib.sha256(turns[2][1].encode()).hexdigest()
     assert row["n_turns"] == 3
+
+
+def test_decontamination_of_reordered_items(spark):
+    """Items whose halves or sentences stand in another order, against every window."""
+    rng = np.random.default_rng(9)
+    items, rows = [], [(-1, "v0 v1 v2")]
+    for i in range(12):
+        n = int(rng.integers(30, 70))
+        w = [f"i{i}x{k}" for k in range(n)]
+        fill = lambda m: [f"f{x}" for x in rng.integers(0, 900, m)]  # noqa: E731, B023
+        items.append((i, " ".join(w)))
+        rows.append((10 * i, " ".join([*fill(50), *w[n // 2 :], *w[: n // 2], *fill(50)])))
+        rows.append((10 * i + 1, " ".join([*fill(30), *w[2 * n // 3 :], *w[n // 3 : 2 * n // 3], *w[: n // 3], *fill(3)])))
+        rows.append((10 * i + 2, " ".join([*w[n // 4 :], *fill(4), *w[: n // 4], *fill(20)])))
+        rows.append((10 * i + 3, " ".join([*fill(8), *w[n // 2 :], *fill(n)])))
+    bag = lambda w: Counter(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+    want = {}
+    for d, t in rows:
+        for i, u in items:
+            a, b = t.split(), u.split()
+            for s in range(max(len(a) - len(b), 0) + 1):
+                x, y = bag(a[s : s + len(b)]), bag(b)
+                both, either = sum((x & y).values()), sum((x | y).values())
+                if both * 100 >= 75 * either and both / either > want.get((d, i), (0, 0))[0]:
+                    want[d, i] = both / either, s
+    got = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.similarity, r.start) for r in got} == want
+    assert {10 * i for i in range(12)} <= {d for d, _ in want}
+
+
+def test_fingerprint_lanes(spark):
+    """Counts in lanes give the bits that 64 single counts give, for every lane width."""
+    rng = np.random.default_rng(3)
+    rows = [rng.integers(-(2**63), 2**63 - 1, n).tolist() for n in (0, 1, 2, 3, 8, 125, 126, 127, 300, 32766, 32767)] + [[-1] * 126, [-1] * 127, [0] * 9]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, x array<long>").select("i", decontaminate.fingerprint(decontaminate.F.col("x")).alias("p")).collect()
+    for r in got:
+        x = np.array(rows[r.i], np.int64).astype(np.uint64)
+        bits = sum(1 << b for b in range(64) if 2 * int(((x >> np.uint64(b)) & np.uint64(1)).sum()) > len(x))
+        assert r.p % 2**64 == bits, r.i
