@@ -49,3 +49,14 @@ def test_rerank_missing_ids_and_frobenius(spark):
     # per-item cosine scores lie in [-1, 1]
     cos = rerank.rerank(req, users, items, "cosine")
     assert cos.where(F.abs("score") > 1 + 1e-9).count() == 0
+
+
+def test_registered_search_is_the_configured_one(spark, monkeypatch):
+    from dataclasses import replace
+
+    from ranklift.plans import registry
+
+    spaces = []
+    monkeypatch.setattr(registry, "search", lambda train, scorer, space: (spaces.append(space) or train, None))
+    registry.QUERIES["hyper_search"](spark, SF_SMALL)
+    assert [replace(s, parallelism=1) for s in spaces] == [SearchSpace()]
