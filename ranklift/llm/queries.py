@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklift.llm import chat_format, decontaminate, html_crf, katz, line_dedup, ngram_jaccard, packing, quality, shard_tree, url_lists
+from ranklift.llm import chat_format, decontaminate, html_crf, katz, line_dedup, merkle, ngram_jaccard, packing, pii, quality, shard_tree, url_lists, whitening
 from ranklift.llm.oracles import ORACLES
 
 TOKENIZER = "word_bpe_49k.json"
@@ -96,5 +96,21 @@ def op10_chat_prefix_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.examples(turns.unionByName(extra)))
 
 
-QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_html_crf, op3_adaptive_quality, op4_hash_tree, op5_temporal_url_lists, op6_online_packing, op7_line_dedup, op8_ngram_jaccard, op9_benchmark_decontamination, op10_chat_prefix_target)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = merkle.manifest(docs, merkle.lowered_third(F.col("doc_id"), F.col("text")))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whitened(_table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op13_pii_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.digests(docs, pii.fit(docs))
+
+
+QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_html_crf, op3_adaptive_quality, op4_hash_tree, op5_temporal_url_lists, op6_online_packing, op7_line_dedup, op8_ngram_jaccard, op9_benchmark_decontamination, op10_chat_prefix_target, op11_merkle_manifest, op12_embedding_whitening, op13_pii_bilstm_crf)}
 __all__ = ["ORACLES", "QUERIES"]
