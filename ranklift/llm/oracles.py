@@ -1,7 +1,7 @@
 """DuckDB SQL of the queries that SQL can express on whole tables.
 
 Missing on purpose: op1 (tested against a dictionary model), op2 and op6 (a trained model and a
-tokenizer), op4 (no CRC-32 in SQL; tested against Python).
+tokenizer), op4 (tested against Python), op12 (eigenvectors; tested against numpy), op13 (a trained model).
 """
 
 from __future__ import annotations
@@ -148,6 +148,41 @@ SELECT conv_id, max(n)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) ||
 FROM c GROUP BY conv_id
 """
 
+#: CRC-32 of the decimal doc_id, bit by bit; null stays null.
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c))),
+  lambda x, b: list_reduce(list_concat([xor(x, b)], range(8)), lambda c, _: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)"""
+
+
+def _merkle(levels: int = 12) -> str:
+    """The manifest of up to 8 ** levels rows a group and groups, level by level: tree a within the
+    groups, tree b over them, then every claimed leaf folded through both."""
+    field = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    steps = [
+        f"picked AS (SELECT *, coalesce({_CRC} % 3 = 0, false) AS hit FROM documents)",
+        "told AS (SELECT *, CASE WHEN hit THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS said FROM picked)",
+        f"leaves AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {leaf('text')} AS leaf, {leaf('said')} AS claimed FROM told)",
+        "a0 AS MATERIALIZED (SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS pos, leaf AS node, doc_id, claimed, count(*) OVER (PARTITION BY g) AS n FROM leaves)",
+    ]
+    above = """{0}{2} AS MATERIALIZED (SELECT g, pos // 8 AS pos, (any_value(n) + 7) // 8 AS n,
+  CASE WHEN any_value(n) = 1 THEN any_value(node) ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node FROM {0}{1} GROUP BY g, pos // 8)"""
+    beside = """{0}s{1} AS MATERIALIZED (SELECT g, pos, n, coalesce(string_agg(node, '') OVER (PARTITION BY g, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(node, '') OVER (PARTITION BY g, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {0}{1})"""
+    steps += [above.format("a", k, k + 1) for k in range(levels)]
+    steps.append(f"b0 AS MATERIALIZED (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS pos, node, g AS name, count(*) OVER () AS n FROM a{levels})")
+    steps += [above.format("b", k, k + 1) for k in range(levels)]
+    steps += [beside.format(t, k) for t in "ab" for k in range(levels)]
+    fold = """{0} AS MATERIALIZED (SELECT f.g, doc_id, leaf, subroot, proof || l || r AS proof, place // 8 AS place,
+  CASE WHEN s.n = 1 THEN f.node ELSE sha256(l || f.node || r) END AS node FROM {1} f JOIN {2} s ON {3} AND s.pos = f.place)"""
+    steps.append("f0 AS MATERIALIZED (SELECT g, doc_id, node AS leaf, NULL AS subroot, '' AS proof, pos AS place, claimed AS node FROM a0)")
+    steps += [fold.format(f"f{k + 1}", f"f{k}", f"as{k}", "s.g = f.g") for k in range(levels)]
+    steps.append(f"h0 AS MATERIALIZED (SELECT f.g, doc_id, leaf, b0.node AS subroot, proof, b0.pos AS place, f.node FROM f{levels} f JOIN b0 ON b0.name = f.g)")
+    steps += [fold.format(f"h{k + 1}", f"h{k}", f"bs{k}", "true") for k in range(levels)]
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, subroot, b{levels}.node AS root, sha256(proof) AS proof_sha256, h{levels}.node AS folded_root, h{levels}.node = b{levels}.node AS verified
+FROM h{levels} CROSS JOIN b{levels}"""
+
+
 ORACLES = {
     "op3_adaptive_quality": OP3,
     "op5_temporal_url_lists": OP5,
@@ -155,4 +190,5 @@ ORACLES = {
     "op8_ngram_jaccard": OP8,
     "op9_benchmark_decontamination": OP9,
     "op10_chat_prefix_target": OP10,
+    "op11_merkle_manifest": _merkle(),
 }

@@ -27,7 +27,7 @@ def test_stages(spark):
     assert good & ids
 
 
-@pytest.mark.parametrize("name", ["op5_temporal_url_lists", "op10_chat_prefix_target", "op7_line_dedup"])
+@pytest.mark.parametrize("name", ["op3_adaptive_quality", "op5_temporal_url_lists", "op7_line_dedup", "op8_ngram_jaccard", "op9_benchmark_decontamination", "op10_chat_prefix_target", "op11_merkle_manifest"])
 def test_query_matches_sql(spark, name):
     import duckdb
     from compare import compare
