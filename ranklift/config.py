@@ -59,7 +59,8 @@ class SearchSpace:
     n_trials: int = 20
     folds: int = 3
     seed: int = 7
-    parallelism: int = 1  # trials submitted concurrently (each trial's fits stay sequential)
+    parallelism: int = 1  # fits submitted concurrently
+    fold_by: str = "rows"  # contiguous folds of the ordered rows; "user": by the user's hash
 
 
 @dataclass(frozen=True)

@@ -21,21 +21,27 @@ from ..functions import ITEM_SENTINEL, parse_day, safe_div, valid_token
 from ..schemas import require_columns
 
 
+def valid_purchases(events: DataFrame) -> DataFrame:
+    """``(event_dt, userid, itemid, price)`` of the events with valid user and item tokens."""
+    require_columns(events, ["event_dt", "userid", "item_id", "price"])
+    kept = events.where(valid_token("userid") & valid_token("item_id", (ITEM_SENTINEL,)))
+    return kept.select("event_dt", "userid", F.col("item_id").alias("itemid"), "price")
+
+
 def filter_events(events: DataFrame, window: Window) -> DataFrame:
     """Rows of the affinity query: day window and valid user/item tokens."""
-    require_columns(events, ["event_dt", "userid", "item_id", "price"])
-    return events.where(
-        F.col("event_dt").between(window.start, window.end)
-        & valid_token("userid")
-        & valid_token("item_id", (ITEM_SENTINEL,))
-    )
+    return valid_purchases(events).where(F.col("event_dt").between(window.start, window.end))
 
 
 def user_item_day(events: DataFrame, window: Window) -> DataFrame:
     """A1: ``(userid, itemid, event_day, interaccion, n_items, total_price)``."""
-    rows = filter_events(events, window)
+    return item_days(filter_events(events, window))
+
+
+def item_days(rows: DataFrame) -> DataFrame:
+    """A1 of valid purchases."""
     return rows.groupBy(
-        "userid", F.col("item_id").alias("itemid"), parse_day("event_dt").alias("event_day")
+        "userid", "itemid", parse_day("event_dt").alias("event_day")
     ).agg(
         F.lit(1).alias("interaccion"),  # COUNT(*) > 0 always holds for a group
         F.count(F.lit(1)).alias("n_items"),
@@ -102,15 +108,49 @@ def affinity_scores(weights: DataFrame) -> DataFrame:
     )
 
 
-def affinity_matrix(events: DataFrame, window: Window, day_totals: str = "window") -> DataFrame:
+HEAVY_ROWS = 5_000_000
+
+
+def heavy_users(events: DataFrame, window: Window, heavy_rows: int = HEAVY_ROWS) -> DataFrame | None:
+    """``(userid)`` of the users with more than ``heavy_rows`` events in the window (None: there
+    are none); fewer than events / ``heavy_rows`` of them. Counted map-side from one column."""
+    counts = filter_events(events, window).groupBy("userid").agg(F.count(F.lit(1)).alias("_n"))
+    heavy = counts.where(F.col("_n") > heavy_rows).select("userid").persist()
+    if heavy.head(1):
+        return heavy
+    heavy.unpersist()
+    return None
+
+
+def affinity_matrix(events: DataFrame, window: Window, day_totals: str = "window", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Flagship: cleaned user-item matrix ``(userid, itemid, rating)``.
 
     NULL ratings are dropped (F12); rows are unique per (userid, itemid) by
     construction, so the reference's exact dedup is a no-op and is not planned.
+
+    ``day_totals="by_user"``: one exchange, by user, serves the item-days, the day totals and the
+    scores; users beyond ``heavy_rows`` events take the other way, which deals a user's rows by item
+    and day. ``"window"`` and ``"join"``: see the module.
     """
+    if day_totals == "by_user":
+        heavy = heavy_users(events, window, heavy_rows)
+        rows = filter_events(events, window)
+        if heavy is None:
+            return _by_user(rows)
+        few = F.broadcast(heavy)  # fewer than events / heavy_rows users
+        dealt = affinity_matrix(events.join(few, "userid", "left_semi"), window, "window")
+        return _by_user(rows.join(few, "userid", "left_anti")).unionByName(dealt)
     uid = user_item_day(events, window)
     totals = user_day_totals_from_events(events, window) if day_totals == "join" else None
-    scores = affinity_scores(day_weights(uid, day_totals, totals))
+    return _ratings(affinity_scores(day_weights(uid, day_totals, totals)))
+
+
+def _by_user(rows: DataFrame) -> DataFrame:
+    uid = item_days(rows.repartition("userid"))
+    return _ratings(affinity_scores(day_weights(uid, "window")))
+
+
+def _ratings(scores: DataFrame) -> DataFrame:
     return scores.where(F.col("affinity_score").isNotNull()).select(
         "userid", "itemid", F.col("affinity_score").alias("rating")
     )

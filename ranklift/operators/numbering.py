@@ -5,12 +5,15 @@ repartition gives each task a contiguous sorted slice; the per-task counts (one
 row per task) are turned into offsets. No single-partition window.
 
 ``number_within``: 1-based row number inside each group under the total order
-``(h, order...)`` where ``h`` is a 32-bit md5 prefix of the row. One small
-action reads the largest group size: when every group fits ``rows_per_bucket``
-a single window numbers them; otherwise groups are split into contiguous ``h``
-ranges that are numbered in parallel and stitched with per-bucket offsets, so a
+``(h, order...)`` where ``h`` is a 60-bit md5 prefix of the row. Groups are split into contiguous
+``h`` ranges of about ``rows_per_bucket`` rows (most groups: one range) that are numbered in
+parallel and stitched with per-bucket offsets, so a
 group holding a third of all rows still spreads over many tasks. The numbering
 does not depend on the bucket size.
+
+``rank_by_range``: 1-based row number inside each group under any order, for groups too large for
+a task: the rows are dealt in (group, order) ranges, sorted and counted there, and the counts of
+earlier ranges are added.
 """
 
 from __future__ import annotations
@@ -52,6 +55,30 @@ def dense_index(values: DataFrame, columns, index_col: str = "idx", partitions:
     return out.select(*cols, (F.col("_off") + F.col("_local")).alias(index_col))
 
 
+def rank_by_range(df: DataFrame, group: list[str], order: list[Column], rank_col: str, partitions: int | None = None) -> DataFrame:
+    """Add ``rank_col`` (1-based, by ``order`` within ``group``) without a task per group.
+
+    Meant for few, large groups: the running counts have a row for each range and each group
+    that begins in it, and are broadcast. Rows equal in ``order`` are told apart by their place, so that
+    copies of a row are dealt over ranges too.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*(F.col(c) for c in group), *order, F.col("_copy")]
+    ranged = df.withColumn("_copy", F.monotonically_increasing_id()).repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_copy")
+    # Written once, so that the counts and the rows see the same ranges.
+    ranged = ranged.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33))
+    runs = ranged.groupBy(*group, "_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(*group).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1))
+    starts = runs.select(*group, "_pid", (F.coalesce(before, F.lit(0)) + 1 - F.col("_first")).alias("_shift"))
+    out = ranged.join(F.broadcast(starts), [*group, "_pid"])
+    return out.withColumn(rank_col, F.col("_mid") + F.col("_shift")).drop("_mid", "_pid", "_shift")
+
+
 def row_hash(*cols: Column) -> Column:
     """60-bit md5 prefix of ``concat_ws('|', cols)`` (same value in any SQL engine)."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *cols)), 1, 15), 16, 10).cast("bigint")

@@ -120,9 +120,16 @@ class Scored:
         rows = self.raw.where(F.col("itemid").isNotNull())
         return top_k_by(rows, self.k, [F.col("key").desc(), F.col("itemid")]).select("userid", "rank", "itemid", "score")
 
+    def scan_report(self) -> DataFrame:
+        """How many (user, item block) pairs were scored, of how many; the others were ruled out
+        by the lengths of the vectors."""
+        pairs = self.raw.where(F.col("userid").isNull())
+        total, scored = F.coalesce(F.sum("gain"), F.lit(0.0)), F.coalesce(F.sum("cnt"), F.lit(0))
+        return pairs.agg(total.cast("bigint").alias("n_pairs"), scored.cast("bigint").alias("n_scored"), (1 - F.try_divide(scored, total)).alias("share_skipped"))
+
     def levels(self) -> DataFrame:
         """Score levels starting within the top k: ``(userid, level_start, level_key, n_items, gain_sum)``."""
-        rows = self.raw.where(F.col("itemid").isNull())
+        rows = self.raw.where(F.col("userid").isNotNull() & F.col("itemid").isNull())
         merged = rows.groupBy("userid", "key").agg(F.sum("cnt").alias("n_items"), F.sum("gain").alias("gain_sum"))
         before = F.sum("n_items").over(
             W.partitionBy("userid").orderBy(F.col("key").desc()).rowsBetween(W.unboundedPreceding, -1)

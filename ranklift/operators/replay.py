@@ -5,7 +5,7 @@ are re-ordered by the model; the j-th best predicted item takes the position of
 the j-th shown slot. ``diff_pos = current_pos - predict_pos`` measures how far
 the added item moved up.
 
-Per-session windows are bounded by the length of one result list. The
+A session group is numbered in one task up to ``HOT_ROWS`` rows and in ranges beyond. The
 current x predicted self-join of the reference (m identical adds -> m^2 rows)
 is computed on distinct positions with a pair weight instead of materialising
 the m^2 rows; statistics use the weight (``percentile`` with a frequency).
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..config import check_metric
 from ..functions import constant_vector, score
 from ..functions.vectors import rank_key
+from .numbering import rank_by_range
 
 SESSION = ["fecha", "userid", "correlation_id"]
 GROUP = ["fecha", "userid", "correlation_id", "search_query", "a2c_itemid"]
@@ -131,14 +132,68 @@ def predict_pairs_all(
     )
 
 
-def slot_assignment(predicted: DataFrame, metric: str | None, keys=()) -> DataFrame:
+def predict_models(
+    merged: DataFrame, factors: DataFrame, ranks: dict[int, int], dictionary: DataFrame, metric: str, cold_start: str = "minus_one"
+) -> DataFrame:
+    """The scores of many models from one vector lookup: one row per (merged row, ``model``).
+
+    ``factors``: ``(model, kind, idx, features)``, ids numbered by ``dictionary`` ``(kind, id,
+    idx)``; ``ranks``: vector length of each model. Only the users and items of ``merged`` are
+    looked up, each once, with its vectors of all models as one map (as many entries as models);
+    each distinct (user, item) pair is scored once and the scores are joined back.
+    """
+    check_metric(metric)
+    pairs = merged.select("userid", "imp_itemid").distinct()
+
+    def vectors(kind: str, col: str, out: str) -> DataFrame:
+        ids = dictionary.where(F.col("kind") == kind).select(F.col("id").alias(col), "idx").join(pairs.select(col).distinct(), col)
+        own = factors.where(F.col("kind") == kind).select("model", "idx", F.col("features").cast("array<double>").alias("v")).join(ids, "idx")
+        return own.groupBy(col).agg(F.map_from_entries(F.collect_list(F.struct("model", "v"))).alias(out))
+
+    looked = pairs.join(vectors("u", "userid", "_u"), "userid", "left").join(vectors("i", "imp_itemid", "_i"), "imp_itemid", "left")
+    fill = 0.0 if cold_start == "zero" else -1.0
+    models = F.array(*(F.struct(F.lit(m).alias("model"), F.lit(r).alias("rank")) for m, r in sorted(ranks.items())))
+
+    def one(m):
+        u, i = F.try_element_at("_u", m["model"]), F.try_element_at("_i", m["model"])
+        if cold_start != "drop":
+            cold = F.array_repeat(F.lit(fill), m["rank"])
+            u, i = F.coalesce(u, cold), F.coalesce(i, cold)
+        return F.struct(m["model"].alias("model"), score(metric, u, i).alias("prediction"))
+
+    scored = looked.select("userid", "imp_itemid", F.transform(models, one).alias("_scores"))
+    out = _score_back(merged, scored, ["_scores"]).select(*merged.columns, F.explode("_scores").alias("_m"))
+    out = out.select(*merged.columns, F.col("_m.model").alias("model"), F.col("_m.prediction").alias("prediction"))
+    return out.where("prediction is not null") if cold_start == "drop" else out
+
+
+HOT_ROWS = 1_000_000
+
+
+def large_groups(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The session groups with more than ``hot_rows`` rows (None: there are none). There are fewer
+    than rows / ``hot_rows`` of them."""
+    large = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n").persist()
+    if large.head(1):
+        return large
+    large.unpersist()
+    return None
+
+
+def slot_assignment(predicted: DataFrame, metric: str | None, keys=(), sizes_from: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """W4 + W5: predicted order of each group mapped onto its shown slots.
 
     Output ``(GROUP..., slot, predict_itemid, prediction, imp_position)``: the
     item ranked ``slot`` by the model and the position of the ``slot``-th shown
-    result. Ties: rounded score, then shown position, then item id.
+    result. Ties: rounded score, then shown position, then item id; a missing score comes last.
     ``metric=None`` reads the metric per row from a ``metric`` column (then pass
     ``keys=("metric",)``).
+
+    The rows move once, by group: each gives a record for its place in the predicted and one in the shown
+    order, both are numbered, and a record takes the position of the one beside it. Groups
+    beyond ``hot_rows`` rows are numbered in ranges over many tasks instead and joined by
+    (group, slot). ``sizes_from``: frame with the rows of the groups to count, once for
+    all ``keys`` (default: ``predicted``).
     """
     group = [*GROUP, *keys]
     if metric is None:
@@ -146,14 +201,32 @@ def slot_assignment(predicted: DataFrame, metric: str | None, keys=()) -> DataFr
         key = F.when(F.col("metric") == "dot_product", r).otherwise(-r)
     else:
         key = rank_key(metric, F.col("prediction"))
-    by_pred = W.partitionBy(*group).orderBy(key.desc(), F.col("imp_position"), F.col("imp_itemid"))
-    by_slot = W.partitionBy(*group).orderBy(F.col("imp_position"), F.col("imp_itemid"))
-    ranked = predicted.withColumn("_pred_rank", F.row_number().over(by_pred)).withColumn(
-        "_slot", F.row_number().over(by_slot)
+    rows = predicted.select(*group, "imp_itemid", "imp_position", "prediction", (-key).alias("_key"))
+    large = large_groups(predicted if sizes_from is None else sizes_from, hot_rows)
+    if large is None:
+        return _slots_in_task(rows, group)
+    ordinary = _slots_in_task(rows.join(large, GROUP, "left_anti"), group)
+    return ordinary.unionByName(_slots_in_ranges(rows.join(large, GROUP, "left_semi"), group))
+
+
+def _slots_in_task(rows: DataFrame, group: list[str]) -> DataFrame:
+    record = lambda kind, key: F.struct(F.lit(kind).alias("_kind"), key.alias("_by"))
+    both = F.array(record(0, F.col("_key")), record(1, F.lit(None).cast("double")))
+    records = rows.repartition(*[F.col(c) for c in group]).select("*", F.inline(both)).drop("_key")
+    order = [F.col("_by").asc_nulls_last(), "imp_position", "imp_itemid"]
+    placed = records.withColumn("slot", F.row_number().over(W.partitionBy(*group, "_kind").orderBy(*order)))
+    beside = F.lead("imp_position").over(W.partitionBy(*group).orderBy("slot", "_kind"))
+    return placed.withColumn("_beside", beside).where("_kind = 0").select(
+        *group, "slot", F.col("imp_itemid").alias("predict_itemid"), "prediction", F.col("_beside").alias("imp_position")
     )
-    items = ranked.select(*group, F.col("_pred_rank").alias("slot"), F.col("imp_itemid").alias("predict_itemid"), "prediction")
-    slots = ranked.select(*group, F.col("_slot").alias("slot"), "imp_position")
-    return items.join(slots, [*group, "slot"])
+
+
+def _slots_in_ranges(rows: DataFrame, group: list[str]) -> DataFrame:
+    shown = [F.col("imp_position").asc(), F.col("imp_itemid").asc()]
+    items = rank_by_range(rows, group, [F.col("_key").asc_nulls_last(), *shown], "slot")
+    slots = rank_by_range(rows.select(*group, "imp_position", "imp_itemid"), group, shown, "slot")
+    items = items.select(*group, F.col("slot").cast("int").alias("slot"), F.col("imp_itemid").alias("predict_itemid"), "prediction")
+    return items.join(slots.select(*group, F.col("slot").cast("int").alias("slot"), "imp_position"), [*group, "slot"])
 
 
 def position_shift(merged: DataFrame, slots: DataFrame, keys=()) -> DataFrame:

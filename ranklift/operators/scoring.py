@@ -1,26 +1,29 @@
 """Score every candidate item for every user, keep only what top-k needs.
 
-The rank metrics are defined over *all* candidate items of each user, so every
-(user, item) score has to be computed; materialising them as rows would be
-quadratic. Instead users and items are packed into bounded blocks (hash of the
-id; ``user_block`` / ``item_block`` rows each, 512 / 2048 by default), each
-(user block, item block) pair is scored by one dense numpy matmul inside
-``mapInArrow``, and only two small things leave the task per user:
-
-* the block's top-k items under the total order (key desc, itemid asc);
-* the block's top score levels ``(key, count, gain sum)`` covering the first k
+The rank metrics are defined over *all* candidate items of each user;
+materialising the scores as rows would be quadratic. Users are packed into
+blocks (hash of the id), items into blocks by the length of their vectors, and
+a user block meets an item block in one numpy matmul inside ``mapInArrow``. Only
+two small things leave a task per user:
+
+* the top-k items under the total order (key desc, itemid asc);
+* the top score levels ``(key, count, gain sum)`` covering the first k
   positions (needed for tie-averaged NDCG).
 
-Both merge exactly across blocks: a level or item in the global top-k is in the
-local top-k of every block that holds it. A task merges them as it goes over the
-item blocks, so it emits O(users x k) rows, whatever the block size. Distances are
-computed directly for the items that may be kept; scores closer than
-``digits`` decimals count as ties (``None``: only equal ones).
+Both merge exactly: a level or item in the global top-k is in the local top-k of
+every set of items that holds it. A score is bounded by the lengths alone
+(|u||v| for the dot product, ||u| - |v|| for the distance), so a user whose k-th
+key beats all that a block could give skips the block; the rows are those of the full scan.
+
+First, every user block runs over the ``first_bytes`` of items that promise most (the longest
+vectors, or those nearest to the users' mean length): a proven bound, so they are shipped once per
+worker. The other items, if there are any, stay distributed in ranges of lengths; each user's k-th key
+picks the range of blocks that could still matter, and only those (item block, users) pairs are
+joined, by the block's number, with the item blocks dealt over groups of user blocks.
 
-The item blocks are shipped once per worker (a broadcast) only when their
-size (items x rank x 8 bytes) is under ``broadcast_bytes``; otherwise the block
-pairs are formed by a product of the two block tables (block pairs, not item
-pairs), each pair one task-side matmul.
+Distances are computed directly for the items that may be kept; scores closer than
+``digits`` decimals count as ties (``None``: only equal ones). Rows without a user count
+(user, item block) pairs: ``cnt`` scored of ``gain`` in all.
 """
 
 from __future__ import annotations
@@ -32,12 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import check_metric
+from ..functions.vectors import norm
 
 KEY_DIGITS = 9
+FIRST_BYTES = 64 << 20
 
 OUT_SCHEMA = T.StructType(
     [
-        T.StructField("userid", T.StringType()),
+        T.StructField("userid", T.StringType()),  # NULL on counts of scored pairs
         T.StructField("itemid", T.StringType()),  # NULL on level rows
         T.StructField("key", T.DoubleType()),  # rounded score, larger is better
         T.StructField("score", T.DoubleType()),  # raw dot / distance (item rows)
@@ -47,14 +52,30 @@ OUT_SCHEMA = T.StructType(
 )
 
 
-def _block_scorer(k: int, metric: str, item_blocks=None, digits: int | None = KEY_DIGITS):
+def _reach(dot: bool, digits: int | None):
+    """``reach(norms of users, shortest, longest)``: the greatest key that an item with a length
+    in that range can have for each user, with room for rounding."""
+    unit = 10.0**-digits if digits is not None else 0.0
+
+    def reach(lengths, lo, hi):
+        import numpy as np
+
+        if dot:
+            return lengths * hi * (1 + 1e-12) + unit
+        return unit + 1e-12 * (1 + lengths + hi) - np.maximum(0.0, np.maximum(lo - lengths, lengths - hi))
+
+    return reach
+
+
+def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
     """The per-task kernel. Self-contained (imports inside) so it ships by value.
 
-    ``item_blocks``: a broadcast of ``[(ids, matrix), ...]`` when the item table
-    is under the broadcast bound; otherwise every input row carries one item
-    block (``i_ids``, ``i_vecs``).
+    ``shared``: a broadcast of ``[(ids, matrix), ...]``, most promising first; otherwise every
+    input row carries one item block (``i_ids``, ``i_vecs``) and each user's k-th key so far
+    (``u_keys``).
     """
     dot = metric == "dot_product"
+    reach = _reach(dot, digits)
 
     def score_batches(batches):
         import numpy as np
@@ -70,7 +91,7 @@ def _block_scorer(k: int, metric: str, item_blocks=None, digits: int | None = KE
             return np.asarray(list_scalar.values.to_pylist(), dtype=object)
 
         def catalogue(blocks):
-            """All ids in order, id -> number, block and column of each number, (numbers, vectors) per block."""
+            """All ids in order, id -> number, block and column of each number; (numbers, vectors, shortest, longest) per block."""
             ids = np.sort(np.concatenate([b for b, _ in blocks]))
             number = {x: j for j, x in enumerate(ids)}
             block, column, parts = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), []
@@ -78,12 +99,13 @@ def _block_scorer(k: int, metric: str, item_blocks=None, digits: int | None = KE
                 at = np.fromiter((number[x] for x in b), np.int64, len(b))
                 o = np.argsort(at)
                 block[at], column[at[o]] = j, np.arange(len(b))
-                parts.append((at[o], v[o]))
+                lengths = np.sqrt((v * v).sum(1))
+                parts.append((at[o], v[o], lengths.min(initial=np.inf), lengths.max(initial=0.0)))
             return ids, number, block, column, parts
 
-        shared = None
-        if item_blocks is not None:
-            shared = catalogue([(np.asarray(ids, dtype=object), vecs) for ids, vecs in item_blocks.value])
+        known_items = None
+        if shared is not None:
+            known_items = catalogue([(np.asarray(ids, dtype=object), vecs) for ids, vecs in shared.value])
 
         def first_of(rows, n):
             return np.searchsorted(rows, np.arange(n))
@@ -103,7 +125,7 @@ def _block_scorer(k: int, metric: str, item_blocks=None, digits: int | None = KE
             st = np.flatnonzero(new)
             rows, key, gain, cnt = rows[st], key[st], np.add.reduceat(gain[o], st), np.add.reduceat(cnt[o], st)
             before = np.cumsum(cnt) - cnt
-            sel = before - before[first_of(rows, n)][rows] < k
+            sel = before - before[first_of(rows, n)[rows]] < k
             return rows[sel], key[sel], gain[sel], cnt[sel]
 
         def candidates(U, V):
@@ -126,34 +148,61 @@ def _block_scorer(k: int, metric: str, item_blocks=None, digits: int | None = KE
                 d[s] = np.sqrt(((U[rows[s]] - V[cols[s]]) ** 2).sum(1))
             return rows, cols, -(np.round(d, digits) if digits is not None else d), d
 
-        def score_users(U, n, rel, parts):
-            """Running top k and levels of a user block over all item blocks."""
+        def kth_keys(n, items):
+            """Each user's k-th key; minus infinity before there are k."""
+            out = np.full(n, -np.inf)
+            rows, key = items[0], items[2]
+            full = np.bincount(rows, minlength=n) == k
+            np.minimum.at(low := np.full(n, np.inf), rows, key)
+            out[full] = low[full]
+            return out
+
+        def score_users(U, rel, parts, kth):
+            """Running top k and levels of a user block over the item blocks; pairs scored."""
+            n = len(U)
+            lengths = np.sqrt((U * U).sum(1))
             r_row, r_block, r_col, r_gain = rel
             edges = np.searchsorted(r_block, np.arange(len(parts) + 1))
             items = levels = None
-            for j, (numbers, V) in enumerate(parts):
-                if not len(numbers):
+            scored = 0
+            for j, (numbers, V, lo, hi) in enumerate(parts):
+                active = np.flatnonzero(reach(lengths, lo, hi) >= kth)
+                if not len(numbers) or not len(active):
                     continue
-                rows, cols, key, raw = candidates(U, V)
+                scored += len(active)
+                rows, cols, key, raw = candidates(U[active], V)
+                rows = active[rows]
                 gains = np.zeros((n, len(numbers)))
                 mine = slice(edges[j], edges[j + 1])
                 np.add.at(gains, (r_row[mine], r_col[mine]), r_gain[mine])
+                worth = key >= kth[rows]
+                rows, cols, key, raw = rows[worth], cols[worth], key[worth], raw[worth]
                 gain = gains[rows, cols]
                 found = (rows, numbers[cols], key, raw, gain)
                 runs = (rows, key, gain, np.ones(len(rows), np.int64))
+                if not len(rows):
+                    continue
                 items = best_items(n, *(found if items is None else map(np.concatenate, zip(items, found))))
                 levels = best_levels(n, *(runs if levels is None else map(np.concatenate, zip(levels, runs))))
-            return items, levels
+                kth = np.maximum(kth, kth_keys(n, items))
+            return items, levels, scored
 
         for batch in batches:
             out = [[] for _ in types]
+
+            def emit(*columns):
+                for x, v in zip(out, columns):
+                    x.append(v)
+
             for r in range(batch.num_rows):
                 uids = strings(batch.column("u_ids")[r])
-                if shared is None:
+                if known_items is None:
                     iids = strings(batch.column("i_ids")[r])
                     ids, number, block, column, parts = catalogue([(iids, matrix(batch.column("i_vecs")[r].values, len(iids)))])
+                    kth = batch.column("u_keys")[r].values.to_numpy(zero_copy_only=False)
                 else:
-                    ids, number, block, column, parts = shared
+                    ids, number, block, column, parts = known_items
+                    kth = np.full(len(uids), -np.inf)
                 if len(uids) == 0 or len(ids) == 0:
                     continue
                 rel = [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
@@ -162,38 +211,41 @@ def _block_scorer(k: int, metric: str, item_blocks=None, digits: int | None = KE
                     users = np.array([row_of.get(x, -1) for x in batch.column("r_u")[r].values.to_pylist()], np.int64)
                     item = np.array([number.get(x, -1) for x in batch.column("r_i")[r].values.to_pylist()], np.int64)
                     gain = batch.column("r_v")[r].values.to_numpy(zero_copy_only=False)
-                    known = (users >= 0) & (item >= 0)
-                    users, item, gain = users[known], item[known], gain[known]
+                    both = (users >= 0) & (item >= 0)
+                    users, item, gain = users[both], item[both], gain[both]
                     o = np.argsort(block[item], kind="stable")
                     rel = [users[o], block[item[o]], column[item[o]], gain[o]]
-                (rows, item, key, raw, gain), (l_rows, l_key, l_gain, l_cnt) = score_users(matrix(batch.column("u_vecs")[r].values, len(uids)), len(uids), rel, parts)
+                items, levels, scored = score_users(matrix(batch.column("u_vecs")[r].values, len(uids)), rel, parts, kth)
+                none = np.full(1, None, dtype=object)
+                emit(none, none, np.full(1, np.nan), np.full(1, np.nan), np.array([float(len(uids) * len(parts))]), np.array([scored]))
+                if items is None:
+                    continue
+                (rows, item, key, raw, gain), (l_rows, l_key, l_gain, l_cnt) = items, levels
                 n, m = len(rows), len(l_rows)
-                new = (
-                    np.concatenate([uids[rows], uids[l_rows]]),
-                    np.concatenate([ids[item], np.full(m, None, dtype=object)]),
-                    np.concatenate([key, l_key]),
-                    np.concatenate([raw, np.full(m, np.nan)]),  # NaN -> null on level rows
-                    np.concatenate([gain, l_gain]),
-                    np.concatenate([np.ones(n, np.int64), l_cnt]),
-                )
-                for x, v in zip(out, new):
-                    x.append(v)
+                emit(uids[rows], ids[item], key, raw, gain, np.ones(n, np.int64))
+                emit(uids[l_rows], np.full(m, None, dtype=object), l_key, np.full(m, np.nan), l_gain, l_cnt)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], type=t, from_pandas=True) for x, t in zip(out, types)], schema=out_schema)
 
     return score_batches
 
 
-def _blocks(df: DataFrame, id_col: str, n_blocks: int, block_col: str, prefix: str) -> DataFrame:
-    """One row per block: ids and their vectors flattened into one ``array<double>``
+def _packed(rows: DataFrame, by: list[str], id_col: str, prefix: str, extra: dict[str, str] | None = None) -> DataFrame:
+    """One row per ``by``: ids and their vectors flattened into one ``array<double>``
     (flat primitive arrays cross the JVM/Python boundary far faster than nested ones)."""
-    with_block = df.withColumn(block_col, F.pmod(F.xxhash64(id_col), F.lit(n_blocks)))
+    extra = extra or {}
+    member = F.struct(F.col(id_col).alias("id"), F.col("features").alias("v"), *(F.col(c) for c in extra))
     m = F.col("_m")
-    return with_block.groupBy(block_col).agg(
-        F.collect_list(F.struct(F.col(id_col).alias("id"), F.col("features").alias("v"))).alias("_m")
-    ).select(
-        block_col,
+    return rows.groupBy(*by).agg(F.collect_list(member).alias("_m")).select(
+        *by,
         F.transform(m, lambda s: s["id"]).alias(f"{prefix}_ids"),
         F.flatten(F.transform(m, lambda s: s["v"])).alias(f"{prefix}_vecs"),
+        *(F.col("_m")[c].alias(name) for c, name in extra.items()),
+    )
+
+
+def _relevance(ratings: DataFrame, by: list[str]) -> DataFrame:
+    return ratings.groupBy(*by).agg(F.collect_list(F.struct("userid", "itemid", F.col("rating").cast("double").alias("r"))).alias("_r")).select(
+        *by, F.col("_r.userid").alias("r_u"), F.col("_r.itemid").alias("r_i"), F.col("_r.r").alias("r_v")
     )
 
 
@@ -205,7 +257,7 @@ def score_top_levels(
     metric: str,
     user_block: int = 512,
     item_block: int = 2048,
-    broadcast_bytes: int = 64 << 20,
+    first_bytes: int = FIRST_BYTES,
     n_users: int | None = None,
     n_items: int | None = None,
     digits: int | None = KEY_DIGITS,
@@ -214,44 +266,91 @@ def score_top_levels(
 
     users: ``(userid, features)``; items: ``(itemid, features)``;
     ratings: ``(userid, itemid, rating)`` (relevance; absent pairs have 0).
-    Returns rows of ``OUT_SCHEMA``, merged across item blocks by
+    Returns rows of ``OUT_SCHEMA``, merged by
     ``rank_metrics.Scored.top_items`` / ``Scored.levels``.
     """
     check_metric(metric)
+    k, dot = int(k), metric == "dot_product"
     if n_users is None:
         n_users = users.count()
     first = items.select(F.size("features").alias("rank")).first()
     if n_users == 0 or first is None:
         return users.sparkSession.createDataFrame([], OUT_SCHEMA)
-    rank = int(first["rank"])
     if n_items is None:
         n_items = items.count()
-    if n_items == 0:
-        return users.sparkSession.createDataFrame([], OUT_SCHEMA)
     nu = max(1, math.ceil(n_users / user_block))
-    ni = max(1, math.ceil(n_items / item_block))
-    ub = _blocks(users, "userid", nu, "ub", "u")
-    ib = _blocks(items, "itemid", ni, "ib", "i")
+    room = max(1, int(first_bytes // (8 * max(1, int(first["rank"])))))  # items of the first part
+    items = items.withColumn("_len", norm("features"))
+    if dot:
+        promise = -F.col("_len")
+    else:
+        middle = users.agg(F.avg(norm("features"))).first()[0]
+        promise = F.abs(F.col("_len") - F.lit(float(middle)))
+    items = items.withColumn("_promise", promise)
+    table = items.orderBy("_promise", "itemid").limit(room).select("itemid", "features", "_promise").toArrow()  # first_bytes at most
+    ids = table.column("itemid").to_pylist()
+    vecs = table.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(ids), -1)
+    blocks = [(ids[a : a + item_block], vecs[a : a + item_block]) for a in range(0, len(ids), item_block)]
+    shared = users.sparkSession.sparkContext.broadcast(blocks)
     # A block's users travel with their own relevance rows (at most one per
     # candidate item each, i.e. no more than the scores the task computes).
-    rb = (
-        ratings.withColumn("ub", F.pmod(F.xxhash64("userid"), F.lit(nu)))
-        .groupBy("ub")
-        .agg(F.collect_list(F.struct("userid", "itemid", F.col("rating").cast("double").alias("r"))).alias("_r"))
-        .select("ub", F.col("_r.userid").alias("r_u"), F.col("_r.itemid").alias("r_i"), F.col("_r.r").alias("r_v"))
-    )
-    # One user block per task; the task scores it against every item block.
-    ub = ub.join(rb, "ub", "left").repartition(nu, "ub")
-    if n_items * rank * 8 <= broadcast_bytes:
-        # Proven bound: ship the item blocks once per worker.
-        table = ib.toArrow()
-        blocks = []
-        for j in range(table.num_rows):
-            ids = table.column("i_ids")[j].values.to_pylist()
-            flat = table.column("i_vecs")[j].values.to_numpy(zero_copy_only=False).astype("float64")
-            blocks.append((ids, flat.reshape(len(ids), -1)))
-        shared = users.sparkSession.sparkContext.broadcast(blocks)
-        return ub.mapInArrow(_block_scorer(int(k), metric, shared, digits), OUT_SCHEMA)
-    # Larger catalogues: pair user blocks with item blocks (blocks, not items).
-    pairs = ub.crossJoin(ib)
-    return pairs.mapInArrow(_block_scorer(int(k), metric, None, digits), OUT_SCHEMA)
+    by_block = lambda df: df.withColumn("ub", F.pmod(F.xxhash64("userid"), F.lit(nu)))
+    near = ratings
+    if n_items > len(ids):
+        near = ratings.join(F.broadcast(users.sparkSession.createDataFrame([(i,) for i in ids], "itemid string")), "itemid", "left_semi")
+    ub = _packed(by_block(users), ["ub"], "userid", "u").join(_relevance(by_block(near), ["ub"]), "ub", "left").repartition(nu, "ub")
+    out = ub.mapInArrow(_block_scorer(k, metric, digits, shared), OUT_SCHEMA)
+    if n_items <= len(ids):
+        return out
+    out = out.persist()  # the k-th keys and the merge read it
+    last = (table.column("_promise")[-1].as_py(), ids[-1])
+    rest = items.where((F.col("_promise") > last[0]) | ((F.col("_promise") == last[0]) & (F.col("itemid") > last[1])))
+    return out.unionByName(_score_rest(users, rest, ratings, out, n_items - len(ids), k, metric, user_block, item_block, digits))
+
+
+def _score_rest(users, rest, ratings, first, n_rest, k, metric, user_block, item_block, digits) -> DataFrame:
+    """The items beyond the first part, for the users whom they could still matter to."""
+    from ..session import ensure_checkpoint_dir
+
+    spark = users.sparkSession
+    ensure_checkpoint_dir(spark)
+    # Ranges of lengths; written once, so that every reader sees the same blocks.
+    ranged = rest.repartitionByRange(max(1, math.ceil(n_rest / item_block)), "_len", "itemid")
+    ranged = ranged.select("itemid", "features", "_len", F.spark_partition_id().alias("ib")).checkpoint(eager=True)
+    sizes = ranged.groupBy("ib").agg(F.min("_len").alias("lo"), F.max("_len").alias("hi")).orderBy("ib").collect()  # a row per item block
+    numbers, lo, hi = ([r[c] for r in sizes] for c in ("ib", "lo", "hi"))
+    reach = _reach(metric == "dot_product", digits)
+
+    def needed(batches):
+        """The item blocks that could still matter to each user."""
+        import numpy as np
+        import pyarrow as pa
+
+        a, b, at = np.array(lo), np.array(hi), np.array(numbers)
+        for batch in batches:
+            lengths, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_len", "_key"))
+            found = [at[reach(x, a, b) >= y] for x, y in zip(lengths, keys)]
+            yield pa.RecordBatch.from_arrays([batch.column("userid"), batch.column("_key"), pa.array(found, pa.list_(pa.int32()))], names=["userid", "_key", "blocks"])
+
+    have = first.where(F.col("userid").isNotNull() & F.col("itemid").isNotNull()).groupBy("userid").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("m"))
+    key = F.when(F.col("n") >= k, F.col("m")).otherwise(F.lit(float("-inf"))).alias("_key")
+    asked = users.join(have, "userid", "left").select("userid", norm("features").alias("_len"), key)
+    asked = asked.mapInArrow(needed, "userid string, _key double, blocks array<int>").where(F.size("blocks") > 0)
+    asked = asked.select("userid", "_key", F.explode("blocks").alias("ib")).persist()
+    most = asked.groupBy("ib").count().agg(F.max("count")).first()[0] or 0
+    cells = max(1, math.ceil(most / user_block))  # user blocks of the most wanted item block
+    groups = max(1, math.ceil(cells / 16))
+    cell = F.pmod(F.xxhash64("userid"), F.lit(cells)).alias("cell")
+    parts = [F.col("ib"), cell]
+    packed = _packed(asked.join(users, "userid").select("userid", "features", "_key", *parts), ["ib", "cell"], "userid", "u", {"_key": "u_keys"})
+    placed = ratings.join(ranged.select("itemid", "ib"), "itemid").join(asked.select("userid", "ib"), ["userid", "ib"])
+    packed = packed.join(_relevance(placed.select("userid", "itemid", "rating", *parts), ["ib", "cell"]), ["ib", "cell"], "left")
+    # an item block goes to each group of the cells that want it
+    copies = _packed(ranged, ["ib"], "itemid", "i").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    pairs = packed.withColumn("group", (F.col("cell") % groups).cast("int")).join(copies, ["ib", "group"])
+    scored = pairs.select("u_ids", "u_vecs", "u_keys", "r_u", "r_i", "r_v", "i_ids", "i_vecs").mapInArrow(_block_scorer(k, metric, digits), OUT_SCHEMA)
+    # pairs that were never formed count as skipped
+    total = float(len(numbers)) * users.count()
+    skipped = spark.createDataFrame([(None, None, None, None, total, 0)], OUT_SCHEMA)
+    formed = scored.withColumn("gain", F.when(F.col("userid").isNull(), F.lit(0.0)).otherwise(F.col("gain")))
+    return formed.unionByName(skipped)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import types as T
 
 from ..config import RunConfig
 from ..operators import affinity, cleaning, replay, sampling
-from ..sources import fixtures
+from ..session import ensure_checkpoint_dir
+from ..sources import fixtures, tables
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -44,6 +46,21 @@ class Inputs:
     def search_results(self) -> DataFrame:
         return fixtures.search_results(self.spark, self.sf_dir)
 
+    def folder(self, name: str) -> str:
+        """A new folder for a table, beside the checkpoints that all executors share."""
+        ensure_checkpoint_dir(self.spark)
+        return f"{self.spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+    @cached_property
+    def cart_table(self) -> str:
+        """The cart events written as a table partitioned by month."""
+        return tables.write_partitioned(self.cart_events, self.folder("cart_events"), "event_dt", "month")
+
+    @cached_property
+    def search_table(self) -> str:
+        """The search results written as a table partitioned by month."""
+        return tables.write_partitioned(self.search_results, self.folder("search_results"), "SCL_CREATED_DATE", "month")
+
     @cached_property
     def user_factors(self) -> DataFrame:
         return fixtures.user_factors(self.spark, self.sf_dir)

@@ -52,7 +52,7 @@ def run_pipeline(
     known = rank_metrics.known_pairs(test, users, items)
     scored = rank_metrics.Scored(known, users, items, cfg.k, cfg.metric)
     pred = replay.predict_pairs(merged, users, items, cfg.metric, cfg.cold_start, best.rank)
-    shift = replay.position_shift(merged, replay.slot_assignment(pred, cfg.metric))
+    shift = replay.position_shift(merged, replay.slot_assignment(pred, cfg.metric, sizes_from=merged))
     out = {
         "train_matrix": train,
         "train_stats": affinity.matrix_stats(train, cfg.train),

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import Window
@@ -17,11 +18,12 @@ from ..operators import affinity, cleaning, replay, sampling
 from ..operators import factors as FA
 from ..operators import rank_metrics as RM
 from ..operators import rerank as RR
-from ..sources import fixtures, sinks, templates
+from ..sources import fixtures, sinks, tables, templates
 from . import oracle as O
 from .context import Inputs, round_doubles
 from .pipeline import replay_prefix
 from .search import ReplayScorer, search
+from .tuning import ImplicitRankerModel, ReplayEvaluator
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,14 +53,14 @@ def _cols(names: str) -> str:
 
 @register("scan_cart_events", O.build("SELECT * FROM cart_events", "cart_events"))
 def q_scan_cart_events(i: Inputs) -> DataFrame:
-    """The raw cart-event source (explicit schema)."""
-    return i.cart_events
+    """The typed scan of the whole partitioned cart-event table."""
+    return tables.scan_cart_events(i.spark, i.cart_table)
 
 
 @register("scan_impressions", O.build("SELECT * FROM search_results", "search_results"))
 def q_scan_impressions(i: Inputs) -> DataFrame:
-    """The raw search-result source."""
-    return i.search_results
+    """The typed scan of the whole partitioned search-result table."""
+    return tables.scan_impressions(i.spark, i.search_table)
 
 
 # ------------------------------------------------------------------ cleaning
@@ -81,14 +83,32 @@ _ONE_DAY = Window(O.ONE_DAY, O.ONE_DAY)
 
 @register("clean_cart_adds_day", O.build("SELECT * FROM day_cart_adds", "day_cart_adds"))
 def q_clean_cart_adds_day(i: Inputs) -> DataFrame:
-    """cleaned cart adds of a single day."""
-    return cleaning.clean_cart_adds(i.cart_events, _ONE_DAY)
+    """cleaned cart adds of a single day, read from its partition."""
+    return cleaning.clean_cart_adds(tables.scan_cart_events(i.spark, i.cart_table, _ONE_DAY), _ONE_DAY)
 
 
 @register("clean_impressions_day", O.build("SELECT * FROM day_impressions", "day_impressions"))
 def q_clean_impressions_day(i: Inputs) -> DataFrame:
-    """cleaned impressions of a single day."""
-    return cleaning.clean_impressions(i.search_results, _ONE_DAY)
+    """cleaned impressions of a single day, read from its partition."""
+    return cleaning.clean_impressions(tables.scan_impressions(i.spark, i.search_table, _ONE_DAY), _ONE_DAY)
+
+
+@register(
+    "scan_busy_days",
+    O.build(
+        "SELECT e.* FROM cart_events e WHERE e.event_dt IN ("
+        "SELECT strftime(o_orderdate, '%Y%m%d') FROM orders GROUP BY 1 HAVING count(*) > (SELECT count(*) / count(DISTINCT o_orderdate) FROM orders))",
+        "cart_events",
+    ),
+)
+def q_scan_busy_days(i: Inputs) -> DataFrame:
+    """The cart events of the days with more orders than the mean day; the partitions are
+    picked at run time."""
+    orders = i.spark.read.parquet(f"{i.sf_dir}/orders.parquet")
+    per_day = orders.groupBy(F.date_format("o_orderdate", "yyyyMMdd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    mean = F.avg("n").over(W.partitionBy())  # over one row per day
+    busy = per_day.withColumn("mean", mean).where("n > mean").select("day")
+    return tables.scan_cart_events(i.spark, i.cart_table, days=busy)
 
 
 # ------------------------------------------------------------------ SQL templates
@@ -238,11 +258,11 @@ def q_predict_pairs(i: Inputs) -> DataFrame:
 )
 def q_slot_assignment(i: Inputs) -> DataFrame:
     """W4 + W5: predicted order mapped onto the shown slots."""
-    return replay.slot_assignment(_predicted(i, "dot_product"), "dot_product")
+    return replay.slot_assignment(_predicted(i, "dot_product"), "dot_product", sizes_from=i.merged)
 
 
 def _shift(i: Inputs, metric: str) -> DataFrame:
-    slots = replay.slot_assignment(_predicted(i, metric), metric)
+    slots = replay.slot_assignment(_predicted(i, metric), metric, sizes_from=i.merged)
     return replay.position_shift(i.merged, slots)
 
 
@@ -283,7 +303,7 @@ def q_improvement_by_query(i: Inputs) -> DataFrame:
 def q_replay_improvement(i: Inputs) -> DataFrame:
     """Replay end to end (``ModelPerformance.compute_metric``) under both metrics, one pass."""
     pred = replay.predict_pairs_all(i.merged, i.user_factors, i.item_factors, cold_start=i.cfg.cold_start, rank=i.rank)
-    slots = replay.slot_assignment(pred, None, keys=("metric",))
+    slots = replay.slot_assignment(pred, None, keys=("metric",), sizes_from=i.merged)
     shift = replay.position_shift(i.merged, slots, keys=("metric",))
     return replay.improvement_overall(shift, keys=("metric",))
 
@@ -417,6 +437,35 @@ def q_factor_export(i: Inputs) -> DataFrame:
     return sinks.export_frame(i.user_factors, i.item_factors, i.rank)
 
 
+@register(
+    "sorted_factors",
+    O.build(
+        """SELECT kind, id, CAST(row_number() OVER (ORDER BY kind, id) - 1 AS BIGINT) AS place, n AS rank FROM (
+  SELECT 'users' AS kind, id, CAST(len(features) AS BIGINT) AS n FROM user_factors
+  UNION ALL SELECT 'items' AS kind, id, CAST(len(features) AS BIGINT) AS n FROM item_factors)""",
+        "user_factors",
+        "item_factors",
+    ),
+)
+def q_sorted_factors(i: Inputs) -> DataFrame:
+    """T1 + S5: the factor tables written in one global order and read back with their places."""
+    path = sinks.write_sorted(sinks.export_frame(i.user_factors, i.item_factors, i.rank), ["kind", "id"], i.folder("factors"))
+    entries = F.array(*(F.col(f"c{j}") for j in range(1, i.rank + 1)))
+    return sinks.read_sorted(i.spark, path).select("kind", "id", "place", F.size(F.array_compact(entries)).cast("bigint").alias("rank"))
+
+
+@register(
+    "sorted_affinity",
+    O.build(
+        f"SELECT userid, itemid, {O.r6('rating')} AS rating, CAST(row_number() OVER (ORDER BY userid, itemid) - 1 AS BIGINT) AS place FROM train_matrix",
+        "train_matrix",
+    ),
+)
+def q_sorted_affinity(i: Inputs) -> DataFrame:
+    """The training matrix written in (user, item) order and read back with its places."""
+    return sinks.read_sorted(i.spark, sinks.write_sorted(i.train_matrix, ["userid", "itemid"], i.folder("affinity")))
+
+
 # ------------------------------------------------------------------ rank metrics
 
 
@@ -676,6 +725,25 @@ def q_kfold_assign(i: Inputs) -> DataFrame:
     return FA.kfold_assign(i.train_matrix, 3)
 
 
+@register(
+    "kfold_by_user",
+    O.build(
+        f"SELECT userid, itemid, {O.r6('rating')} AS rating, {O._h60('userid')} % 3 + 1 AS fold FROM train_matrix",
+        "train_matrix",
+    ),
+)
+def q_kfold_by_user(i: Inputs) -> DataFrame:
+    """M6 by user: three folds by the user's hash."""
+    return FA.kfold_assign(i.train_matrix, 3, fold_by="user")
+
+
+@register("replay_evaluator", O.build("SELECT mai FROM (" + O.improvement_select("shift_rows_dot", 3) + ")", "shift_rows_dot"))
+def q_replay_evaluator(i: Inputs) -> DataFrame:
+    """M7: the ``pyspark.ml`` evaluator's value for the fixed factors."""
+    model = ImplicitRankerModel(i.user_factors, i.item_factors, ReplayScorer(i.merged, "dot_product", i.cfg.cold_start))
+    return ReplayEvaluator(model.scorer).statistics(model.transform(i.train_matrix)).select("mai")
+
+
 @register("hyper_search")
 def q_hyper_search(i: Inputs) -> DataFrame:
     """M5 + M7: the configured search space, every fold scored by replay MAI (trial log)."""

@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schemas
+from . import templates
 
 # Fixed values of the fixture mapping (FIXTURES.md §2).
 DIRT_MODULUS = 97
@@ -178,15 +179,6 @@ def rerank_requests(spark: SparkSession, sf_dir: str, users: DataFrame | None =
     return schemas.conform(out, schemas.RERANK_REQUESTS)
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Register the fixture sources as temp views (for the SQL templates)."""
-    users, items = user_factors(spark, sf_dir), item_factors(spark, sf_dir)
-    views = {
-        "cart_events": cart_events(spark, sf_dir),
-        "search_results": search_results(spark, sf_dir),
-        "user_factors": users,
-        "item_factors": items,
-    }
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return views
+def register_views(spark: SparkSession, sf_dir: str) -> None:
+    """Register the views of the SQL templates over the fixture sources."""
+    templates.register_views(cart_events(spark, sf_dir), search_results(spark, sf_dir))

@@ -1,12 +1,4 @@
--- Cart adds of the days :init_date to :end_date ('YYYYMMDD', inclusive).
--- A row counts when none of its tokens is missing and its trimmed query has three characters.
-SELECT event.event_day AS fecha, event.userid, event.correlation_id, lower(event.term) AS search_query,
-       event.item_id, event.item_list_index, event.price, event.item_name
-FROM (
-  SELECT *, to_date(event_dt, 'yyyyMMdd') AS event_day,
-         regexp_replace(search_query, '^\\s+|\\s+$', '') AS term,
-         array(userid, item_id, correlation_id, search_query) AS tokens
-  FROM cart_events
-  WHERE event_dt >= :init_date AND event_dt <= :end_date AND item_list_index >= 0
-) AS event
-WHERE forall(event.tokens, token -> token NOT IN ('', 'null')) AND length(event.term) > 2
+-- Valid cart adds of the days :init_date to :end_date ('YYYYMMDD', both included).
+SELECT fecha, search_query, userid, correlation_id, item_id, item_list_index, item_name, price
+FROM valid_cart_adds
+WHERE event_dt BETWEEN :init_date AND :end_date

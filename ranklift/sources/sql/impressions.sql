@@ -1,10 +1,4 @@
--- Shown search results of the days :init_date to :end_date ('YYYYMMDD', inclusive).
--- A row counts when customer and correlation are known and the trimmed term has three characters.
-SELECT shown.SCL_CREATED_DATE, shown.customer_id, shown.correlation_id, lower(shown.term) AS search_query,
-       shown.response_item_number, shown.response_sku, shown.response_position, shown.response_name
-FROM (
-  SELECT *, regexp_replace(request_term, '^\\s+|\\s+$', '') AS term, array(customer_id, correlation_id) AS tokens
-  FROM search_results
-  WHERE SCL_CREATED_DATE >= to_date(:init_date, 'yyyyMMdd') AND SCL_CREATED_DATE <= to_date(:end_date, 'yyyyMMdd')
-) AS shown
-WHERE forall(shown.tokens, token -> token NOT IN ('', 'null')) AND length(shown.term) > 2
+-- Valid shown results of the days :init_date to :end_date ('YYYYMMDD', both included).
+SELECT day AS fecha, search_query, userid, correlation_id, itemid, item_number, item_name, position
+FROM valid_impressions
+WHERE day BETWEEN to_date(:init_date, 'yyyyMMdd') AND to_date(:end_date, 'yyyyMMdd')

@@ -87,7 +87,7 @@ def test_scorer_independent_of_block_sizes(spark, inputs):
     a = rank_metrics.Scored(known, inputs.user_factors, inputs.item_factors, 5, "dot_product")
     b = rank_metrics.Scored(known, inputs.user_factors, inputs.item_factors, 5, "dot_product", user_block=7, item_block=13)
     # the oversize path (block pairs instead of a broadcast) gives the same rows
-    c = rank_metrics.Scored(known, inputs.user_factors, inputs.item_factors, 5, "dot_product", item_block=50, broadcast_bytes=0)
+    c = rank_metrics.Scored(known, inputs.user_factors, inputs.item_factors, 5, "dot_product", item_block=50, first_bytes=0)
     assert _rows(a.top_items().select("userid", "rank", "itemid")) == _rows(c.top_items().select("userid", "rank", "itemid"))
     assert _rows(a.top_items().select("userid", "rank", "itemid")) == _rows(b.top_items().select("userid", "rank", "itemid"))
     lv = ["userid", "level_start", "level_key", "n_items", F.round("gain_sum", 9)]
@@ -204,3 +204,18 @@ def test_scorer_rows_do_not_grow_with_item_blocks(spark, inputs):
         b = rank_metrics.Scored(known, inputs.user_factors, inputs.item_factors, 5, metric, item_block=20, user_block=50)
         assert a.raw.where("itemid is not null").count() == b.raw.where("itemid is not null").count()
         assert sorted(a.top_items().select("userid", "rank", "itemid").collect()) == sorted(b.top_items().select("userid", "rank", "itemid").collect())
+
+
+def test_affinity_by_user_takes_one_exchange(spark, inputs):
+    from ranklift.operators import affinity
+
+    rows = lambda df: _rows(df.select("userid", "itemid", F.round("rating", 9)))
+    one = affinity.affinity_matrix(inputs.cart_events, RunConfig().train, "by_user")
+    assert rows(one) == rows(inputs.train_matrix)
+    some = affinity.affinity_matrix(inputs.cart_events, RunConfig().train, "by_user", heavy_rows=40)
+    assert affinity.heavy_users(inputs.cart_events, RunConfig().train, 40) is not None
+    assert rows(some) == rows(inputs.train_matrix)
+    path = tempfile.mkdtemp(prefix="ranklift-src-", dir="/tmp") + "/c"
+    inputs.cart_events.write.parquet(path)
+    plan = affinity.affinity_matrix(spark.read.parquet(path), RunConfig().train, "by_user")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
