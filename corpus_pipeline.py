@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranklift.llm import decontaminate, line_dedup, ngram_jaccard, packing, quality
 from ranklift.llm.queries import tokenizer_path
-from ranklift.llm.storage import release
+from ranklift.llm.storage import cut, release
 from ranklift.session import ensure_checkpoint_dir
 
 
@@ -32,12 +32,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with a class's smallest id stays, once; documents without words or without
-    id are no one's copies."""
-    rows = ngram_jaccard.near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(rows, "doc_id", "left_anti")
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    return left.withColumn("__copy", F.row_number().over(same)).where("__copy = 1 or doc_id is null").select(docs.columns)
+    """Of each class of near copies one document stays: the one with the smallest id (a null id
+    last), then by hash of its text. Documents are told apart by id and text, so a text that is no one's copy
+    stays whatever its id; rows equal in both stay once; documents without words are no one's
+    copies. No text moves but those of repeated rows."""
+    rows = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("text").cast("string")))
+    classes = cut(ngram_jaccard.near_duplicates(rows.select(F.col("__key").alias("doc_id"), "text")).select(F.col("doc_id").alias("__key"), F.col("component_id").alias("__class")))
+    shared = classes.where("__key <> __class").select("__class").distinct()
+    members = classes.join(shared, "__class").distinct()
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__key")
+    first = members.join(rows.select("__key", "doc_id"), "__key").groupBy("__class").agg(F.min(place).alias("first"))  # combined map-side
+    gone = cut(members.join(first, "__class").where("__key <> first.__key").select("__key"))
+    again = cut(classes.groupBy("__key").count().where("count > 1").select("__key").join(gone, "__key", "left_anti"))
+    once = rows.join(again, "__key", "left_semi").dropDuplicates(["__key"])
+    return rows.join(gone.union(again), "__key", "left_anti").unionByName(once).select(docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
