@@ -1,4 +1,4 @@
-"""Near-duplicate lines by a deletion-neighbourhood join; the earliest line stays.
+r"""Near-duplicate lines by a deletion-neighbourhood join; the earliest line stays.
 
 A line's *variants* are the line itself and the line without one of its words. Two lines within
 one word edit share a variant: after a substitution both lose the same position, after an
@@ -13,10 +13,14 @@ with a third of all lines makes no pairs. Only lines that share their first or l
 another line can be within the bound (the edit lies in the other half), so only those emit
 variants; a line's variant hashes are made in one pass by running XORs over its words.
 
-Order is (doc_id, hash of the text, line number), null doc_id first. Words are separated by
-single spaces. Cases: null text stays null and has no lines; lines of fewer than ``min_words``
-words never go; rows that repeat doc_id and text are one document and keep the same lines; a
-document may end up empty but stays; an empty table gives no rows; other columns pass through.
+A near line goes also when the earlier line it repeats goes itself, so of a chain of edits the head
+stays. Order is (doc_id, hash of the text, line number), null doc_id first. Words are runs of
+characters outside ``\x20\x09-\x0D``. Equal lines count whatever their length; lines of fewer
+than ``min_near`` words are never near ones, since one edit would be more than a fifth of them.
+Cases: null text stays null and has no lines; lines without a word never go; lines that differ
+in white space alone are near ones; rows that repeat doc_id and text are one document and keep
+the same lines; a document may end up empty but stays; an empty table gives no rows; other
+columns pass through.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ranklift.llm.quality import words_of
 from ranklift.llm.storage import cut, release
 
 PLACE = ("doc_id", "text_hash", "line_no")
@@ -81,15 +86,16 @@ def _within_one(a: Column, b: Column) -> Column:
     return (F.abs(n - m) <= 1) & ((tail <= 0) | (F.slice(a, n - tail + 1, F.greatest(tail, F.lit(0))) == F.slice(b, m - tail + 1, F.greatest(tail, F.lit(0)))))
 
 
-def duplicate_lines(docs: DataFrame, min_words: int = 3, min_near: int = 10, broadcast_bytes: int = 16 << 20) -> DataFrame:
+def duplicate_lines(docs: DataFrame, min_near: int = 10, broadcast_bytes: int = 16 << 20, hot: int = 1000) -> DataFrame:
     """(doc_id, text_hash, line_no, kind, first): the lines that go, ``kind`` "exact" or
     "near", and the place of the earlier line each repeats. The list of lines whose words are
-    read again is broadcast when its (counted) rows take up to ``broadcast_bytes``."""
+    read again is broadcast when its (counted) rows take up to ``broadcast_bytes``; the fewer than
+    ``hot`` lines that make up more than 1/``hot`` of all each meet their copies by broadcast."""
     spark = docs.sparkSession
-    split = lines(docs).select("*", *_line_id(), F.split("line", " ").alias("words"))
+    split = lines(docs).select("*", *_line_id(), words_of(F.col("line")).alias("words"))
     n = F.size("words")
     keys = [F.when(n >= min_near, k).alias(h) for h, k in zip(HALVES, _half_keys(F.col("words"), n))]
-    rows = cut(split.where(n >= min_words).select(*PLACE, "k1", "k2", n.alias("n"), *keys))
+    rows = cut(split.where(n > 0).select(*PLACE, "k1", "k2", n.alias("n"), *keys))
     unlike = rows.groupBy("k1", "k2").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("size"), F.min("n").alias("n"), *(F.min(h).alias(h) for h in HALVES))
     unlike = cut(unlike.select("k1", "k2", *(F.col(f"first.{c}").alias(c) for c in PLACE), "size", "n", *HALVES))
     release(spark)
@@ -102,7 +108,7 @@ def duplicate_lines(docs: DataFrame, min_words: int = 3, min_near: int = 10, bro
     # the words of those lines, read from where each stands first
     ship = F.broadcast if near.count() * 48 <= broadcast_bytes else (lambda df: df)
     texts = lines(docs).select("*", *_line_id()).join(ship(near), ["k1", "k2"]).where(_same_place("", "__"))
-    words = cut(texts.select("k1", "k2", *PLACE, F.split("line", " ").alias("words")).withColumn("n", F.size("words")).dropDuplicates(["k1", "k2"]))
+    words = cut(texts.select("k1", "k2", *PLACE, words_of(F.col("line")).alias("words")).withColumn("n", F.size("words")).dropDuplicates(["k1", "k2"]))
     release(spark)
     variants = cut(_variants(words))
     release(spark)
@@ -122,16 +128,20 @@ def duplicate_lines(docs: DataFrame, min_words: int = 3, min_near: int = 10, bro
     checked = met.join(mine, _same_place("l_", "")).join(theirs, _same_place("o_", "t_")).where(_within_one(F.col("mine"), F.col("theirs")))
     checked = checked.select("k1", "k2", F.struct(*(F.col(f"o_{c}").alias(c) for c in PLACE)).alias("near_first"))
 
-    fate = unlike.join(checked, ["k1", "k2"], "left").where("size > 1 or near_first is not null").select("k1", "k2", me.alias("first"), "near_first")
-    gone = rows.select(*PLACE, "k1", "k2").join(fate, ["k1", "k2"])
+    fate = unlike.join(checked, ["k1", "k2"], "left").where("size > 1 or near_first is not null").select("k1", "k2", me.alias("first"), "near_first", "size")
+    share = rows.count() / hot
+    few = F.broadcast(fate.where(F.col("size") > share).drop("size"))  # fewer than `hot` lines
+    many = fate.where(F.col("size") <= share).drop("size")
+    placed = rows.select(*PLACE, "k1", "k2")
+    gone = placed.join(few, ["k1", "k2"]).unionByName(placed.join(few.select("k1", "k2"), ["k1", "k2"], "left_anti").join(many, ["k1", "k2"]))
     exact = ~F.col("first").eqNullSafe(me)
     gone = gone.where(F.col("near_first").isNotNull() | exact)
     return gone.select(*PLACE, F.when(exact, "exact").otherwise("near").alias("kind"), F.when(exact, F.col("first")).otherwise(F.col("near_first")).alias("first"))
 
 
-def drop_duplicate_lines(docs: DataFrame, min_words: int = 3, min_near: int = 10) -> DataFrame:
+def drop_duplicate_lines(docs: DataFrame, min_near: int = 10) -> DataFrame:
     """``docs`` with the duplicate lines taken out of ``text``."""
-    gone = duplicate_lines(docs, min_words, min_near).groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.array_sort(F.collect_set("line_no")).alias("__gone"))  # at most a text's lines
+    gone = duplicate_lines(docs, min_near).groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.array_sort(F.collect_set("line_no")).alias("__gone"))  # at most a text's lines
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__hash")), "left")
     left = F.filter(F.split(F.col("text").cast("string"), "\n"), lambda x, i: ~F.array_contains("__gone", i))
     return joined.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))).drop("__doc", "__hash", "__gone")

@@ -24,30 +24,30 @@ m AS (SELECT w.rid, doc_id, lang, source, len(ws)::BIGINT AS n_words,
         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
         coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(list_distinct(ws)) AS n_unlike
       FROM w LEFT JOIN covered c ON c.rid = w.rid),
-v AS (SELECT rid, lang, source, n_words, u.rule, u.v FROM (SELECT rid, lang, source, n_words, unnest([
-        {'rule': 'symbols', 'v': n_symbols * 1000 // greatest(word_chars, 1)},
-        {'rule': 'dup_lines', 'v': n_dup_lines * 1000 // greatest(n_lines, 1)},
-        {'rule': 'variety', 'v': n_unlike * 1000 // greatest(n_words, 1)},
-        {'rule': 'words', 'v': word_chars * 1000 // greatest(n_words, 1)}]) AS u FROM m)),
+v AS (SELECT rid, lang, source, n_words, u.rule, u.num, u.den, u.num * 1000 // greatest(u.den, 1) AS v FROM (SELECT rid, lang, source, n_words, unnest([
+        {'rule': 'symbols', 'num': n_symbols, 'den': word_chars},
+        {'rule': 'dup_lines', 'num': n_dup_lines, 'den': n_lines},
+        {'rule': 'variety', 'num': n_unlike, 'den': n_words},
+        {'rule': 'words', 'num': word_chars, 'den': n_words}]) AS u FROM m)),
 b AS (SELECT lang, source, rule, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bin, count(*) AS n
       FROM v WHERE n_words > 0 GROUP BY ALL),
-own AS (SELECT lang, source, rule, max(s) AS size, min(bin) FILTER (cum * 100 >= s * 25) AS q1, min(bin) FILTER (cum * 100 >= s * 75) AS q3
+own AS (SELECT lang, source, rule, max(s) AS size, min(bin) FILTER (cum * 100 >= s * 25) AS q1, min(bin) FILTER (cum * 100 >= s * 50) AS q2, min(bin) FILTER (cum * 100 >= s * 75) AS q3
         FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, rule ORDER BY bin) AS cum, sum(n) OVER (PARTITION BY lang, source, rule) AS s FROM b) GROUP BY ALL),
 bl AS (SELECT lang, rule, bin, sum(n) AS n FROM b GROUP BY ALL),
-byl AS (SELECT lang, rule, max(s) AS size, min(bin) FILTER (cum * 100 >= s * 25) AS q1, min(bin) FILTER (cum * 100 >= s * 75) AS q3
+byl AS (SELECT lang, rule, max(s) AS size, min(bin) FILTER (cum * 100 >= s * 25) AS q1, min(bin) FILTER (cum * 100 >= s * 50) AS q2, min(bin) FILTER (cum * 100 >= s * 75) AS q3
         FROM (SELECT *, sum(n) OVER (PARTITION BY lang, rule ORDER BY bin) AS cum, sum(n) OVER (PARTITION BY lang, rule) AS s FROM bl) GROUP BY ALL),
 ba AS (SELECT rule, bin, sum(n) AS n FROM b GROUP BY ALL),
-every AS (SELECT rule, min(bin) FILTER (cum * 100 >= s * 25) AS q1, min(bin) FILTER (cum * 100 >= s * 75) AS q3
+every AS (SELECT rule, min(bin) FILTER (cum * 100 >= s * 25) AS q1, min(bin) FILTER (cum * 100 >= s * 50) AS q2, min(bin) FILTER (cum * 100 >= s * 75) AS q3
         FROM (SELECT *, sum(n) OVER (PARTITION BY rule ORDER BY bin) AS cum, sum(n) OVER (PARTITION BY rule) AS s FROM ba) GROUP BY ALL),
 lim AS (SELECT o.lang, o.source, o.rule,
           CASE WHEN o.size >= 50 THEN o.q1 WHEN l.size >= 50 THEN l.q1 ELSE e.q1 END AS q1,
-          CASE WHEN o.size >= 50 THEN o.q3 WHEN l.size >= 50 THEN l.q3 ELSE e.q3 END AS q3
+          CASE WHEN o.size >= 50 THEN o.q2 WHEN l.size >= 50 THEN l.q2 ELSE e.q2 END AS q2,
+          CASE WHEN o.size >= 50 THEN o.q3 WHEN l.size >= 50 THEN l.q3 ELSE e.q3 END AS q3, 6 * (CASE WHEN o.size >= 50 THEN o.q3 - o.q1 WHEN l.size >= 50 THEN l.q3 - l.q1 ELSE e.q3 - e.q1 END) AS room
         FROM own o JOIN byl l ON o.lang IS NOT DISTINCT FROM l.lang AND o.rule = l.rule JOIN every e ON e.rule = o.rule),
 far AS (SELECT v.rid, bool_or(CASE
-            WHEN v.rule = 'symbols' THEN v.v > q3 + 4 * (q3 - q1) AND v.v > 50
-            WHEN v.rule = 'dup_lines' THEN v.v > q3 + 4 * (q3 - q1) AND v.v > 400
-            WHEN v.rule = 'variety' THEN v.v < q1 - 4 * (q3 - q1) AND v.v < 300
-            ELSE (v.v > q3 + 4 * (q3 - q1) AND v.v > 15000) OR (v.v < q1 - 4 * (q3 - q1) AND v.v < 2000) END) AS far
+            WHEN v.rule IN ('symbols', 'dup_lines') THEN num * 1000 > (q3 + room) * den + 8000
+            WHEN v.rule = 'variety' THEN num * 1000 < (q1 - room) * den - 8000
+            ELSE num * 1000 > (q3 + room) * den + 8 * q2 OR num * 1000 < (q1 - room) * den - 8 * q2 END) AS far
         FROM v JOIN lim ON v.lang IS NOT DISTINCT FROM lim.lang AND v.source IS NOT DISTINCT FROM lim.source AND v.rule = lim.rule GROUP BY v.rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
@@ -69,7 +69,7 @@ valid AS (
   UNION ALL SELECT 'directories', 'prefix', host || '/en/', a, a + 10512000 FROM t WHERE x % 5 = 0),
 hit AS (SELECT DISTINCT c.url, c.fetched_at, v.list FROM c JOIN valid v ON
           ((v.kind = 'domain' AND (c.host = v.pattern OR ends_with(c.host, '.' || v.pattern)))
-           OR (v.kind = 'prefix' AND starts_with(c.host || c.path, v.pattern)))
+           OR (v.kind = 'prefix' AND starts_with(c.host || CASE WHEN c.path = '' THEN '/' ELSE c.path END, v.pattern)))
           AND v.since <= c.fetched_at AND (v.until IS NULL OR c.fetched_at < v.until)),
 g AS (SELECT url, fetched_at, string_agg(list, ',' ORDER BY list) AS lists FROM hit GROUP BY ALL)
 SELECT c.page_id, c.url, c.fetched_at, g.lists IS NOT NULL AS blocked, coalesce(g.lists, '') AS lists
@@ -78,13 +78,13 @@ FROM c LEFT JOIN g ON c.url = g.url AND c.fetched_at = g.fetched_at
 
 OP7 = r"""
 WITH l AS (SELECT doc_id, unnest(generate_series(1, len(ls))) - 1 AS line_no, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
-w AS (SELECT *, string_split(line, ' ') AS ws FROM l),
-k AS (SELECT * FROM w WHERE len(ws) >= 3),
+w AS (SELECT *, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM l),
+k AS (SELECT * FROM w WHERE len(ws) > 0),
 u AS (SELECT line, any_value(ws) AS ws, min(struct_pack(doc_id := doc_id, line_no := line_no)) AS f FROM k GROUP BY line),
 r AS (SELECT line, ws, f, len(ws) AS n, row_number() OVER (ORDER BY f) AS nr FROM u),
 v AS (SELECT line, nr, n, p, array_to_string(list_concat(ws[1 : p - 1], ws[p + 1 :]), ' ') AS key FROM (SELECT *, unnest(generate_series(1, n)) AS p FROM r WHERE n >= 10)),
 s AS (SELECT nr, min(nr) OVER (PARTITION BY key, p) AS other FROM v),
-g AS (SELECT v.nr AS long, r.nr AS short FROM v JOIN r ON v.key = r.line AND r.n >= 10),
+g AS (SELECT v.nr AS long, r.nr AS short FROM v JOIN r ON v.key = array_to_string(r.ws, ' ') AND r.n >= 10),
 near AS (SELECT nr, min(other) AS other FROM (SELECT nr, other FROM s UNION ALL SELECT long, short FROM g UNION ALL SELECT short, long FROM g) WHERE other < nr GROUP BY nr),
 fate AS (SELECT r.line, r.f, o.f AS near_f FROM r LEFT JOIN near ON near.nr = r.nr LEFT JOIN r o ON o.nr = near.other)
 SELECT k.doc_id, k.line_no::BIGINT AS line_no, CASE WHEN (k.doc_id, k.line_no) = (f.doc_id, f.line_no) THEN 'near' ELSE 'exact' END AS kind,

@@ -6,10 +6,11 @@ exactly, in any order and over any partitioning, and every quantile read from th
 lower edge of the bin that holds it: the same on each run and in SQL.
 
 A text is rejected when it fails a base rule, or when one of its measures lies far outside its
-group: above ``q3 + spread * (q3 - q1)`` or, for lower bounds, below the mirror image, and at
-the same time beyond a margin that every ordinary text keeps (``Rule.margin``), so that a group
-of nothing but clean texts loses none. A group of fewer than ``min_group`` texts takes the
-thresholds of its language, and a language of fewer those of all texts.
+group: above ``q3 + spread * (q3 - q1)`` or, for lower bounds, below the mirror image. No measure
+has a cutoff of its own. A text's excess must also be more than ``events``
+occurrences (symbols, lines, words; median words for the length of words), whatever the measure, so
+that a few symbols in a text or the chance of a short one reject nothing. A group of fewer than
+``min_group`` texts takes the quartiles of its language, and a language of fewer those of all texts.
 
 Sketch rows are bounded by groups x measures x bins (64 + 32 per doubling), whatever the number
 of texts; a source with a third of all rows is counted map-side first. The thresholds are
@@ -39,21 +40,26 @@ WORD = r"[^\x20\x09-\x0D]"
 
 @dataclass(frozen=True)
 class Rule:
-    """An integer measure of ``m``; ``side`` 1 bounds it above, -1 below."""
+    """The share ``num`` / ``den`` of two counts in ``m``, per mille; ``side`` 1 bounds it above, -1
+    below. ``typical``: an occurrence is worth the group's median share, else one."""
 
     name: str
-    value: str
+    num: str
+    den: str
     side: int
-    margin: int
+    typical: bool = False
+
+    @property
+    def value(self) -> str:
+        return f"{self.num} * 1000 div greatest({self.den}, 1)"
 
 
-# Per mille, or thousandths of a character for the mean length of a word.
 RULES = (
-    Rule("symbols", "m.n_symbols * 1000 div greatest(m.word_chars, 1)", 1, 50),
-    Rule("dup_lines", "m.n_dup_lines * 1000 div greatest(m.n_lines, 1)", 1, 400),
-    Rule("variety", "m.n_unlike_words * 1000 div greatest(m.n_words, 1)", -1, 300),
-    Rule("long_words", "m.word_chars * 1000 div greatest(m.n_words, 1)", 1, 15000),
-    Rule("short_words", "m.word_chars * 1000 div greatest(m.n_words, 1)", -1, 2000),
+    Rule("symbols", "m.n_symbols", "m.word_chars", 1),
+    Rule("dup_lines", "m.n_dup_lines", "m.n_lines", 1),
+    Rule("variety", "m.n_unlike_words", "m.n_words", -1),
+    Rule("long_words", "m.word_chars", "m.n_words", 1, typical=True),
+    Rule("short_words", "m.word_chars", "m.n_words", -1, typical=True),
 )
 GROUP = ("lang", "source")
 
@@ -128,11 +134,11 @@ def sketch(rows: DataFrame) -> DataFrame:
     return rows.where("m.n_words > 0").select(*GROUP, F.explode(values).alias("x")).groupBy(*GROUP, "x.rule", "x.bin").agg(F.count("*").alias("n"))
 
 
-def thresholds(sketches: DataFrame, spread: int = 4, min_group: int = 50) -> DataFrame:
-    """One row per group and rule: (lang, source, rule, low, high) with the group's own bounds,
-    or its language's or all texts' where it is small."""
+def thresholds(sketches: DataFrame, spread: int = 6, min_group: int = 50) -> DataFrame:
+    """One row per group and rule: (lang, source, rule, low, median, high) from the quartiles of the
+    group, or of its language or all texts where it is small."""
 
-    def bounds(level: tuple[str, ...], tag: str) -> DataFrame:
+    def quartiles(level: tuple[str, ...], tag: str) -> DataFrame:
         bins = sketches.groupBy(*level, "rule", "bin").agg(F.sum("n").alias("n"))
         packed = bins.groupBy(*level, "rule").agg(F.sum("n").alias("size"), F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"))  # bounded by the bins
 
@@ -144,37 +150,39 @@ def thresholds(sketches: DataFrame, spread: int = 4, min_group: int = 50) -> Dat
             )
             return walk.at
 
-        q = packed.select(*level, "rule", "size", quantile(25).alias("q1"), quantile(75).alias("q3"))
-        return q.select(*level, "rule", F.struct("size", (F.col("q1") - spread * (F.col("q3") - F.col("q1"))).alias("low"), (F.col("q3") + spread * (F.col("q3") - F.col("q1"))).alias("high")).alias(tag))
+        q = packed.select(*level, "rule", "size", quantile(25).alias("q1"), quantile(50).alias("q2"), quantile(75).alias("q3"))
+        return q.select(*level, "rule", F.struct("size", "q1", "q2", "q3").alias(tag))
 
-    own, lang, every = bounds(GROUP, "own"), bounds(GROUP[:1], "by_lang"), bounds((), "of_all")
+    own, lang, every = quartiles(GROUP, "own"), quartiles(GROUP[:1], "by_lang"), quartiles((), "of_all")
     lang = lang.select(F.col("lang").alias("__l"), F.col("rule").alias("__r"), "by_lang")
     every = every.select(F.col("rule").alias("__r"), "of_all")
     out = own.join(lang, F.col("lang").eqNullSafe(F.col("__l")) & (F.col("rule") == F.col("__r"))).drop("__l", "__r")
     out = out.join(every, F.col("rule") == F.col("__r")).drop("__r")
     use = F.when(F.col("own.size") >= min_group, F.col("own")).when(F.col("by_lang.size") >= min_group, F.col("by_lang")).otherwise(F.col("of_all"))
-    return out.withColumn("use", use).select(*GROUP, "rule", "use.low", "use.high")
+    room = (F.col("use.q3") - F.col("use.q1")) * spread
+    return out.withColumn("use", use).select(*GROUP, "rule", (F.col("use.q1") - room).alias("low"), F.col("use.q2").alias("median"), (F.col("use.q3") + room).alias("high"))
 
 
-def verdicts(docs: DataFrame, spread: int = 4, min_group: int = 50) -> DataFrame:
+def verdicts(docs: DataFrame, spread: int = 6, events: int = 8, min_group: int = 50) -> DataFrame:
     """(doc_id, lang, source, text_hash, m, base_failed, kept) of every row of ``docs``."""
     rows = cut(measured(docs))
     limits = thresholds(sketch(rows), spread, min_group)
-    bound = limits.groupBy(F.col("lang").alias("__lang"), F.col("source").alias("__source")).agg(*(F.max(F.when(F.col("rule") == r.name, F.struct("low", "high"))).alias(f"__{r.name}") for r in RULES))
+    bound = limits.groupBy(F.col("lang").alias("__lang"), F.col("source").alias("__source")).agg(*(F.max(F.when(F.col("rule") == r.name, F.struct("low", "median", "high"))).alias(f"__{r.name}") for r in RULES))
     joined = rows.join(bound, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
     far = F.lit(False)
     for r in RULES:
-        value, limit = F.expr(r.value), F.col(f"__{r.name}")
-        out = (value > limit.high) & (value > r.margin) if r.side > 0 else (value < limit.low) & (value < r.margin)
+        num, den, limit = F.expr(r.num) * 1000, F.expr(r.den), F.col(f"__{r.name}")
+        room = (limit.median if r.typical else F.lit(1000)) * events
+        out = num > limit.high * den + room if r.side > 0 else num < limit.low * den - room
         far = far | F.coalesce(out, F.lit(False))
     failed = (F.col("m.n_words") < 10) | (F.col("m.n_repeat_words") * 100 > F.col("m.n_words") * 20)
     return joined.select("doc_id", *GROUP, "text_hash", "m", failed.alias("base_failed"), (~failed & ~far).alias("kept"))
 
 
-def keep_good(docs: DataFrame, spread: int = 4, min_group: int = 50) -> DataFrame:
+def keep_good(docs: DataFrame, spread: int = 6, events: int = 8, min_group: int = 50) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     key = ("doc_id", *GROUP, "text_hash")
-    bad = verdicts(docs, spread, min_group).where(~F.col("kept")).select(*(F.col(k).alias(f"__bad_{k}") for k in key)).distinct()
+    bad = verdicts(docs, spread, events, min_group).where(~F.col("kept")).select(*(F.col(k).alias(f"__bad_{k}") for k in key)).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("__bad_doc_id"))
     for k in GROUP:
         same = same & F.col(k).eqNullSafe(F.col(f"__bad_{k}"))
