@@ -1,8 +1,10 @@
 """Main-text extraction from HTML by a linear-chain CRF over DOM leaf blocks.
 
-``leaf_blocks`` walks the tags of a page once, keeps the open elements, and cuts the text into
+``leaf_blocks`` walks the tags of a page once, keeps the open elements with counts of what is
+open, so that a tag costs the same at any depth, and cuts the text into
 leaf blocks wherever a block-level element begins or ends. ``features`` describes a block by its
-ancestors (tags, words of class, id and role) and its text (length, links, punctuation, place).
+ancestors (tags, words of class, id and role) and its text (length, links, punctuation, wording, its
+neighbours' lengths, place).
 ``train`` fits weights and transitions by maximum likelihood (forward-backward, Adam) on
 labelled pages; ``Model.decode`` labels a page's blocks by Viterbi, and the main blocks, in page
 order, are the text.
@@ -10,12 +12,16 @@ order, are the text.
 Labelled pages are (a) at most ``TRAIN_PAGES`` of the given pages, the first by a hash of
 page_id, labelled by their own mark-up: a block inside <article> or <main> and inside nothing
 that names boilerplate is main text; (b) ``MADE_PAGES`` pages put together from the blocks of
-(a) in other layouts (no <article>, articles with forms, notices, comments inside), labelled by
-construction. This bounded fit is the only thing that reads a sample; every page is extracted
+(a) in other layouts (no <article>, articles with forms, notices, comments inside, parts that no
+mark-up names), labelled by construction. Each page is learnt twice, the second time without any
+feature of its mark-up, so that the wording and the shape of the text decide where mark-up says
+nothing. This bounded fit is the only thing that reads a sample; every page is extracted
 whole. Work per page is a Python generator over an Arrow batch; pages never meet each other.
 
 Cases: null or empty html, or a page without text, gives an empty text; unclosed and stray tags
-are repaired like a browser would (an open p ends at the next block); very long pages are one
+are repaired like a browser would (an open p ends at the next block); a script, style, title or
+textarea without an end runs to the end of the page; other skipped elements (svg, button, select, ...)
+end where they are closed, or at the next block that cannot stand in them; very long pages are one
 pass; null ids and repeated rows are extracted each; an empty table gives no rows; other
 columns are ignored. White space is what ``str.split`` splits at.
 """
@@ -26,6 +32,7 @@ import functools
 import html
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,13 +46,24 @@ MADE_PAGES = 600
 # Element names by how they shape text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg select button option".split())
-# Words in class, id or role that name what is not main text.
-BOILER = frozenset("ad ads advert advertisement advertising banner comment comments cookie cookies consent footer form header menu menus modal nav navbar navigation newsletter notice notices popup promo related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe widget toolbar breadcrumb breadcrumbs alert copyright contentinfo complementary search".split())
+RAW = frozenset("script style title textarea iframe".split())
+SKIPPED = frozenset("noscript template svg select button option".split())
+ENDS_SKIPPED = frozenset("article aside blockquote footer form h1 h2 h3 h4 h5 h6 header main nav ol p section table ul".split())
+LISTS = frozenset("ul ol dl table".split())
+SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+TAGS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+# Words in class, id or role that name what is not main text, and what is.
+BOILER = frozenset("ad ads advert advertisement advertising alert banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies copyright discussion disqus feedback footer form header menu menus modal nav navbar navigation newsletter notice notices popup promo related reply replies respond responses search share sharing sidebar signup social sponsor sponsored subscribe thread toolbar widget".split())
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
-
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>?|<[!?][^>]*>?""", re.S)
-_NAMES = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+GOOD = frozenset("article body content entry main post story text".split())
+NAMES = BOILER | GOOD | {"hidden"}
+# Words that a text about the page, not of it, is full of.
+WORDING = frozenset("account accept advertisement advertising agree archive bookmark browser click comment commented comments contact cookie cookies copyright email follow home imprint links login logout menu newsletter next password policy popular posted previous privacy related replied replies reply reserved rights rss search share signup sitemap sponsored subscribe tags terms trending tweet username website".split())
+TALK = frozenset("comments discussion replies responses".split())
+
+_ATTRIBUTE = r"""[^\s>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[\s/=]++|{_ATTRIBUTE})*+)>?|<[!?/][^>]*>?", re.S)
+_NAMED = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -56,20 +74,59 @@ class Block:
 
     text: str
     tag: str
-    ancestors: tuple[str, ...]
+    ancestors: frozenset[str]
     names: frozenset[str]
     linked: int  # characters inside links
 
 
 @functools.lru_cache(10_000)
 def _names(attributes: str) -> frozenset[str]:
-    found = frozenset(w for m in _NAMES.finditer(attributes) for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower()))
-    return found | {"hidden"} if _HIDDEN.search(attributes) else found
+    found = frozenset(w for m in _NAMED.finditer(attributes) for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower()))
+    return (found | {"hidden"} if _HIDDEN.search(attributes) else found) & NAMES
+
+
+class _Open:
+    """The open elements: their tags, how many of each tag and name, the last place of each tag."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, frozenset[str], int]] = []  # with the blocks open below it
+        self.places: dict[str, list[int]] = {}
+        self.names: Counter[str] = Counter()
+        self.blocks = self.skipped = 0
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost ``tag``, -1 if none is open."""
+        found = self.places.get(tag)
+        return found[-1] if found else -1
+
+    def push(self, tag: str, names: frozenset[str]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, names, self.blocks))
+        self.names.update(names)
+        self.blocks += tag not in INLINE
+        self.skipped += tag in SKIPPED
+
+    def close(self, place: int) -> None:
+        """Closes the element at ``place`` and all within."""
+        while len(self.stack) > place:
+            tag, names, self.blocks = self.stack.pop()
+            self.places[tag].pop()
+            if not self.places[tag]:
+                del self.places[tag]
+            for n in names:
+                self.names[n] -= 1
+                if not self.names[n]:
+                    del self.names[n]
+            self.skipped -= tag in SKIPPED
+
+    def blocks_within(self, place: int) -> int:
+        tag, _, below = self.stack[place]
+        return self.blocks - below - (tag not in INLINE)
 
 
 def leaf_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    open_ = _Open()
     pieces: list[str] = []
     linked = at = 0
 
@@ -78,21 +135,21 @@ def leaf_blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                tags = tuple(t for t, _ in stack)
-                tag = next((t for t in reversed(tags) if t not in INLINE), "")
-                blocks.append(Block(text, tag, tags, frozenset().union(*(n for _, n in stack)), linked))
+                ups = frozenset(t if t in TAGS else "other" for t in open_.places if t not in INLINE)
+                tag = next((t for t, _, _ in reversed(open_.stack) if t not in INLINE), "") if open_.stack and open_.stack[-1][0] in INLINE else open_.stack[-1][0] if open_.stack else ""
+                blocks.append(Block(text, tag if tag in TAGS else "other", ups, frozenset(open_.names), linked))
             pieces.clear()
             linked = 0
 
     def say(text: str) -> None:
         nonlocal linked
-        if text:
+        if text and not open_.skipped:
             text = html.unescape(text) if "&" in text else text
             pieces.append(text)
-            if any(t == "a" for t, _ in stack):
+            if "a" in open_.places:
                 linked += len(text.strip())
 
-    lower = None
+    endless: set[str] = set()
     while True:
         m = _TAG.search(page, at)
         if m is None:
@@ -100,43 +157,43 @@ def leaf_blocks(page: str) -> list[Block]:
             break
         say(page[at : m.start()])
         at = m.end()
-        tag = m[2]
-        if tag is None:
+        if m[2] is None:
             continue
-        tag = tag.lower()
+        tag = m[2].lower()
         if m[1]:
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            place = open_.last(tag)
             if tag not in INLINE:
                 cut()
-            if place is not None:
-                if tag in INLINE and any(t not in INLINE for t, _ in stack[place + 1 :]):
-                    continue  # an inline end tag does not close blocks
-                del stack[place:]
+            if place >= 0 and not (tag in INLINE and open_.blocks_within(place)):  # an inline end tag does not close blocks
+                open_.close(place)
             continue
         if tag == "br":
-            pieces.append(" ")
+            if not open_.skipped:
+                pieces.append(" ")
             continue
         if tag in RAW:
-            lower = page.lower() if lower is None or len(lower) != len(page) else lower
-            end = lower.find(f"</{tag}", at) if len(lower) == len(page) else page.find(f"</{tag}", at)
-            if end < 0:
-                if tag in ("script", "style", "textarea", "title"):
-                    break
-                continue
-            close = page.find(">", end)
-            at = len(page) if close < 0 else close + 1
+            end = None if tag in endless else re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            if end is not None:
+                at = end.end()
+            elif tag == "iframe":
+                endless.add(tag)
+            else:
+                break
             continue
         if tag not in INLINE:
             cut()
-            opened = [t for t, _ in stack]
-            for ends in {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, ()):
-                if ends in opened and not any(t in ("ul", "ol", "dl", "table") for t in opened[len(opened) - opened[::-1].index(ends) :]):
-                    del stack[opened.index(ends, len(opened) - 1 - opened[::-1].index(ends)) :]
-                    opened = [t for t, _ in stack]
-            if "p" in opened:
-                del stack[len(opened) - 1 - opened[::-1].index("p") :]
+            if tag in ENDS_SKIPPED and open_.skipped:
+                for skipped in ("svg", "select", "button"):
+                    if open_.last(skipped) >= 0:
+                        open_.close(open_.last(skipped))
+            for ends in SIBLINGS.get(tag, ()):
+                place = open_.last(ends)
+                if place > max(open_.last(x) for x in LISTS):
+                    open_.close(place)
+            if open_.last("p") > max(open_.last(x) for x in ("td", "th", "caption", "template")):
+                open_.close(open_.last("p"))
         if tag not in VOID and not (m[3] or "").endswith("/"):
-            stack.append((tag, _names(m[3] or "")))
+            open_.push(tag, _names(m[3] or ""))
     cut()
     return blocks
 
@@ -145,19 +202,27 @@ def _bucket(n: int) -> int:
     return min(n, 400).bit_length()
 
 
-def features(blocks: list[Block]) -> list[list[str]]:
+def features(blocks: list[Block], marks: bool = True) -> list[list[str]]:
+    """Features of a page's blocks; without ``marks`` those of the text alone."""
     out = []
+    sizes = [b.text.count(" ") + 1 for b in blocks]
+    most, talk = max(sizes, default=1), False
     for i, b in enumerate(blocks):
-        words = b.text.count(" ") + 1
-        own = ["bias", f"tag={b.tag}", f"words={_bucket(words)}", f"links={10 * b.linked // max(len(b.text), 1)}", f"stops={min(sum(b.text.count(c) for c in '.!?'), 4)}"]
-        own += [f"up={t}" for t in set(b.ancestors) if t not in INLINE]
-        own += [f"name={n}" for n in b.names if n in BOILER or n in ("article", "content", "main", "post", "entry", "story", "body", "text", "hidden")]
-        own.append("main" if ("article" in b.ancestors or "main" in b.ancestors) else "outside")
-        if b.names & BOILER or BOILER_TAGS & set(b.ancestors):
-            own.append("boiler")
+        words = frozenset(_WORD.findall(b.text[:2000].lower()))
+        wording = len(words & WORDING)
+        short = sizes[i] <= 4
+        talk = talk or bool(short and words & TALK)
+        own = ["bias", f"words={_bucket(sizes[i])}", f"links={10 * b.linked // max(len(b.text), 1)}", f"stops={min(sum(b.text.count(c) for c in '.!?'), 4)}"]
+        own += [f"share={4 * sizes[i] // most}", f"before={_bucket(sizes[i - 1]) if i else '-'}", f"after={_bucket(sizes[i + 1]) if i + 1 < len(blocks) else '-'}"]
+        own += [f"wording={min(3, 12 * wording // sizes[i]) if wording else '-'}", f"end={b.text[-1] if b.text[-1] in '.!?:' else 'x'}", f"place={4 * i // len(blocks)}"]
+        if talk:
+            own.append("talk")
         if "©" in b.text or "·" in b.text:
             own.append("sign")
-        own.append(f"place={4 * i // len(blocks)}")
+        if marks:
+            own.append(f"tag={b.tag}")
+            own += [f"up={t}" for t in b.ancestors]
+            own += [f"name={n}" for n in b.names]
         out.append(own)
     return out
 
@@ -165,7 +230,7 @@ def features(blocks: list[Block]) -> list[list[str]]:
 def marked_main(block: Block) -> bool:
     """Label by the page's own mark-up."""
     inside = "article" in block.ancestors or "main" in block.ancestors
-    return inside and not (BOILER_TAGS & set(block.ancestors)) and not (block.names & BOILER) and "hidden" not in block.names
+    return inside and not (BOILER_TAGS & block.ancestors) and not (block.names & BOILER) and "hidden" not in block.names
 
 
 def made_pages(pages: list[str], n: int, seed: int = 7) -> list[tuple[str, list[bool]]]:
@@ -196,6 +261,10 @@ def made_pages(pages: list[str], n: int, seed: int = 7) -> list[tuple[str, list[
             "notice": lambda: f"<div class='{rng.choice(['cookie-notice', 'notice', 'consent', 'alert', 'popup'])}'><p>{say()}</p></div>",
             "form": lambda: f"<form><label>{short()}</label><input name='q'><p>{say()}</p></form>",
             "news": lambda: f"<div class='{rng.choice(['newsletter', 'subscribe', 'share', 'related'])}'><p>{say()}</p></div>",
+            "bare foot": lambda: f"<p>Copyright {rng.randint(1999, 2030)} {short()}. All rights reserved.</p>",
+            "bare links": lambda: "<p>" + " ".join(f"<a href='/'>{short()}</a>" for _ in range(rng.randint(3, 9))) + "</p>",
+            "bare form": lambda: f"<div>{rng.choice(['Subscribe to our newsletter', 'Log in or sign up', 'Search this website', 'We use cookies. Accept', 'Follow us and share'])}</div>",
+            "bare talk": lambda: f"<div><h3>{rng.choice(['Comments', 'Discussion', '3 Comments', 'Replies'])}</h3>" + "".join(f"<p>{say()}</p>" for _ in range(rng.randint(1, 4))) + "</div>",
             "comments": lambda: f"<{(t := rng.choice(['section', 'div', 'ol']))} {rng.choice(['class', 'id'])}='{rng.choice(['comments', 'comment-list', 'replies', 'comment'])}'>" + "".join(f"<{(u := rng.choice(['p', 'li', 'div', 'article']))}>{say()}</{u}>" for _ in range(rng.randint(1, 4))) + f"</{t}>",
         }
         body: list[tuple[str, list[bool]]] = []
@@ -205,7 +274,7 @@ def made_pages(pages: list[str], n: int, seed: int = 7) -> list[tuple[str, list[
                 piece = noise[k]()  # noqa: B023
                 body.append((piece, [False] * len(leaf_blocks(piece))))  # noqa: B023
 
-        add(["nav", "menu", "header", "notice", "ad"], 4)
+        add(["nav", "menu", "header", "notice", "ad", "bare links", "bare form"], 4)
         shell = rng.choice(["<article>", "<main>", "<main><article>", "<div class='content'>", "<div id='main'>", "<div class='post-body'>", "<div class='entry'>", "<section class='story'>", "<td>", "<div>"])
         body.append((shell, []))
         if rng.random() < 0.8:
@@ -216,10 +285,11 @@ def made_pages(pages: list[str], n: int, seed: int = 7) -> list[tuple[str, list[
             if rng.random() < 0.12:
                 add(["ad", "news", "form", "aside", "notice"], 1)
         if rng.random() < 0.3:
-            add(["comments", "form", "news"], 2)
+            add(["comments", "form", "news", "bare talk"], 2)
         body.append(("".join(f"</{t}>" for t in reversed(re.findall(r"<([a-z]+)", shell))), []))
-        add(["comments", "aside", "side", "news", "form", "ad"], 4)
-        add(["footer", "foot"], 1)
+        add(["comments", "aside", "side", "news", "form", "ad", "bare form", "bare links"], 4)
+        add(["bare talk"], 1) if rng.random() < 0.3 else None
+        add(["footer", "foot", "bare foot"], 2)
         page = "<html><body>" + "".join(p for p, _ in body) + "</body></html>"
         labels = [x for _, ls in body for x in ls]
         if len(leaf_blocks(page)) == len(labels):
@@ -261,18 +331,19 @@ class Model:
 
 
 def train(labelled: list[tuple[list[Block], list[bool]]], steps: int = 150, rate: float = 0.15, l2: float = 1e-3) -> Model:
-    """Maximum likelihood by Adam; forward-backward runs over all pages at once."""
-    labelled = [(b, y) for b, y in labelled if b]
-    if not labelled:
-        return Model({"boiler": (1.0, 0.0), "main": (0.0, 1.0), "outside": (1.0, 0.0)}, ((0.0, 0.0), (0.0, 0.0)))
+    """Maximum likelihood by Adam; forward-backward runs over all pages at once, each with and
+    without the features of its mark-up."""
+    labelled = [(b, y, marks) for b, y in labelled if b for marks in (True, False)]
+    if not labelled:  # nothing to learn from: longer texts outside of links
+        return Model({"links=0": (0.0, 1.0), "links=10": (1.0, 0.0)}, ((0.0, 0.0), (0.0, 0.0)))
     names: dict[str, int] = {}
     page_at, place_at, feature_at = [], [], []
-    longest = max(len(b) for b, _ in labelled)
+    longest = max(len(b) for b, _, _ in labelled)
     gold = np.zeros((len(labelled), longest), np.int64)
-    sizes = np.array([len(b) for b, _ in labelled])
-    for p, (blocks, labels) in enumerate(labelled):
+    sizes = np.array([len(b) for b, _, _ in labelled])
+    for p, (blocks, labels, marks) in enumerate(labelled):
         gold[p, : len(labels)] = labels
-        for t, fs in enumerate(features(blocks)):
+        for t, fs in enumerate(features(blocks, marks)):
             for f in fs:
                 page_at.append(p)
                 place_at.append(t)
