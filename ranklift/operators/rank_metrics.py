@@ -158,35 +158,38 @@ class Scored:
             F.coalesce(F.try_divide(F.col("dcg"), F.col("idcg")), F.lit(0.0)).alias("ndcg"),
         )
 
-    def _hits(self) -> DataFrame:
-        rel = topk_relevant(self.known, self.k).select("userid", "itemid", F.lit(1).alias("_hit"))
-        pred = self.top_items().join(rel, ["userid", "itemid"], "left").withColumn("hit", F.coalesce("_hit", F.lit(0)))
-        return pred.drop("_hit")
+    def hits(self) -> DataFrame:
+        """Per user ``(userid, n_relevant, ranks)``: how many relevant items, and the ranks of those
+        among the predicted ones. One join of two frames of k rows a user, one aggregate."""
+        rel = topk_relevant(self.known, self.k).select("userid", "itemid", F.lit(True).alias("_rel"))
+        both = self.top_items().select("userid", "itemid", "rank").join(rel, ["userid", "itemid"], "full")
+        found = F.when(F.col("_rel") & F.col("rank").isNotNull(), F.col("rank"))
+        return both.groupBy("userid").agg(F.count("_rel").alias("n_relevant"), F.sort_array(F.collect_list(found)).alias("ranks"))
+
+    def per_user(self) -> DataFrame:
+        """Per user ``(userid, n_relevant, n_hits, ap, recall)``."""
+        gains = F.transform("ranks", lambda r, j: (j + 1) / r)  # precision at each hit
+        total = F.aggregate(gains, F.lit(0.0), lambda a, x: a + x)
+        n = F.size("ranks").cast("bigint")
+        return self.hits().select(
+            "userid",
+            "n_relevant",
+            n.alias("n_hits"),
+            F.coalesce(F.try_divide(total, n), F.lit(0.0)).alias("ap"),
+            F.try_divide(n, F.col("n_relevant")).alias("recall"),
+        )
 
     def average_precision(self) -> DataFrame:
         """Per user ``(userid, n_hits, ap)``."""
-        w = W.partitionBy("userid").orderBy("rank").rowsBetween(W.unboundedPreceding, 0)
-        p = self._hits().withColumn("precision", F.sum("hit").over(w) / F.col("rank"))
-        return p.groupBy("userid").agg(
-            F.sum("hit").cast("bigint").alias("n_hits"),
-            F.coalesce(F.try_divide(F.sum(F.col("precision") * F.col("hit")), F.sum("hit")), F.lit(0.0)).alias("ap"),
-        )
+        return self.per_user().select("userid", "n_hits", "ap")
 
     def recall(self) -> DataFrame:
         """Per user ``(userid, n_relevant, n_hits, recall)``."""
-        n_rel = topk_relevant(self.known, self.k).groupBy("userid").agg(F.count(F.lit(1)).alias("n_relevant"))
-        hits = self._hits().groupBy("userid").agg(F.sum("hit").cast("bigint").alias("n_hits"))
-        out = n_rel.join(hits, "userid", "left").fillna(0, ["n_hits"])
-        return out.select("userid", "n_relevant", "n_hits", (F.col("n_hits") / F.col("n_relevant")).alias("recall"))
+        return self.per_user().select("userid", "n_relevant", "n_hits", "recall")
 
     def summary(self) -> DataFrame:
         """Macro means over candidate users."""
-        per_user = (
-            self.ndcg()
-            .select("userid", "ndcg")
-            .join(self.average_precision().select("userid", "ap"), "userid", "full")
-            .join(self.recall().select("userid", "recall"), "userid", "full")
-        )
+        per_user = self.ndcg().select("userid", "ndcg").join(self.per_user().select("userid", "ap", "recall"), "userid", "full")
         return per_user.agg(
             F.lit(self.k).alias("k"),
             F.count(F.lit(1)).alias("n_users"),

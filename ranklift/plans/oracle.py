@@ -351,9 +351,14 @@ WHERE userid IN (SELECT id FROM user_factors) AND itemid IN (SELECT id FROM item
 
 frag(
     "known_vectors",
-    """SELECT t.userid, t.itemid, t.rating, u.features AS uf, i.features AS vf
-FROM test_known t JOIN user_factors u ON t.userid = u.id JOIN item_factors i ON t.itemid = i.id""",
-    "test_known",
+    """WITH m AS MATERIALIZED (SELECT userid, itemid, rating FROM test_matrix),
+     us AS MATERIALIZED (SELECT id, features FROM user_factors),
+     its AS MATERIALIZED (SELECT id, features FROM item_factors),
+     mu AS MATERIALIZED (SELECT m.*, us.features AS uf FROM m JOIN us ON m.userid = us.id)
+SELECT mu.userid, mu.itemid, mu.rating, mu.uf, its.features AS vf FROM mu JOIN its ON mu.itemid = its.id""",
+    "test_matrix",
+    "user_factors",
+    "item_factors",
 )
 
 frag(

@@ -9,12 +9,14 @@ cached; everything else stays lazy until the caller (or a sink) acts.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import RunConfig, Window
 from ..operators import affinity, cleaning, rank_metrics, replay, sampling
-from ..operators.factors import fit_als
+from ..operators.factors import ALSParams, fit_als
 from ..sources import sinks
 from .search import ReplayScorer, search
 
@@ -36,16 +38,20 @@ def run_pipeline(
     cfg: RunConfig | None = None,
     output_path: str | None = None,
     run_date: str | None = None,
+    params: ALSParams | None = None,
 ) -> dict[str, DataFrame]:
+    """All frames of a run. ``params``: train with these and leave the search out (then there is no
+    trial log)."""
     cfg = cfg or RunConfig()
     train = affinity.affinity_matrix(cart_events, cfg.train).persist()
     test = affinity.affinity_matrix(cart_events, cfg.test)
     merged = replay_prefix(cart_events, search_results, cfg).persist()
-    tuned_on = replay_prefix(cart_events, search_results, cfg, cfg.validation).persist() if cfg.validation else merged
-
-    trials, best = search(train, ReplayScorer(tuned_on, cfg.metric, cfg.cold_start), cfg.search)
-    if tuned_on is not merged:
-        tuned_on.unpersist()
+    trials, best = None, params
+    if best is None:
+        tuned_on = replay_prefix(cart_events, search_results, cfg, cfg.validation).persist() if cfg.validation else merged
+        trials, best = search(train, ReplayScorer(tuned_on, cfg.metric, cfg.cold_start), cfg.search)
+        if tuned_on is not merged:
+            tuned_on.unpersist()
     users, items = fit_als(train, best)  # M8: one refit on the full training matrix
     users, items = users.persist(), items.persist()
 
@@ -59,15 +65,27 @@ def run_pipeline(
         "test_matrix": test,
         "test_stats": affinity.matrix_stats(test, cfg.test),
         "known_report": rank_metrics.known_pairs_report(test, users, items),
-        "trials": trials,
         "user_factors": users,
         "item_factors": items,
         "rank_metrics": scored.summary(),
         "improvement": replay.improvement_overall(shift),
         "improvement_by_query": replay.improvement_by_query(shift),
     }
+    if trials is not None:
+        out["trials"] = trials
     if output_path:
         day = run_date or date.today().strftime("%Y-%m-%d")
         sinks.write_factors(users, items, best.rank, f"{output_path}/latent_vectors", day)
-        sinks.write_trials(trials, f"{output_path}/trials/run_date={day}")
+        if trials is not None:
+            sinks.write_trials(trials, f"{output_path}/trials/run_date={day}")
     return out
+
+
+def report(out: dict[str, DataFrame]) -> DataFrame:
+    """One row per figure of a run: ``(section, name, value)``; null figures stay."""
+    parts = []
+    for section in ("train_stats", "test_stats", "known_report", "rank_metrics", "improvement"):
+        df = out[section]  # one row
+        pairs = F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in df.columns))
+        parts.append(df.select(F.lit(section).alias("section"), F.inline(pairs)))
+    return reduce(DataFrame.unionByName, parts)

@@ -57,6 +57,18 @@ def test_registered_search_is_the_configured_one(spark, monkeypatch):
     from ranklift.plans import registry
 
     spaces = []
-    monkeypatch.setattr(registry, "search", lambda train, scorer, space: (spaces.append(space) or train, None))
+    monkeypatch.setattr(registry, "search", lambda train, scorer, space: (spaces.append(space) or train.limit(1), None))
     registry.QUERIES["hyper_search"](spark, SF_SMALL)
     assert [replace(s, parallelism=1) for s in spaces] == [SearchSpace()]
+
+
+def test_report_of_a_run_with_given_parameters(spark):
+    from ranklift.operators.factors import ALSParams
+    from ranklift.plans.pipeline import report
+
+    out = run_pipeline(fixtures.cart_events(spark, SF_SMALL), fixtures.search_results(spark, SF_SMALL), RunConfig(), params=ALSParams(rank=3, iterations=2))
+    assert "trials" not in out
+    rows = {(r.section, r.name): r.value for r in report(out).collect()}
+    assert rows["rank_metrics", "ndcg_at_k"] == out["rank_metrics"].first()["ndcg_at_k"]
+    assert rows["improvement", "mai"] == out["improvement"].first()["mai"]
+    assert rows["train_stats", "n_rows"] == out["train_matrix"].count()
