@@ -16,7 +16,7 @@ The work in four steps, none of which holds more than one bounded chunk or reduc
 3. ``_linked``: candidates from prefix buckets, verified on the full sets. First each member of
    a bucket meets only a few bucket leaders (linear in the bucket), and the links
    found are contracted to components; then every pair of a bucket whose members are still in
-   different components is verified. So no link that would join two classes is lost, and a
+   different components, of sizes that fit, is verified (``_apart``). So no link that would join two classes is lost, and a
    group of thousands of near copies never turns into all its pairs.
 4. ``components``: star contraction of the links.
 
@@ -258,19 +258,39 @@ def _linked(sets: DataFrame, percent: int, leaders: int = 2) -> DataFrame:
     # tokens that no other set has come first in that order and are never shared.
     label = rows.join(first.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     label = cut(label.select("token", "sid", "n", "component", (F.col("n") - F.col("lone") - F.col("pos")).alias("rest")))
-    mixed = label.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
-    open_rows = label.join(mixed, "token", "left_semi")
-    x = open_rows.select("token", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("rest").alias("ra"))
-    y = open_rows.select("token", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("rest").alias("rb"))
-    may = F.least("ra", "rb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
-    apart = x.join(y, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & size_ok & may).select("a", "b").distinct()
+    apart = _apart(label, percent)
     late = cut(_links(apart.join(links, ["a", "b"], "left_anti"), sets, percent))
     joined = first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late)
     return components(joined)
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, chunk_bytes: int = 16 << 20) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
+def _apart(label: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs to verify in buckets that hold several components. Components meet
+    first, as one row per bucket with the range of their members' sizes: a component whose sizes fit
+    no other's brings no member into the pairs, however many it has."""
+    mixed = label.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
+    rows = label.join(mixed, "token", "left_semi")
+    ranges = rows.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
+    side = lambda tag: ranges.select("token", *(F.col(c).alias(f"{c}_{tag}") for c in ("component", "least", "most", "rest")))
+    fits = (F.col("most_x") * 100 >= F.col("least_y") * percent) & (F.col("most_y") * 100 >= F.col("least_x") * percent)
+    can = F.least("rest_x", "rest_y") * (100 + percent) >= (F.col("least_x") + F.col("least_y")) * percent
+    met = cut(side("x").join(side("y"), "token").where((F.col("component_x") < F.col("component_y")) & fits & can))
+
+    def members(tag: str, other: str, sid: str, n: str, rest: str) -> DataFrame:
+        own = rows.select("token", F.col("component").alias(f"component_{tag}"), F.col("sid").alias(sid), F.col("n").alias(n), F.col("rest").alias(rest))
+        near = (F.col(n) * 100 >= F.col(f"least_{other}") * percent) & (F.col(f"most_{other}") * 100 >= F.col(n) * percent)
+        wide = met.select("token", "component_x", "component_y", f"least_{other}", f"most_{other}")
+        return own.join(wide, ["token", f"component_{tag}"]).where(near).select("token", "component_x", "component_y", sid, n, rest)
+
+    size_ok = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+    may = F.least("ra", "rb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    both = members("x", "y", "a", "na", "ra").join(members("y", "x", "b", "nb", "rb"), ["token", "component_x", "component_y"]).where(size_ok & may)
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, chunk_bytes: int = 16 << 20, hot: int = 1000) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text). The fewer than
+    ``hot`` classes with more than 1/``hot`` of all rows each get their id by broadcast."""
     chunks = _chunks(docs, n, chunk_bytes)
     rows = chunks.select(F.explode(F.arrays_zip("doc_id", "n", "sid")).alias("x")).select("x.*")
     rows = cut(rows)
@@ -281,5 +301,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, chunk_bytes:
     release(docs.sparkSession)
     linked = _linked(sets, percent)
     rows = rows.join(linked.withColumnRenamed("node", "sid"), "sid", "left").withColumn("class", F.when(F.col("n") > 0, F.coalesce("component", "sid")))
-    lowest = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("low"))
-    return rows.join(lowest, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.coalesce("low", "doc_id")).alias("component_id"))
+    lowest = cut(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("low"), F.count("*").alias("size")))
+    share = (lowest.agg(F.sum("size")).first()[0] or 0) / hot
+    few = F.broadcast(lowest.where(F.col("size") > share).select("class", F.col("low").alias("hot_low"), F.lit(True).alias("is_hot")))  # fewer than `hot` classes
+    rows = rows.join(few, "class", "left")
+    named = lambda low: (F.col("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.coalesce(low, "doc_id")).alias("component_id"))
+    many = lowest.where(F.col("size") <= share).select("class", "low")
+    return rows.where("is_hot").select(*named("hot_low")).unionByName(rows.where("is_hot is null").join(many, "class", "left").select(*named("low")))

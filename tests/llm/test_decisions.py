@@ -158,3 +158,29 @@ def test_stages_against_sql_and_brute_force(spark, tmp_path):
         assert got == want, (name, len(got), len(want))
         assert name != "line_dedup" or all(r.n_chars == len(r.text) for r in out.collect() if r.text is not None)
         docs = out
+
+
+def test_components_of_unfitting_sizes_form_no_pairs(spark):
+    """Many near copies and one fragment in their bucket: nothing is left to verify; a component
+    of fitting size meets each of them once."""
+    from ranklift.llm import ngram_jaccard
+
+    schema = "token long, sid long, n long, component long, rest long"
+    copies = [(1, s, 100 + s % 3, 10, 90) for s in range(10, 3010)]
+    fragment, other = (1, 5000, 30, 5000, 25), (1, 6000, 95, 6000, 85)
+    pairs = lambda rows: ngram_jaccard._apart(spark.createDataFrame(rows, schema), 75).count()
+    assert pairs([*copies, fragment]) == 0
+    assert pairs([*copies, fragment, other]) == 3000
+    assert pairs([*copies, fragment, (2, 10, 100, 10, 90), (2, 6000, 95, 6000, 85)]) == 1
+
+
+def test_hot_classes_by_broadcast_and_by_join(spark):
+    from ranklift.llm import ngram_jaccard
+
+    text = " ".join(f"t{i}" for i in range(40))
+    rows = [(i, text) for i in range(30, 10, -1)] + [(100 + i, f"{text} {i}") for i in range(5)] + [(200, "alone with its own few words here"), (None, text), (201, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted(((i, 11 if t and t.startswith("t0") else i) for i, t in rows), key=repr)
+    for hot in (1000, 2, 1):
+        got = sorted(((r.doc_id, r.component_id) for r in ngram_jaccard.near_duplicates(docs, hot=hot).collect()), key=repr)
+        assert got == want
