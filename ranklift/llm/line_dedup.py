@@ -16,7 +16,7 @@ variants; a line's variant hashes are made in one pass by running XORs over its
 A near line goes also when the earlier line it repeats goes itself, so of a chain of edits the head
 stays. Order is (doc_id, hash of the text, line number), null doc_id first. Words are runs of
 characters outside ``\x20\x09-\x0D``. Equal lines count whatever their length; lines of fewer
-than ``min_near`` words are never near ones, since one edit would be more than a fifth of them.
+than ``min_near`` words are never near ones, since one edit would be more than a tenth of them.
 Cases: null text stays null and has no lines; lines without a word never go; lines that differ
 in white space alone are near ones; rows that repeat doc_id and text are one document and keep
 the same lines; a document may end up empty but stays; an empty table gives no rows; other
