@@ -1,7 +1,11 @@
 """Bench: headline queries on $BENCH_SF_DIR, local[$BENCH_CPUS]; prints one JSON line.
 
 Each query runs to completion through the ``noop`` sink (full execution, no
-collect); one warm-up pass, then the median of ``$BENCH_REPS`` timed runs.
+collect); one warm-up pass, then the median of ``$BENCH_REPS`` timed runs from an
+empty cache, fixture sources included. ``operator_sec`` is one more run with the fixture
+sources cached beforehand, so that the operators' own cost shows. ``control_sec`` is a
+fixed computation that no code here changes, timed before and after: runs on other machines or
+under other load compare by it.
 """
 
 from __future__ import annotations
@@ -39,7 +43,21 @@ def main() -> None:
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
     spark = local_session(cores=cpus, shuffle_partitions=parts, app="ranklift-bench")
     input_rows = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("lineitem", "orders", "part", "customer", "embeddings")}
+    from ranklift.sources import fixtures
+
+    def control() -> float:
+        t0 = time.perf_counter()
+        spark.range(0, 40_000_000, 1, int(cpus)).selectExpr("sum(hash(id, id * 31) & 1023)").collect()
+        return time.perf_counter() - t0
+
+    def cache_inputs() -> None:
+        for source in (fixtures.cart_events, fixtures.search_results, fixtures.user_factors, fixtures.item_factors):
+            source(spark, sf_dir).persist().count()
+
+    control()
+    controls = [control()]
     times: dict[str, float] = {}
+    own: dict[str, float] = {}
     for name in names:
         fn = QUERIES[name]
 
@@ -51,6 +69,12 @@ def main() -> None:
 
         once()  # warm-up: JIT, file listing, Python workers
         times[name] = round(statistics.median(once() for _ in range(reps)), 3)
+        spark.catalog.clearCache()
+        cache_inputs()
+        t0 = time.perf_counter()
+        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        own[name] = round(time.perf_counter() - t0, 3)
+    controls.append(control())
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(
         json.dumps(
@@ -59,6 +83,8 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "operator_sec": own,
+                "control_sec": [round(c, 3) for c in controls],
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": int(cpus),
                 "shuffle_partitions": parts,
