@@ -19,6 +19,10 @@ history and word, and its (at most 4 per group) sums are put together afterwards
 * ``bigrams``: one row per group: history, word, count, sorted; with the histories' totals and
   the probability of their followers, from which alpha follows.
 
+Both are Parquet tables partitioned by group, beside the chunks (with the ids and counts of
+their words) and the few totals of the model, in the model's folder; ``fit`` writes them, ``load``
+opens them again, and scoring reads nothing else.
+
 Each token is looked up in the bigram table first; what is not there takes alpha and the
 unigram level, whose log is added per text.
 
@@ -30,16 +34,19 @@ probability 1; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ranklift.llm.storage import cut, groups, release
 from ranklift.llm.words import mix, pack, unpack, word_hashes
+from ranklift.session import ensure_checkpoint_dir
 
 K = 5  # counts above K are not discounted
 END = np.uint64(0)  # hash of the end of a text, a token of its own
@@ -359,34 +366,55 @@ class Katz:
     hot_bound: int
     begins: int
 
-    def save(self, path: str) -> None:
-        """The two tables, partitioned by reduce group."""
-        self.words.write.mode("overwrite").partitionBy("r").parquet(f"{path}/unigrams")
-        self.bigrams.write.mode("overwrite").partitionBy("r").parquet(f"{path}/bigrams")
+
+_STORED = "chunk string, doc_id array<bigint>, held array<boolean>, size array<bigint>, n_words long, codes binary, ids binary, counts binary"
+_TOTALS = "total long, distinct_words long, discounts array<double>, freed double, pair_discounts array<double>, hot_bound long, begins long"
+
+
+def load(spark: SparkSession, path: str) -> Katz:
+    """The model that ``fit`` wrote to ``path``."""
+    m = spark.read.schema(_TOTALS).parquet(f"{path}/totals").first()
+    unigrams = Unigrams(m.total, m.distinct_words, np.array(m.discounts), m.freed)
+    table = lambda name, ddl: spark.read.schema(StructType.fromDDL(ddl)).parquet(f"{path}/{name}")
+    return Katz(table("chunks", _STORED), table("unigrams", _WORDS).drop("chunk"), table("bigrams", _TABLE), unigrams, np.array(m.pair_discounts), m.hot_bound, m.begins)
+
+
+def _folder(spark: SparkSession) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/katz-{uuid.uuid4().hex}"
 
 
-def fit(docs: DataFrame, held: Column, chunk_tokens: int = 3_000_000) -> Katz:
-    """Learns from the rows of ``docs`` (doc_id, text) where ``held`` is not true."""
+def fit(docs: DataFrame, held: Column, chunk_tokens: int = 3_000_000, path: str | None = None) -> Katz:
+    """Learns from the rows of ``docs`` (doc_id, text) where ``held`` is not true, and writes the
+    model to ``path`` (default: a new folder beside the checkpoints)."""
     spark = docs.sparkSession
+    path = path or _folder(spark)
     parts = groups(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(held, F.lit(False)).alias("held"))
     chunks = cut(rows.mapInArrow(functools.partial(_encode, chunk_tokens=chunk_tokens), "chunk string, doc_id array<bigint>, held array<boolean>, size array<bigint>, n_words long, words binary, codes binary"))
     words = cut(chunks.mapInArrow(functools.partial(_word_requests, parts=parts), "r int, chunk string, size long, words binary, counts binary").groupBy("r").applyInPandas(functools.partial(_count_words, parts=parts), _WORDS))
-    table = words.where("chunk is null").drop("chunk")
-    s = table.agg(F.sum("total"), F.sum("distinct_words"), *(F.sum(F.col("counts_of_counts")[k]) for k in range(K + 1))).first()
+    words.where("chunk is null").drop("chunk").write.partitionBy("r").parquet(f"{path}/unigrams")
+    s = words.where("chunk is null").agg(F.sum("total"), F.sum("distinct_words"), *(F.sum(F.col("counts_of_counts")[k]) for k in range(K + 1))).first()
     total, distinct, counts = int(s[0] or 0), int(s[1] or 0), [int(x or 0) for x in s[2:]]
     d = good_turing(counts)
     unigrams = Unigrams(total, distinct, d, float(sum(n * k * (1.0 - d[k]) for k, n in zip(range(1, K + 1), counts))))
     begins = int(chunks.select(F.sum(F.size(F.filter("held", lambda x: ~x)))).first()[0] or 0)
     replies = words.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("r", "size", "ids", "counts")).alias("replies"))  # one entry per group
-    learned = cut(chunks.join(replies, "chunk").mapInArrow(_learned, "chunk string, doc_id array<bigint>, held array<boolean>, size array<bigint>, n_words long, codes binary, ids binary, counts binary"))
-    del chunks, replies
+    chunks.join(replies, "chunk").mapInArrow(_learned, _STORED).write.parquet(f"{path}/chunks")
+    del chunks, replies, words
     release(spark)
+    learned = spark.read.schema(StructType.fromDDL(_STORED)).parquet(f"{path}/chunks")
     hot = max(1, total // (4 * parts))
-    bigrams = cut(learned.mapInArrow(functools.partial(_pair_requests, parts=parts, hot=hot, begins=begins), "r int, size long, v binary, cv binary, w binary, cw binary, count binary").groupBy("r").applyInPandas(functools.partial(_count_pairs, unigrams=unigrams, hot=hot), _TABLE))
-    s = bigrams.agg(*(F.sum(F.col("counts_of_counts")[k]) for k in range(K + 1))).first()
+    counted = learned.mapInArrow(functools.partial(_pair_requests, parts=parts, hot=hot, begins=begins), "r int, size long, v binary, cv binary, w binary, cw binary, count binary").groupBy("r").applyInPandas(functools.partial(_count_pairs, unigrams=unigrams, hot=hot), _TABLE)
+    counted.write.partitionBy("r").parquet(f"{path}/bigrams")
+    stored = StructType.fromDDL(_TABLE)
+    s = spark.read.schema(stored).parquet(f"{path}/bigrams").agg(*(F.sum(F.col("counts_of_counts")[k]) for k in range(K + 1))).first()
+    del counted
     release(spark)
-    return Katz(learned, table, bigrams, unigrams, good_turing([int(x or 0) for x in s]), hot, begins)
+    pair_discounts = good_turing([int(x or 0) for x in s])
+    totals = (total, distinct, d.tolist(), unigrams.freed, pair_discounts.tolist(), hot, begins)
+    spark.createDataFrame([totals], _TOTALS).coalesce(1).write.parquet(f"{path}/totals")
+    return load(spark, path)
 
 
 def score(model: Katz) -> DataFrame:

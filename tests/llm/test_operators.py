@@ -115,6 +115,29 @@ def zlib_fold():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
 
 
+def test_katz_from_its_stored_tables(spark, docs, tmp_path):
+    """A model opened again scores as the fitted one, from tables partitioned by group."""
+    path = f"{tmp_path}/model"
+    model = katz.fit(docs, zlib_fold(), path=path)
+    rows = lambda m: sorted(map(repr, katz.score(m).collect()))
+    assert rows(katz.load(spark, path)) == rows(model)
+    for table in ("unigrams", "bigrams"):
+        parts = {f.name for f in (tmp_path / "model" / table).iterdir() if f.is_dir()}
+        assert parts and all(p.startswith("r=") for p in parts)
+    assert model.words.agg({"total": "sum"}).first()[0] == model.unigrams.total > 0
+
+
+def test_chat_edges(spark):
+    schema = "conv_id long, turn long, role string, text string, formatted string"
+    assert chat_format.digests(chat_format.examples(spark.createDataFrame([], schema))).count() == 0
+    long = "word <|im_end|> " * 60_000
+    turns = [("user", long), ("assistant", "a" + long), ("user", None), ("assistant", "")]
+    df = spark.createDataFrame([(5, i, r, t, "clash") for i, (r, t) in enumerate(turns)], schema)
+    row = chat_format.digests(chat_format.examples(df)).first()
+    assert row["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t or ''}\n" for r, t in turns).encode()).hexdigest()
+    assert row["loss_chars"] == len(long) + 1 and row["loss_sha256"] == hashlib.sha256(f"a{long}".encode()).hexdigest()
+
+
 def test_line_dedup_edges(docs, none):
     gone = Counter((r.doc_id, r.line_no, r.kind) for r in line_dedup.duplicate_lines(docs).collect())
     # 8 is the earliest BASE; LONG + one word is near LONG; 12 is repeated rows of one document
