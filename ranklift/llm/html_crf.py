@@ -10,7 +10,7 @@ labelled pages; ``Model.decode`` labels a page's blocks by Viterbi, and the main
 order, are the text.
 
 Labelled pages are (a) at most ``TRAIN_PAGES`` of the given pages, the first by a hash of
-page_id, labelled by their own mark-up: a block inside <article> or <main> and inside nothing
+page_id and html, equal ones once, labelled by their own mark-up: a block inside <article> or <main> and inside nothing
 that names boilerplate is main text; (b) ``MADE_PAGES`` pages put together from the blocks of
 (a) in other layouts (no <article>, articles with forms, notices, comments inside, parts that no
 mark-up names), labelled by construction. Each page is learnt twice, the second time without any
@@ -384,8 +384,11 @@ def train(labelled: list[tuple[list[Block], list[bool]]], steps: int = 150, rate
 
 def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES, made: int = MADE_PAGES) -> Model:
     """Trains on a bounded sample of ``pages`` (page_id, html); see the module's text."""
-    rows = pages.where("html is not null").select("page_id", "html")
-    sample = [r[1] for r in rows.orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(train_pages).collect()]
+    rows = pages.where("html is not null").select("html", F.struct(F.xxhash64("page_id").alias("a"), F.xxhash64("html").alias("b")).alias("key"))
+    # the keys first, so that no task sends pages that are not among the smallest of all
+    keys = rows.select("key").distinct().orderBy("key").limit(train_pages).collect()
+    last = F.struct(*(F.lit(x).cast("long").alias(n) for x, n in zip(keys[-1][0], "ab"))) if keys else None
+    sample = [r.html for r in sorted(rows.where(F.col("key") <= last).dropDuplicates(["key"]).collect(), key=lambda r: tuple(r.key))] if keys else []
     labelled = []
     for page in sample:
         blocks = leaf_blocks(page)
