@@ -41,7 +41,8 @@ def test_pruned_scan_equals_the_full_one(spark, metric):
     full = rank_metrics.Scored(known, users, items, 5, metric, item_block=10_000)
     rows = lambda s: sorted(map(tuple, s.top_items().select("userid", "rank", "itemid", F.round("score", 9)).collect()))
     levels = lambda s: sorted(map(tuple, s.levels().select("userid", "level_start", F.round("level_key", 8), "n_items", F.round("gain_sum", 9)).collect()))
-    for opts in ({"item_block": 32}, {"item_block": 32, "user_block": 8, "first_bytes": 64 * 6 * 8}, {"item_block": 50, "user_block": 16, "first_bytes": 0}):
+    every = [{"item_block": 32, "user_block": 8, "first_bytes": 64 * 6 * 8}, {"item_block": 32}, {"item_block": 50, "user_block": 16, "first_bytes": 0}]
+    for opts in every if metric == "dot_product" else every[:1]:
         cut = rank_metrics.Scored(known, users, items, 5, metric, **opts)
         assert rows(cut) == rows(full) and levels(cut) == levels(full)
         report = cut.scan_report().first()
