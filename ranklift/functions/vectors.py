@@ -54,7 +54,7 @@ def higher_is_better(metric: str) -> bool:
     return check_metric(metric) == "dot_product"
 
 
-def rank_key(metric: str, raw: Column, digits: int = 9) -> Column:
-    """Ranking key where larger is better; rounded so ties are engine-independent."""
-    rounded = F.round(raw, digits)
+def rank_key(metric: str, raw: Column, digits: int | None = 9) -> Column:
+    """Ranking key where larger is better; rounded so ties are engine-independent (``None``: not)."""
+    rounded = raw if digits is None else F.round(raw, digits)
     return rounded if higher_is_better(metric) else -rounded

@@ -180,12 +180,15 @@ def large_groups(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     return None
 
 
-def slot_assignment(predicted: DataFrame, metric: str | None, keys=(), sizes_from: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def slot_assignment(
+    predicted: DataFrame, metric: str | None, keys=(), sizes_from: DataFrame | None = None, hot_rows: int = HOT_ROWS, digits: int | None = 9
+) -> DataFrame:
     """W4 + W5: predicted order of each group mapped onto its shown slots.
 
     Output ``(GROUP..., slot, predict_itemid, prediction, imp_position)``: the
     item ranked ``slot`` by the model and the position of the ``slot``-th shown
-    result. Ties: rounded score, then shown position, then item id; a missing score comes last.
+    result. Scores that agree in ``digits`` decimals (``None``: equal ones) are ties, which go by shown
+    position, then item id; a missing score comes last.
     ``metric=None`` reads the metric per row from a ``metric`` column (then pass
     ``keys=("metric",)``).
 
@@ -197,10 +200,10 @@ def slot_assignment(predicted: DataFrame, metric: str | None, keys=(), sizes_fro
     """
     group = [*GROUP, *keys]
     if metric is None:
-        r = F.round(F.col("prediction"), 9)
-        key = F.when(F.col("metric") == "dot_product", r).otherwise(-r)
+        key = F.when(F.col("metric") == "dot_product", F.col("prediction")).otherwise(-F.col("prediction"))
+        key = key if digits is None else F.round(key, digits)
     else:
-        key = rank_key(metric, F.col("prediction"))
+        key = rank_key(metric, F.col("prediction"), digits)
     rows = predicted.select(*group, "imp_itemid", "imp_position", "prediction", (-key).alias("_key"))
     large = large_groups(predicted if sizes_from is None else sizes_from, hot_rows)
     if large is None:

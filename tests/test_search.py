@@ -127,3 +127,12 @@ def test_a_group_with_a_third_of_all_rows_spreads(spark):
     ordered = got.where("g = 'hot'").orderBy("rank").collect()
     assert [r["rank"] for r in ordered] == list(range(1, 3001))
     assert [(-r.v, r.pos) for r in ordered] == sorted((-r.v, r.pos) for r in ordered)
+
+
+def test_slots_with_and_without_rounding(spark):
+    rows = [("d", "u", "c", "i1", 0.0, "q", "i2", 1.0), ("d", "u", "c", "i2", 0.0, "q", "i2", 1.0 + 1e-12)]
+    df = spark.createDataFrame(rows, "fecha string, userid string, correlation_id string, imp_itemid string, imp_position double, search_query string, a2c_itemid string, prediction double")
+    df = df.withColumn("imp_position", F.when(F.col("imp_itemid") == "i1", 0.0).otherwise(1.0))
+    order = lambda metric, **o: [r.predict_itemid for r in replay.slot_assignment(df, metric, **o).orderBy("slot").collect()]
+    assert order("dot_product") == ["i1", "i2"] and order("dot_product", digits=None) == ["i2", "i1"]
+    assert order("euclidean_distance", digits=None) == ["i1", "i2"]
