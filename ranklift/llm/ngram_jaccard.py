@@ -279,8 +279,9 @@ def _apart(label: DataFrame, percent: int) -> DataFrame:
     def members(tag: str, other: str, sid: str, n: str, rest: str) -> DataFrame:
         own = rows.select("token", F.col("component").alias(f"component_{tag}"), F.col("sid").alias(sid), F.col("n").alias(n), F.col("rest").alias(rest))
         near = (F.col(n) * 100 >= F.col(f"least_{other}") * percent) & (F.col(f"most_{other}") * 100 >= F.col(n) * percent)
-        wide = met.select("token", "component_x", "component_y", f"least_{other}", f"most_{other}")
-        return own.join(wide, ["token", f"component_{tag}"]).where(near).select("token", "component_x", "component_y", sid, n, rest)
+        share = F.least(rest, f"rest_{other}") * (100 + percent) >= (F.col(n) + F.col(f"least_{other}")) * percent
+        wide = met.select("token", "component_x", "component_y", f"least_{other}", f"most_{other}", f"rest_{other}")
+        return own.join(wide, ["token", f"component_{tag}"]).where(near & share).select("token", "component_x", "component_y", sid, n, rest)
 
     size_ok = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     may = F.least("ra", "rb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
