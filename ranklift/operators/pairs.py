@@ -47,10 +47,10 @@ def _measured(factors: DataFrame) -> dict:
     return row.first().asDict()
 
 
-def grid(user_bytes: int, item_bytes: int, block_bytes: int, tasks: int) -> tuple[int, int]:
+def grid(user_bytes: int, item_bytes: int, block_bytes: int, tasks: int, users_held: bool = True) -> tuple[int, int]:
     """User blocks and item blocks: the fewest moved vectors with blocks under ``block_bytes`` and a
-    cell for each of ``tasks``."""
-    a, b = (max(1, math.ceil(x / block_bytes)) for x in (user_bytes, item_bytes))
+    cell for each of ``tasks``. ``users_held``: False if users only stream past a block of items."""
+    a, b = (max(1, math.ceil(x / block_bytes)) for x in (user_bytes if users_held else 0, item_bytes))
     while a * b < tasks:  # the block whose split repeats fewer bytes
         if item_bytes <= user_bytes * b / a:
             a += 1

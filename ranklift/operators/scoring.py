@@ -17,9 +17,10 @@ key beats all that a block could give skips the block; the rows are those of the
 
 First, every user block runs over the ``first_bytes`` of items that promise most (the longest
 vectors, or those nearest to the users' mean length): a proven bound, so they are shipped once per
-worker. The other items, if there are any, stay distributed in ranges of lengths; each user's k-th key
-picks the range of blocks that could still matter, and only those (item block, users) pairs are
-joined, by the block's number, with the item blocks dealt over groups of user blocks.
+worker. The other items, if there are any, stay distributed in ranges of lengths, ``group_bytes`` of them or
+less to a group; each user's k-th key picks the groups that could still matter. A task holds one group of items
+and one part of the users streams past it: what is moved are the users times the groups and the items times the
+parts (``pairs.grid``), never a user for each block.
 
 Distances are computed directly for the items that may be kept; scores closer than
 ``digits`` decimals count as ties (``None``: only equal ones). Rows without a user count
@@ -36,9 +37,11 @@ from pyspark.sql import types as T
 
 from ..config import check_metric
 from ..functions.vectors import norm
+from .pairs import grid
 
 KEY_DIGITS = 9
 FIRST_BYTES = 64 << 20
+GROUP_BYTES = 256 << 20
 
 OUT_SCHEMA = T.StructType(
     [
@@ -70,12 +73,13 @@ def _reach(dot: bool, digits: int | None):
 def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
     """The per-task kernel. Self-contained (imports inside) so it ships by value.
 
-    ``shared``: a broadcast of ``[(ids, matrix), ...]``, most promising first; otherwise every
-    input row carries one item block (``i_ids``, ``i_vecs``) and each user's k-th key so far
-    (``u_keys``).
+    ``shared``: a broadcast of ``[(ids, matrix), ...]``, most promising first; otherwise the rows of
+    a cell are its item blocks (``_kind`` 0), most promising first, then its user blocks with each
+    user's k-th key so far (``u_keys``).
     """
     dot = metric == "dot_product"
     reach = _reach(dot, digits)
+    unit = 10.0**-digits if digits is not None else 0.0
 
     def score_batches(batches):
         import numpy as np
@@ -128,10 +132,16 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
             sel = before - before[first_of(rows, n)[rows]] < k
             return rows[sel], key[sel], gain[sel], cnt[sel]
 
-        def candidates(U, V):
-            """(user row, item column, key, raw score) of all that may stand in a user's top k."""
+        def candidates(U, V, kth):
+            """(user row, item column, key, raw score) of all that may stand in a user's top k; ``kth``: the
+            key it takes at least."""
             top = V.shape[0] - min(k, V.shape[0])
             raw = U @ V.T
+            known = np.isfinite(kth).all()  # then no order within the block is needed
+            if dot and known:
+                rows, cols = np.nonzero(raw >= (kth - unit - 1e-12 * np.abs(kth))[:, None])
+                raw = raw[rows, cols]
+                return rows, cols, np.round(raw, digits) if digits is not None else raw, raw
             if dot:
                 key = np.round(raw, digits) if digits is not None else raw
                 rows, cols = np.nonzero(key >= np.partition(key, top, axis=1)[:, top][:, None])
@@ -139,7 +149,7 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
             # The expanded square only selects, with room for its error; distances are direct.
             uu, vv = (U * U).sum(1), (V * V).sum(1)
             near = 2.0 * raw - uu[:, None] - vv[None, :]
-            cut = np.partition(near, top, axis=1)[:, top]
+            cut = -np.square(np.maximum(0.0, unit - kth)) if known else np.partition(near, top, axis=1)[:, top]
             room = 1e-8 * (1.0 + np.sqrt(np.maximum(-cut, 0.0))) + 1e-11 * (uu + vv.max())
             rows, cols = np.nonzero(near >= (cut - room)[:, None])
             d = np.empty(len(rows))
@@ -170,7 +180,7 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
                 if not len(numbers) or not len(active):
                     continue
                 scored += len(active)
-                rows, cols, key, raw = candidates(U[active], V)
+                rows, cols, key, raw = candidates(U[active], V, kth[active])
                 rows = active[rows]
                 gains = np.zeros((n, len(numbers)))
                 mine = slice(edges[j], edges[j + 1])
@@ -187,6 +197,7 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
                 kth = np.maximum(kth, kth_keys(n, items))
             return items, levels, scored
 
+        cell, blocks = None, []
         for batch in batches:
             out = [[] for _ in types]
 
@@ -196,13 +207,18 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
 
             for r in range(batch.num_rows):
                 uids = strings(batch.column("u_ids")[r])
-                if known_items is None:
-                    iids = strings(batch.column("i_ids")[r])
-                    ids, number, block, column, parts = catalogue([(iids, matrix(batch.column("i_vecs")[r].values, len(iids)))])
+                if shared is None:
+                    if cell != (now := batch.column("_cell")[r].as_py()):
+                        cell, blocks, known_items = now, [], None
+                    if batch.column("_kind")[r].as_py() == 0:
+                        blocks.append((uids, matrix(batch.column("u_vecs")[r].values, len(uids))))
+                        continue
+                    if known_items is None:
+                        known_items, blocks = catalogue(blocks) if blocks else ([], {}, None, None, []), []
                     kth = batch.column("u_keys")[r].values.to_numpy(zero_copy_only=False)
                 else:
-                    ids, number, block, column, parts = known_items
                     kth = np.full(len(uids), -np.inf)
+                ids, number, block, column, parts = known_items
                 if len(uids) == 0 or len(ids) == 0:
                     continue
                 rel = [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
@@ -258,6 +274,7 @@ def score_top_levels(
     user_block: int = 512,
     item_block: int = 2048,
     first_bytes: int = FIRST_BYTES,
+    group_bytes: int = GROUP_BYTES,
     n_users: int | None = None,
     n_items: int | None = None,
     digits: int | None = KEY_DIGITS,
@@ -305,24 +322,29 @@ def score_top_levels(
     out = out.persist()  # the k-th keys and the merge read it
     last = (table.column("_promise")[-1].as_py(), ids[-1])
     rest = items.where((F.col("_promise") > last[0]) | ((F.col("_promise") == last[0]) & (F.col("itemid") > last[1])))
-    return out.unionByName(_score_rest(users, rest, ratings, out, n_items - len(ids), k, metric, user_block, item_block, digits))
+    return out.unionByName(_score_rest(users, rest, ratings, out, n_users, n_items - len(ids), int(first["rank"]), k, metric, user_block, item_block, digits, group_bytes))
 
 
-def _score_rest(users, rest, ratings, first, n_rest, k, metric, user_block, item_block, digits) -> DataFrame:
+def _score_rest(users, rest, ratings, first, n_users, n_rest, rank, k, metric, user_block, item_block, digits, group_bytes) -> DataFrame:
     """The items beyond the first part, for the users whom they could still matter to."""
     from ..session import ensure_checkpoint_dir
 
     spark = users.sparkSession
     ensure_checkpoint_dir(spark)
+    dot, blocks = metric == "dot_product", max(1, math.ceil(n_rest / item_block))
+    # parts of the users, groups of the item blocks
+    parts, groups = grid(8 * rank * n_users, 8 * rank * n_rest, group_bytes, 4 * spark.sparkContext.defaultParallelism, users_held=False)
+    groups = min(groups, blocks)
     # Ranges of lengths; written once, so that every reader sees the same blocks.
-    ranged = rest.repartitionByRange(max(1, math.ceil(n_rest / item_block)), "_len", "itemid")
-    ranged = ranged.select("itemid", "features", "_len", F.spark_partition_id().alias("ib")).checkpoint(eager=True)
-    sizes = ranged.groupBy("ib").agg(F.min("_len").alias("lo"), F.max("_len").alias("hi")).orderBy("ib").collect()  # a row per item block
-    numbers, lo, hi = ([r[c] for r in sizes] for c in ("ib", "lo", "hi"))
-    reach = _reach(metric == "dot_product", digits)
+    ranged = rest.repartitionByRange(blocks, "_len", "itemid")
+    group = F.floor(F.spark_partition_id() * F.lit(groups) / F.lit(blocks)).cast("int")
+    ranged = ranged.select("itemid", "features", "_len", F.spark_partition_id().alias("ib"), group.alias("grp")).checkpoint(eager=True)
+    sizes = ranged.groupBy("grp").agg(F.min("_len").alias("lo"), F.max("_len").alias("hi"), F.count_distinct("ib").alias("n")).orderBy("grp").collect()  # a row per group
+    numbers, lo, hi = ([r[c] for r in sizes] for c in ("grp", "lo", "hi"))
+    reach = _reach(dot, digits)
 
     def needed(batches):
-        """The item blocks that could still matter to each user."""
+        """The groups of items that could still matter to each user."""
         import numpy as np
         import pyarrow as pa
 
@@ -330,27 +352,30 @@ def _score_rest(users, rest, ratings, first, n_rest, k, metric, user_block, item
         for batch in batches:
             lengths, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_len", "_key"))
             found = [at[reach(x, a, b) >= y] for x, y in zip(lengths, keys)]
-            yield pa.RecordBatch.from_arrays([batch.column("userid"), batch.column("_key"), pa.array(found, pa.list_(pa.int32()))], names=["userid", "_key", "blocks"])
+            yield pa.RecordBatch.from_arrays([batch.column("userid"), batch.column("_key"), pa.array(found, pa.list_(pa.int32()))], names=["userid", "_key", "groups"])
 
     have = first.where(F.col("userid").isNotNull() & F.col("itemid").isNotNull()).groupBy("userid").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("m"))
     key = F.when(F.col("n") >= k, F.col("m")).otherwise(F.lit(float("-inf"))).alias("_key")
     asked = users.join(have, "userid", "left").select("userid", norm("features").alias("_len"), key)
-    asked = asked.mapInArrow(needed, "userid string, _key double, blocks array<int>").where(F.size("blocks") > 0)
-    asked = asked.select("userid", "_key", F.explode("blocks").alias("ib")).persist()
-    most = asked.groupBy("ib").count().agg(F.max("count")).first()[0] or 0
-    cells = max(1, math.ceil(most / user_block))  # user blocks of the most wanted item block
-    groups = max(1, math.ceil(cells / 16))
-    cell = F.pmod(F.xxhash64("userid"), F.lit(cells)).alias("cell")
-    parts = [F.col("ib"), cell]
-    packed = _packed(asked.join(users, "userid").select("userid", "features", "_key", *parts), ["ib", "cell"], "userid", "u", {"_key": "u_keys"})
-    placed = ratings.join(ranged.select("itemid", "ib"), "itemid").join(asked.select("userid", "ib"), ["userid", "ib"])
-    packed = packed.join(_relevance(placed.select("userid", "itemid", "rating", *parts), ["ib", "cell"]), ["ib", "cell"], "left")
-    # an item block goes to each group of the cells that want it
-    copies = _packed(ranged, ["ib"], "itemid", "i").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    pairs = packed.withColumn("group", (F.col("cell") % groups).cast("int")).join(copies, ["ib", "group"])
-    scored = pairs.select("u_ids", "u_vecs", "u_keys", "r_u", "r_i", "r_v", "i_ids", "i_vecs").mapInArrow(_block_scorer(k, metric, digits), OUT_SCHEMA)
+    asked = asked.mapInArrow(needed, "userid string, _key double, groups array<int>").where(F.size("groups") > 0).persist()  # a row per user
+    packs = parts * max(1, math.ceil(n_users / (parts * user_block)))
+    pack = F.pmod(F.xxhash64("userid"), F.lit(packs)).alias("_at")
+    by, to = ["grp", "_at"], F.explode("groups").alias("grp")
+    packed = _packed(asked.join(users, "userid").select("userid", "features", "_key", to, pack), by, "userid", "u", {"_key": "u_keys"})
+    wanted = ratings.join(asked.select("userid", "groups"), "userid").join(ranged.select("itemid", "grp"), "itemid").where(F.array_contains("groups", F.col("grp")))
+    packed = packed.join(_relevance(wanted.select("userid", "itemid", "rating", "grp", pack), by), by, "left")
+    streamed = ["u_ids", "u_vecs", "u_keys", "r_u", "r_i", "r_v"]
+    cell = (F.col("grp") * F.lit(parts) + F.col("_part")).cast("int").alias("_cell")
+    packed = packed.withColumn("_part", F.col("_at") % F.lit(parts)).select(cell, F.lit(1).alias("_kind"), F.col("_at").cast("long"), *streamed)
+    # an item block goes to each part of the users; for the dot product the longest come first
+    copies = _packed(ranged, ["ib", "grp"], "itemid", "u").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    none = {f.name: F.array().cast(f.dataType) for f in packed.schema if f.name in streamed[2:]}
+    promise = (-F.col("ib") if dot else F.col("ib")).cast("long").alias("_at")
+    copies = copies.select(cell, F.lit(0).alias("_kind"), promise, "u_ids", "u_vecs", *(x.alias(c) for c, x in none.items()))
+    cells = copies.unionByName(packed).repartitionById(parts * groups, F.col("_cell")).sortWithinPartitions("_cell", "_kind", "_at")
+    scored = cells.mapInArrow(_block_scorer(k, metric, digits), OUT_SCHEMA)
     # pairs that were never formed count as skipped
-    total = float(len(numbers)) * users.count()
+    total = float(sum(r["n"] for r in sizes)) * n_users
     skipped = spark.createDataFrame([(None, None, None, None, total, 0)], OUT_SCHEMA)
     formed = scored.withColumn("gain", F.when(F.col("userid").isNull(), F.lit(0.0)).otherwise(F.col("gain")))
     return formed.unionByName(skipped)
