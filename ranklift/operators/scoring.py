@@ -132,14 +132,17 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
             sel = before - before[first_of(rows, n)[rows]] < k
             return rows[sel], key[sel], gain[sel], cnt[sel]
 
-        def candidates(U, V, kth):
+        def places(mask):
+            return np.divmod(np.flatnonzero(mask), mask.shape[1])
+
+        def candidates(U, V, kth, room_for):
             """(user row, item column, key, raw score) of all that may stand in a user's top k; ``kth``: the
-            key it takes at least."""
+            key it takes at least; ``room_for``: memory of the scores."""
             top = V.shape[0] - min(k, V.shape[0])
-            raw = U @ V.T
+            raw = np.dot(U, V.T, out=room_for[: len(U) * len(V)].reshape(len(U), len(V)))
             known = np.isfinite(kth).all()  # then no order within the block is needed
             if dot and known:
-                rows, cols = np.nonzero(raw >= (kth - unit - 1e-12 * np.abs(kth))[:, None])
+                rows, cols = places(raw >= (kth - unit - 1e-12 * np.abs(kth))[:, None])
                 raw = raw[rows, cols]
                 return rows, cols, np.round(raw, digits) if digits is not None else raw, raw
             if dot:
@@ -148,16 +151,27 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
                 return rows, cols, key[rows, cols], raw[rows, cols]
             # The expanded square only selects, with room for its error; distances are direct.
             uu, vv = (U * U).sum(1), (V * V).sum(1)
-            near = 2.0 * raw - uu[:, None] - vv[None, :]
+            near = raw
+            near *= 2.0
+            near -= uu[:, None]
+            near -= vv[None, :]
             cut = -np.square(np.maximum(0.0, unit - kth)) if known else np.partition(near, top, axis=1)[:, top]
             room = 1e-8 * (1.0 + np.sqrt(np.maximum(-cut, 0.0))) + 1e-11 * (uu + vv.max())
-            rows, cols = np.nonzero(near >= (cut - room)[:, None])
+            rows, cols = places(near >= (cut - room)[:, None])
             d = np.empty(len(rows))
             for a in range(0, len(rows), 1 << 16):
                 s = slice(a, a + (1 << 16))
                 d[s] = np.sqrt(((U[rows[s]] - V[cols[s]]) ** 2).sum(1))
             return rows, cols, -(np.round(d, digits) if digits is not None else d), d
 
+        def gains(known, gain, asked):
+            """The sum of ``gain`` at each place asked for."""
+            if not len(known):
+                return np.zeros(len(asked))
+            known, run = np.unique(known, return_inverse=True)
+            at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+            return np.where(known[at] == asked, np.bincount(run, gain, len(known))[at], 0.0)
+
         def kth_keys(n, items):
             """Each user's k-th key; minus infinity before there are k."""
             out = np.full(n, -np.inf)
@@ -175,19 +189,18 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
             edges = np.searchsorted(r_block, np.arange(len(parts) + 1))
             items = levels = None
             scored = 0
+            room_for = np.empty(n * max(len(numbers) for numbers, *_ in parts))
             for j, (numbers, V, lo, hi) in enumerate(parts):
                 active = np.flatnonzero(reach(lengths, lo, hi) >= kth)
                 if not len(numbers) or not len(active):
                     continue
                 scored += len(active)
-                rows, cols, key, raw = candidates(U[active], V, kth[active])
+                rows, cols, key, raw = candidates(U[active], V, kth[active], room_for)
                 rows = active[rows]
-                gains = np.zeros((n, len(numbers)))
-                mine = slice(edges[j], edges[j + 1])
-                np.add.at(gains, (r_row[mine], r_col[mine]), r_gain[mine])
                 worth = key >= kth[rows]
                 rows, cols, key, raw = rows[worth], cols[worth], key[worth], raw[worth]
-                gain = gains[rows, cols]
+                mine = slice(edges[j], edges[j + 1])
+                gain = gains(r_row[mine] * len(numbers) + r_col[mine], r_gain[mine], rows * len(numbers) + cols)
                 found = (rows, numbers[cols], key, raw, gain)
                 runs = (rows, key, gain, np.ones(len(rows), np.int64))
                 if not len(rows):
