@@ -75,3 +75,34 @@ def test_rerank_moves_no_vector_with_a_product(spark):
     for df, s in zip(forms, (dot(u, v), cosine(u, v), euclidean(u, v), F.try_divide(dot(u, v), norm(v)))):
         want = _joined(asked.select("request_id", "userid", F.explode("products").alias("itemid")), users, items).select("request_id", "itemid", s.alias("score"))
         assert _sorted(df.select("request_id", "itemid", "score")) == _sorted(want)
+
+
+def test_matrix_and_replay_leave_the_names_out(spark):
+    """The replay reads the shown results of its days only, and no item name."""
+    from conftest import SF_SMALL
+    from ranklift.plans.context import Inputs
+
+    i = Inputs(spark, SF_SMALL)
+    for df in (i.train_matrix, i.impressions, i.cart_adds):
+        assert "p_name" not in df._jdf.queryExecution().optimizedPlan().toString()
+    plan = i.impressions._jdf.queryExecution().optimizedPlan().toString()
+    below = re.findall(r"Filter [^\n]*", plan[plan.index("Window ") :])
+    assert sum(">=" in x and "o_orderdate" in x for x in below) == 2  # lines and distractors
+
+
+def test_folds_move_only_the_users_they_begin_in(spark):
+    from ranklift.operators import factors as FA
+
+    rows = [(None if u == 0 else f"u{u}", None if (u + i) % 9 == 0 else f"i{i}", float(u)) for u in range(7) for i in range(1 + u * 3)]
+    rows = sorted(set(rows), key=repr)
+    df = spark.createDataFrame(rows, "userid string, itemid string, rating double").repartition(5)
+    order = sorted(df.collect(), key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or ""))
+    for folds in (1, 2, 3, 7):
+        q, rest = divmod(len(order), folds)
+        want = [f + 1 for f in range(folds) for _ in range(q + (f < rest))]
+        got = FA.kfold_assign(df, folds)
+        assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()  # the ids used to be joined
+        by = {(r.userid, r.itemid): r.fold for r in got.collect()}
+        assert [by[r[0], r[1]] for r in order] == want
+    same = spark.createDataFrame([("u", "i", 1.0)] * 4, df.schema)
+    assert sorted(r.fold for r in FA.kfold_assign(same, 2).collect()) == [1, 1, 2, 2]
