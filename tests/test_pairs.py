@@ -106,3 +106,12 @@ def test_folds_move_only_the_users_they_begin_in(spark):
         assert [by[r[0], r[1]] for r in order] == want
     same = spark.createDataFrame([("u", "i", 1.0)] * 4, df.schema)
     assert sorted(r.fold for r in FA.kfold_assign(same, 2).collect()) == [1, 1, 2, 2]
+
+
+def test_requests_are_not_sorted_by_order(spark):
+    """A task used to sort the shown rows of its orders in a window before it collected them."""
+    from conftest import SF_SMALL
+    from ranklift.sources import fixtures
+
+    plan = fixtures.rerank_requests(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
