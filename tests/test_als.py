@@ -83,3 +83,19 @@ def test_planted_blocks_beat_random(spark):
     fitted, rand = score(users, items), score(rand_u, rand_i)
     assert fitted["mar_at_k"] > rand["mar_at_k"] + 0.1
     assert fitted["ndcg_at_k"] > rand["ndcg_at_k"]
+
+
+def test_blocks_of_a_fit_do_not_follow_its_ratings():
+    # every block that rates an entity gets its vector in every iteration
+    assert [factors.blocks_for(n) for n in (0, 150_000, 26_000_000, 150_000_000)] == [1, 2, 5, 5]
+    assert factors.blocks_for(26_000_000, at_once=8) == 1 and factors.blocks_for(10**9) == 32  # memory of a block
+
+
+def test_long_fits_drop_the_vectors_of_earlier_iterations(spark, monkeypatch):
+    asked = []
+    fit = factors.ALS.fit
+    monkeypatch.setattr(factors.ALS, "fit", lambda self, *a: asked.append(self.getCheckpointInterval()) or fit(self, *a))
+    monkeypatch.setattr(factors, "CHECKPOINT_FROM", 2)
+    m = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("b", "x", 1.0)], "userid string, itemid string, rating double")
+    users, items = factors.fit_als(m, factors.ALSParams(rank=2, iterations=4))
+    assert asked == [2] and users.count() == 2 and items.count() == 2
