@@ -136,3 +136,20 @@ def test_slots_with_and_without_rounding(spark):
     order = lambda metric, **o: [r.predict_itemid for r in replay.slot_assignment(df, metric, **o).orderBy("slot").collect()]
     assert order("dot_product") == ["i1", "i2"] and order("dot_product", digits=None) == ["i2", "i1"]
     assert order("euclidean_distance", digits=None) == ["i1", "i2"]
+
+
+def test_fits_at_once_share_the_blocks(spark, monkeypatch):
+    """Eight fits busy the cores together: each moves a vector once in an iteration."""
+    asked = []
+
+    def fit(part, params, n_ratings, n_users):
+        asked.append(params.blocks)
+        return spark.createDataFrame([("u", 0, [1.0])], "kind string, idx int, features array<float>")
+
+    monkeypatch.setattr(S, "fit_encoded", fit)
+    folded = spark.createDataFrame([(0, 0, 1.0, 1)], "u int, i int, rating double, fold int")
+    fits = {m: (factors.ALSParams(), 2) for m in range(3)}
+    assert S.fit_models(folded, fits, {2: (1_700_000, 90_000)}, 8).count() == 3 and asked == [1, 1, 1]
+    asked.clear()
+    S.fit_models(folded, fits, {2: (1_700_000, 90_000)}, 1)
+    assert asked == [5, 5, 5]
