@@ -138,26 +138,32 @@ def _encode(batches, chunk_tokens: int):
         yield flush()
 
 
+def _rows(batches):
+    """One row at a time, since a batch may hold every chunk of a partition."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _chunk(row: dict) -> dict:
     size = np.array(row["size"], np.int64)
     return row | {"size": size, "held": np.array(row["held"], bool), "codes": unpack(row["codes"], int(size.sum())).astype(np.int64)}
 
 
 def _word_requests(batches, parts: int):
-    for batch in batches:
-        for row in map(_chunk, batch.to_pylist()):
-            words = unpack(row["words"], row["n_words"], 8)
-            count = np.bincount(row["codes"][~np.repeat(row["held"], row["size"])], minlength=len(words))
-            order = np.argsort(words)
-            words, count = words[order], count[order]
-            edges = np.searchsorted(words, np.array([min((r << 64) // parts, 2**64 - 1) for r in range(parts)], np.uint64)).tolist() + [len(words)]
-            edges[0] = 0
-            for r in range(parts):
-                a, b = edges[r], edges[r + 1]
-                if b > a:
-                    step = words[a:b].copy()
-                    step[1:] -= words[a : b - 1]
-                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([row["chunk"]]), pa.array([b - a], pa.int64()), pa.array([pack(step, 8)], pa.binary()), pa.array([pack(count[a:b])], pa.binary())], names=["r", "chunk", "size", "words", "counts"])
+    for row in map(_chunk, _rows(batches)):
+        words = unpack(row["words"], row["n_words"], 8)
+        count = np.bincount(row["codes"][~np.repeat(row["held"], row["size"])], minlength=len(words))
+        order = np.argsort(words)
+        words, count = words[order], count[order]
+        edges = np.searchsorted(words, np.array([min((r << 64) // parts, 2**64 - 1) for r in range(parts)], np.uint64)).tolist() + [len(words)]
+        edges[0] = 0
+        for r in range(parts):
+            a, b = edges[r], edges[r + 1]
+            if b > a:
+                step = words[a:b].copy()
+                step[1:] -= words[a : b - 1]
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([row["chunk"]]), pa.array([b - a], pa.int64()), pa.array([pack(step, 8)], pa.binary()), pa.array([pack(count[a:b])], pa.binary())], names=["r", "chunk", "size", "words", "counts"])
 
 
 def _counts_of_counts(c: np.ndarray) -> list[int]:
@@ -190,15 +196,14 @@ _KNOWN = pa.schema([("chunk", pa.string()), ("doc_id", pa.list_(pa.int64())), ("
 
 def _learned(batches):
     """Chunks with the ids and counts of their words in place of the hashes."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            order = np.argsort(unpack(row["words"], row["n_words"], 8))
-            got = sorted(row["replies"], key=lambda x: x["r"])
-            for name in ("ids", "counts"):
-                out = np.empty(row["n_words"], np.uint64)
-                out[order] = np.concatenate([unpack(x[name], x["size"], WIDE) for x in got])
-                row[name] = pack(out, WIDE)
-            yield pa.RecordBatch.from_arrays([pa.array([row[t.name]], t.type) for t in _KNOWN], schema=_KNOWN)
+    for row in _rows(batches):
+        order = np.argsort(unpack(row["words"], row["n_words"], 8))
+        got = sorted(row["replies"], key=lambda x: x["r"])
+        for name in ("ids", "counts"):
+            out = np.empty(row["n_words"], np.uint64)
+            out[order] = np.concatenate([unpack(x[name], x["size"], WIDE) for x in got])
+            row[name] = pack(out, WIDE)
+        yield pa.RecordBatch.from_arrays([pa.array([row[t.name]], t.type) for t in _KNOWN], schema=_KNOWN)
 
 
 def _pairs(row: dict, texts: np.ndarray):
@@ -227,21 +232,20 @@ def _group(v: np.ndarray, w: np.ndarray, cv: np.ndarray, parts: int, hot: int) -
 
 
 def _pair_requests(batches, parts: int, hot: int, begins: int):
-    for batch in batches:
-        for row in map(_chunk, batch.to_pylist()):
-            v, w, _ = _pairs(row, ~row["held"])
-            n = row["n_words"]
-            key, count = np.unique(v * n + w, return_counts=True)
-            ids, counts = _known(row, begins)
-            v, w = key // max(n, 1), key % max(n, 1)
-            r = _group(ids[v], ids[w], counts[v], parts, hot)
-            order = np.lexsort((ids[w], ids[v], r))
-            v, w, count, edges = v[order], w[order], count[order], np.searchsorted(r[order], np.arange(parts + 1))
-            for i in range(parts):
-                a, b = edges[i], edges[i + 1]
-                if b > a:
-                    cols = [pack(x, WIDE) for x in (ids[v[a:b]], counts[v[a:b]], ids[w[a:b]], counts[w[a:b]])] + [pack(count[a:b])]
-                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([int(b - a)], pa.int64()), *(pa.array([x], pa.binary()) for x in cols)], names=["r", "size", "v", "cv", "w", "cw", "count"])
+    for row in map(_chunk, _rows(batches)):
+        v, w, _ = _pairs(row, ~row["held"])
+        n = row["n_words"]
+        key, count = np.unique(v * n + w, return_counts=True)
+        ids, counts = _known(row, begins)
+        v, w = key // max(n, 1), key % max(n, 1)
+        r = _group(ids[v], ids[w], counts[v], parts, hot)
+        order = np.lexsort((ids[w], ids[v], r))
+        v, w, count, edges = v[order], w[order], count[order], np.searchsorted(r[order], np.arange(parts + 1))
+        for i in range(parts):
+            a, b = edges[i], edges[i + 1]
+            if b > a:
+                cols = [pack(x, WIDE) for x in (ids[v[a:b]], counts[v[a:b]], ids[w[a:b]], counts[w[a:b]])] + [pack(count[a:b])]
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([int(b - a)], pa.int64()), *(pa.array([x], pa.binary()) for x in cols)], names=["r", "size", "v", "cv", "w", "cw", "count"])
 
 
 _TABLE = "r int, size long, v binary, cv binary, w binary, cw binary, counts binary, n_histories long, followed binary, counts_of_counts array<bigint>, hot array<struct<v: bigint, cv: bigint, seen: array<bigint>, followed: double>>"
@@ -268,20 +272,19 @@ def _count_pairs(pdf: pd.DataFrame, unigrams: Unigrams, hot: int) -> pd.DataFram
 
 def _events(batches, parts: int, hot: int, begins: int):
     """Every token after a known history, dealt like the pairs of the table."""
-    for batch in batches:
-        for row in map(_chunk, batch.to_pylist()):
-            v, w, text = _pairs(row, np.ones(len(row["size"]), bool))
-            ids, counts = _known(row, begins)
-            seen = ids[v] > 0
-            v, w, text = v[seen], w[seen], text[seen]
-            r = _group(ids[v], ids[w], counts[v], parts, hot)
-            order = np.lexsort((w, v, r))
-            v, w, text, edges = v[order], w[order], text[order], np.searchsorted(r[order], np.arange(parts + 1))
-            for i in range(parts):
-                a, b = edges[i], edges[i + 1]
-                if b > a:
-                    cols = [pack(x, WIDE) for x in (ids[v[a:b]], ids[w[a:b]])] + [pack(text[a:b])]
-                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([row["chunk"]]), pa.array([len(row["size"])], pa.int64()), pa.array([int(b - a)], pa.int64()), *(pa.array([x], pa.binary()) for x in cols)], names=["r", "chunk", "n_texts", "size", "v", "w", "text"])
+    for row in map(_chunk, _rows(batches)):
+        v, w, text = _pairs(row, np.ones(len(row["size"]), bool))
+        ids, counts = _known(row, begins)
+        seen = ids[v] > 0
+        v, w, text = v[seen], w[seen], text[seen]
+        r = _group(ids[v], ids[w], counts[v], parts, hot)
+        order = np.lexsort((w, v, r))
+        v, w, text, edges = v[order], w[order], text[order], np.searchsorted(r[order], np.arange(parts + 1))
+        for i in range(parts):
+            a, b = edges[i], edges[i + 1]
+            if b > a:
+                cols = [pack(x, WIDE) for x in (ids[v[a:b]], ids[w[a:b]])] + [pack(text[a:b])]
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([row["chunk"]]), pa.array([len(row["size"])], pa.int64()), pa.array([int(b - a)], pa.int64()), *(pa.array([x], pa.binary()) for x in cols)], names=["r", "chunk", "n_texts", "size", "v", "w", "text"])
 
 
 def _weights(c: np.ndarray, cv: np.ndarray, freed: np.ndarray, followed: np.ndarray, discounts: np.ndarray):
@@ -334,24 +337,22 @@ def _evaluate(events: pd.DataFrame, table: pd.DataFrame, unigrams: Unigrams, dis
 
 def _text_scores(batches, unigrams: Unigrams, begins: int):
     """Per chunk, each text's counts and unigram sums."""
-    for batch in batches:
-        for row in map(_chunk, batch.to_pylist()):
-            _, counts = _known(row, begins)
-            c = counts[row["codes"]].astype(np.float64)
-            at = np.cumsum(row["size"]) - row["size"]
-            add = lambda x: np.add.reduceat(x, at) if len(x) else np.zeros(0)  # noqa: E731, B023
-            cols = [row["doc_id"], row["held"], row["size"], add((c > 0).astype(np.int64)), add(np.log10((c + 1) / (unigrams.total + unigrams.distinct + 1))), add(np.log10(unigrams.probability(c)))]
-            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]]), *(pa.array([x], pa.list_(t)) for x, t in zip(cols, types))], names=["chunk", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "unigram_score"])
+    for row in map(_chunk, _rows(batches)):
+        _, counts = _known(row, begins)
+        c = counts[row["codes"]].astype(np.float64)
+        at = np.cumsum(row["size"]) - row["size"]
+        add = lambda x: np.add.reduceat(x, at) if len(x) else np.zeros(0)  # noqa: E731, B023
+        cols = [row["doc_id"], row["held"], row["size"], add((c > 0).astype(np.int64)), add(np.log10((c + 1) / (unigrams.total + unigrams.distinct + 1))), add(np.log10(unigrams.probability(c)))]
+        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]]), *(pa.array([x], pa.list_(t)) for x, t in zip(cols, types))], names=["chunk", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "unigram_score"])
 
 
 def _finish(batches):
-    for batch in batches:
-        for row in batch.to_pylist():
-            score = np.array(row["unigram_score"]) + sum((np.frombuffer(x, np.float64) for x in row["gains"] or []), np.zeros(len(row["doc_id"])))
-            names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
-            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([*(pa.array(row[x], t) for x, t in zip(names, types)), pa.array(row["unigram_score"], pa.float64()), pa.array(score)], names=[*names, "unigram_score", "score"])
+    for row in _rows(batches):
+        score = np.array(row["unigram_score"]) + sum((np.frombuffer(x, np.float64) for x in row["gains"] or []), np.zeros(len(row["doc_id"])))
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64()]
+        yield pa.RecordBatch.from_arrays([*(pa.array(row[x], t) for x, t in zip(names, types)), pa.array(row["unigram_score"], pa.float64()), pa.array(score)], names=[*names, "unigram_score", "score"])
 
 
 @dataclass(frozen=True)
@@ -384,7 +385,7 @@ def _folder(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/katz-{uuid.uuid4().hex}"
 
 
-def fit(docs: DataFrame, held: Column, chunk_tokens: int = 3_000_000, path: str | None = None) -> Katz:
+def fit(docs: DataFrame, held: Column, chunk_tokens: int = 1_500_000, path: str | None = None) -> Katz:
     """Learns from the rows of ``docs`` (doc_id, text) where ``held`` is not true, and writes the
     model to ``path`` (default: a new folder beside the checkpoints)."""
     spark = docs.sparkSession

@@ -290,3 +290,17 @@ def test_fingerprint_lanes(spark):
         x = np.array(rows[r.i], np.int64).astype(np.uint64)
         bits = sum(1 << b for b in range(64) if 2 * int(((x >> np.uint64(b)) & np.uint64(1)).sum()) > len(x))
         assert r.p % 2**64 == bits, r.i
+
+
+def test_katz_reads_a_batch_row_by_row():
+    """A batch may hold every chunk of a partition: a row is turned to Python when its turn comes."""
+    import inspect
+
+    import pyarrow as pa
+
+    from ranklift.llm import katz
+
+    batch = pa.RecordBatch.from_pydict({"x": [1, 2], "y": [[1], None]})
+    rows = katz._rows(iter([batch, batch.slice(0, 0), batch.slice(1, 1)]))
+    assert inspect.isgenerator(rows) and list(rows) == [{"x": 1, "y": [1]}, {"x": 2, "y": None}, {"x": 2, "y": None}]
+    assert inspect.signature(katz.fit).parameters["chunk_tokens"].default <= 1_500_000
