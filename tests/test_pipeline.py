@@ -72,3 +72,23 @@ def test_report_of_a_run_with_given_parameters(spark):
     assert rows["rank_metrics", "ndcg_at_k"] == out["rank_metrics"].first()["ndcg_at_k"]
     assert rows["improvement", "mai"] == out["improvement"].first()["mai"]
     assert rows["train_stats", "n_rows"] == out["train_matrix"].count()
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_asked_ids_are_not_sorted_for_the_missing_check(spark):
+    from ranklift.operators import rerank
+
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        req = spark.createDataFrame([(1, "u", ["a", "b", "b", None]), (2, None, ["a"])], "request_id bigint, userid string, products array<string>")
+        ids = lambda *x: spark.createDataFrame([(i, [1.0]) for i in x], "id string, features array<double>")
+        out = rerank.missing_ids(req, ids("v"), ids("a", "a"))
+        assert "SortMergeJoin" not in _plan(out) and "ShuffledHashJoin" in _plan(out)
+        got = sorted((r["request_id"], r["kind"], r["id"] or "") for r in out.collect())
+        assert got == [(1, "item", ""), (1, "item", "b"), (1, "item", "b"), (1, "user", "u"), (2, "user", "")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
