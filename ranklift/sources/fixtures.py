@@ -68,7 +68,8 @@ def cart_events(spark: SparkSession, sf_dir: str, names: bool = True) -> DataFra
     leaves the item names null and their lookup out."""
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    rows = _named(li.join(orders, li.l_orderkey == orders.o_orderkey), spark, sf_dir, "l_partkey", names)
+    # orders, one row a key, are hashed by partition; the lines stream past them unsorted
+    rows = _named(li.join(orders.hint("shuffle_hash"), li.l_orderkey == orders.o_orderkey), spark, sf_dir, "l_partkey", names)
     d = _dirt(F.col("o_orderkey"))
     q = _query_text(F.col("o_orderpriority"), F.col("o_orderkey"))
     out = rows.select(

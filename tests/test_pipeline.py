@@ -92,3 +92,15 @@ def test_asked_ids_are_not_sorted_for_the_missing_check(spark):
         assert got == [(1, "item", ""), (1, "item", "b"), (1, "item", "b"), (1, "user", "u"), (2, "user", "")]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+
+
+def test_lines_are_not_sorted_to_meet_their_orders(spark):
+    from ranklift.sources import fixtures
+
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(fixtures.cart_events(spark, SF_SMALL, names=False))
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
