@@ -113,7 +113,14 @@ class Scored:
         block_opts.setdefault("n_users", int(sizes["u"]))
         block_opts.setdefault("n_items", int(sizes["i"]))
         # Read by both the item and the level merges: keep one scoring pass.
-        self.raw = score_top_levels(cand_users, cand_items, known, self.k, metric, **block_opts).persist()
+        behind: list[DataFrame] = []
+        self.raw = score_top_levels(cand_users, cand_items, known, self.k, metric, cached=behind, **block_opts).persist()
+        self._cached = [self.raw, *reversed(behind), known]
+
+    def unpersist(self) -> None:
+        """Drops the cached frames, once everything read from them is computed."""
+        for df in self._cached:
+            df.unpersist()
 
     def top_items(self) -> DataFrame:
         """``(userid, rank, itemid, score)`` best first (ties: itemid asc)."""

@@ -291,13 +291,15 @@ def score_top_levels(
     n_users: int | None = None,
     n_items: int | None = None,
     digits: int | None = KEY_DIGITS,
+    cached: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Per-user top-k items and top score levels over all candidate items.
 
     users: ``(userid, features)``; items: ``(itemid, features)``;
     ratings: ``(userid, itemid, rating)`` (relevance; absent pairs have 0).
     Returns rows of ``OUT_SCHEMA``, merged by
-    ``rank_metrics.Scored.top_items`` / ``Scored.levels``.
+    ``rank_metrics.Scored.top_items`` / ``Scored.levels``. ``cached`` gets the frames that
+    stay cached behind them.
     """
     check_metric(metric)
     k, dot = int(k), metric == "dot_product"
@@ -335,10 +337,12 @@ def score_top_levels(
     out = out.persist()  # the k-th keys and the merge read it
     last = (table.column("_promise")[-1].as_py(), ids[-1])
     rest = items.where((F.col("_promise") > last[0]) | ((F.col("_promise") == last[0]) & (F.col("itemid") > last[1])))
-    return out.unionByName(_score_rest(users, rest, ratings, out, n_users, n_items - len(ids), int(first["rank"]), k, metric, user_block, item_block, digits, group_bytes))
+    cached = [] if cached is None else cached
+    cached.append(out)
+    return out.unionByName(_score_rest(users, rest, ratings, out, n_users, n_items - len(ids), int(first["rank"]), k, metric, user_block, item_block, digits, group_bytes, cached))
 
 
-def _score_rest(users, rest, ratings, first, n_users, n_rest, rank, k, metric, user_block, item_block, digits, group_bytes) -> DataFrame:
+def _score_rest(users, rest, ratings, first, n_users, n_rest, rank, k, metric, user_block, item_block, digits, group_bytes, cached) -> DataFrame:
     """The items beyond the first part, for the users whom they could still matter to."""
     from ..session import ensure_checkpoint_dir
 
@@ -371,6 +375,7 @@ def _score_rest(users, rest, ratings, first, n_users, n_rest, rank, k, metric, u
     key = F.when(F.col("n") >= k, F.col("m")).otherwise(F.lit(float("-inf"))).alias("_key")
     asked = users.join(have, "userid", "left").select("userid", norm("features").alias("_len"), key)
     asked = asked.mapInArrow(needed, "userid string, _key double, groups array<int>").where(F.size("groups") > 0).persist()  # a row per user
+    cached.append(asked)
     packs = parts * max(1, math.ceil(n_users / (parts * user_block)))
     pack = F.pmod(F.xxhash64("userid"), F.lit(packs)).alias("_at")
     by, to = ["grp", "_at"], F.explode("groups").alias("grp")

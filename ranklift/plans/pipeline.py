@@ -2,8 +2,9 @@
 
     matrices -> search -> train best -> rank metrics -> replay -> store
 
-Only the affinity matrix and the replay prefix are reused, so only they are
-cached; everything else stays lazy until the caller (or a sink) acts.
+Every step writes its rows below the checkpoint folder and the next ones read them from there, so
+that Spark can drop a step's shuffle files and cached blocks when it ends: the disk holds the
+largest step's, not the sum of all. The statistics by query stay lazy.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from ..config import RunConfig, Window
 from ..operators import affinity, cleaning, rank_metrics, replay, sampling
 from ..operators.factors import ALSParams, fit_als
+from ..session import new_folder, release
 from ..sources import sinks
 from .search import ReplayScorer, search
 
@@ -40,35 +42,50 @@ def run_pipeline(
     run_date: str | None = None,
     params: ALSParams | None = None,
 ) -> dict[str, DataFrame]:
-    """All frames of a run. ``params``: train with these and leave the search out (then there is no
-    trial log)."""
+    """All frames of a run, in tables below the checkpoint folder. ``params``: train with these and
+    leave the search out (then there is no trial log)."""
     cfg = cfg or RunConfig()
-    train = affinity.affinity_matrix(cart_events, cfg.train).persist()
-    test = affinity.affinity_matrix(cart_events, cfg.test)
-    merged = replay_prefix(cart_events, search_results, cfg).persist()
+    spark = cart_events.sparkSession
+    folder = new_folder(spark, "run")
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        schema = df.schema
+        del df
+        release(spark)
+        return spark.read.schema(schema).parquet(f"{folder}/{name}")
+
+    train = kept("train_matrix", affinity.affinity_matrix(cart_events, cfg.train))
+    test = kept("test_matrix", affinity.affinity_matrix(cart_events, cfg.test))
+    merged = kept("merged", replay_prefix(cart_events, search_results, cfg))
     trials, best = None, params
     if best is None:
-        tuned_on = replay_prefix(cart_events, search_results, cfg, cfg.validation).persist() if cfg.validation else merged
+        tuned_on = kept("tuned_on", replay_prefix(cart_events, search_results, cfg, cfg.validation)) if cfg.validation else merged
         trials, best = search(train, ReplayScorer(tuned_on, cfg.metric, cfg.cold_start), cfg.search)
-        if tuned_on is not merged:
-            tuned_on.unpersist()
-    users, items = fit_als(train, best)  # M8: one refit on the full training matrix
-    users, items = users.persist(), items.persist()
+        release(spark)
+    fitted = fit_als(train, best)  # M8: one refit on the full training matrix
+    users, items = (kept(name, df) for name, df in zip(("user_factors", "item_factors"), fitted))
+    del fitted
+    release(spark)
 
-    known = rank_metrics.known_pairs(test, users, items)
-    scored = rank_metrics.Scored(known, users, items, cfg.k, cfg.metric)
+    scored = rank_metrics.Scored(rank_metrics.known_pairs(test, users, items), users, items, cfg.k, cfg.metric)
+    ranked = kept("rank_metrics", scored.summary())
+    scored.unpersist()
+    del scored
+    release(spark)
     pred = replay.predict_pairs(merged, users, items, cfg.metric, cfg.cold_start, best.rank)
-    shift = replay.position_shift(merged, replay.slot_assignment(pred, cfg.metric, sizes_from=merged))
+    shift = kept("shift", replay.position_shift(merged, replay.slot_assignment(pred, cfg.metric, sizes_from=merged)))
+    del pred
     out = {
         "train_matrix": train,
-        "train_stats": affinity.matrix_stats(train, cfg.train),
+        "train_stats": kept("train_stats", affinity.matrix_stats(train, cfg.train)),
         "test_matrix": test,
-        "test_stats": affinity.matrix_stats(test, cfg.test),
-        "known_report": rank_metrics.known_pairs_report(test, users, items),
+        "test_stats": kept("test_stats", affinity.matrix_stats(test, cfg.test)),
+        "known_report": kept("known_report", rank_metrics.known_pairs_report(test, users, items)),
         "user_factors": users,
         "item_factors": items,
-        "rank_metrics": scored.summary(),
-        "improvement": replay.improvement_overall(shift),
+        "rank_metrics": ranked,
+        "improvement": kept("improvement", replay.improvement_overall(shift)),
         "improvement_by_query": replay.improvement_by_query(shift),
     }
     if trials is not None:

@@ -104,3 +104,28 @@ def test_lines_are_not_sorted_to_meet_their_orders(spark):
         assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+
+
+def test_a_run_holds_no_cache_and_no_shuffle(spark):
+    from ranklift.operators.factors import ALSParams
+
+    cached = spark._jsparkSession.sharedState().cacheManager()
+    before = cached.numCachedEntries()
+    out = run_pipeline(fixtures.cart_events(spark, SF_SMALL, names=False), fixtures.search_results(spark, SF_SMALL, names=False), RunConfig(), params=ALSParams(rank=3, iterations=2))
+    assert cached.numCachedEntries() == before
+    for name in set(out) - {"improvement_by_query"}:
+        plan = _plan(out[name])
+        assert "FileScan parquet" in plan and "Exchange" not in plan and "InMemoryTableScan" not in plan, name
+
+
+def test_unpersisted_scores_leave_no_cached_frame(spark):
+    from ranklift.operators.rank_metrics import Scored
+
+    cached = spark._jsparkSession.sharedState().cacheManager()
+    before = cached.numCachedEntries()
+    vectors = lambda c, n: spark.range(n).selectExpr(f"concat('{c}', id) AS id", "array(cast(id AS double) / 7, 1.0D) AS features")
+    known = spark.range(12).selectExpr("concat('u', id % 6) AS userid", "concat('i', id) AS itemid", "cast(id + 1 AS double) AS rating")
+    scored = Scored(known, vectors("u", 6), vectors("i", 12), 2, "dot_product", first_bytes=64, item_block=2)
+    assert scored.summary().first()["n_users"] == 6 and cached.numCachedEntries() == before + 4
+    scored.unpersist()
+    assert cached.numCachedEntries() == before
