@@ -101,7 +101,8 @@ _CHUNK = pa.schema([("chunk", pa.string()), ("doc_id", pa.list_(pa.int64())), ("
 
 
 def _encode(batches, chunk_tokens: int):
-    """Chunks of texts: their words, most frequent first, and every token's place there."""
+    """Chunks of texts: their words, most frequent first, and every token's place there. The tokens
+    of a chunk wait as 32-bit places in the words of their slice."""
     from pyspark import TaskContext
 
     part, number = TaskContext.get().partitionId(), 0
@@ -109,11 +110,15 @@ def _encode(batches, chunk_tokens: int):
 
     def flush():
         nonlocal number
-        words, codes, count = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+        words, place = np.unique(np.concatenate([w for w, _, _ in tokens]), return_inverse=True)
+        count = np.bincount(place, np.concatenate([c for _, _, c in tokens]), len(words)).astype(np.int64)
         order = np.argsort(-count, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        row = [f"{part}-{number}", sum(ids, []), sum(held, []), np.concatenate(sizes), len(words), pack(words[order], 8), pack(rank[codes])]
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        rank = rank[place]  # by word of each slice
+        begin = np.cumsum([0, *(len(w) for w, _, _ in tokens)])
+        codes = np.concatenate([rank[a : a + len(w)][code] for a, (w, code, _) in zip(begin, tokens)])
+        row = [f"{part}-{number}", sum(ids, []), sum(held, []), np.concatenate(sizes), len(words), pack(words[order], 8), pack(codes)]
         number += 1
         for x in (held, ids, sizes, tokens):
             x.clear()
@@ -122,17 +127,19 @@ def _encode(batches, chunk_tokens: int):
     for batch in batches:
         text = batch.column("text").cast(pa.large_string())
         for a, b in _bytes_slices(text, 8 << 20):
-            words, before = word_hashes(text.slice(a, b - a))
-            size = np.diff(before) + 1
-            out = np.full(int(size.sum()), END, np.uint64)
-            last = np.zeros(len(out), bool)
-            last[np.cumsum(size) - 1] = True
-            out[~last] = words
-            tokens.append(out)
-            sizes.append(size)
+            for c, d in _bytes_slices(text.slice(a, b - a), 1 << 20):
+                words, before = word_hashes(text.slice(a + c, d - c))
+                size = np.diff(before) + 1
+                out = np.full(int(size.sum()), END, np.uint64)
+                last = np.zeros(len(out), bool)
+                last[np.cumsum(size) - 1] = True
+                out[~last] = words
+                words, code, count = np.unique(out, return_inverse=True, return_counts=True)
+                tokens.append((words, code.astype(np.int32), count))
+                sizes.append(size)
             ids.append(batch.column("doc_id").slice(a, b - a).to_pylist())
             held.append(batch.column("held").slice(a, b - a).to_pylist())
-            if sum(map(len, tokens)) >= chunk_tokens:
+            if sum(len(code) for _, code, _ in tokens) >= chunk_tokens:
                 yield flush()
     if tokens:
         yield flush()
@@ -147,7 +154,7 @@ def _rows(batches):
 
 def _chunk(row: dict) -> dict:
     size = np.array(row["size"], np.int64)
-    return row | {"size": size, "held": np.array(row["held"], bool), "codes": unpack(row["codes"], int(size.sum())).astype(np.int64)}
+    return row | {"size": size, "held": np.array(row["held"], bool), "codes": unpack(row["codes"], int(size.sum())).astype(np.int32)}
 
 
 def _word_requests(batches, parts: int):
@@ -210,11 +217,13 @@ def _pairs(row: dict, texts: np.ndarray):
     """(history code, word code, text) of every token of the chosen texts; the begin of a text
     has the code after the last word's."""
     size, n = row["size"], row["n_words"]
-    chosen = np.repeat(texts, size)
-    history = np.empty(len(row["codes"]), np.int64)
+    history = np.empty(len(row["codes"]), np.int32)  # a chunk has few enough words and texts
     history[1:] = row["codes"][:-1]
     history[np.cumsum(size) - size] = n
-    text = np.repeat(np.arange(len(size)), size)
+    text = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    if texts.all():
+        return history, row["codes"], text
+    chosen = np.repeat(texts, size)
     return history[chosen], row["codes"][chosen], text[chosen]
 
 
@@ -231,14 +240,25 @@ def _group(v: np.ndarray, w: np.ndarray, cv: np.ndarray, parts: int, hot: int) -
     return (h % np.uint64(parts)).astype(np.int64)
 
 
+def _groups(ids: np.ndarray, counts: np.ndarray, v: np.ndarray, w: np.ndarray, parts: int, hot: int, step: int = 1 << 17) -> np.ndarray:
+    """:func:`_group` of pairs of codes, a step at a time."""
+    out = np.empty(len(v), np.int32)
+    for a in range(0, len(v), step):
+        x, y = v[a : a + step], w[a : a + step]
+        out[a : a + step] = _group(ids[x], ids[y], counts[x], parts, hot)
+    return out
+
+
 def _pair_requests(batches, parts: int, hot: int, begins: int):
     for row in map(_chunk, _rows(batches)):
         v, w, _ = _pairs(row, ~row["held"])
         n = row["n_words"]
-        key, count = np.unique(v * n + w, return_counts=True)
+        key, count = np.unique(v * np.int64(n) + w, return_counts=True)
+        del v, w
         ids, counts = _known(row, begins)
-        v, w = key // max(n, 1), key % max(n, 1)
-        r = _group(ids[v], ids[w], counts[v], parts, hot)
+        v, w = (key // max(n, 1)).astype(np.int32), (key % max(n, 1)).astype(np.int32)
+        del key
+        r = _groups(ids, counts, v, w, parts, hot)
         order = np.lexsort((ids[w], ids[v], r))
         v, w, count, edges = v[order], w[order], count[order], np.searchsorted(r[order], np.arange(parts + 1))
         for i in range(parts):
@@ -276,10 +296,12 @@ def _events(batches, parts: int, hot: int, begins: int):
         v, w, text = _pairs(row, np.ones(len(row["size"]), bool))
         ids, counts = _known(row, begins)
         seen = ids[v] > 0
-        v, w, text = v[seen], w[seen], text[seen]
-        r = _group(ids[v], ids[w], counts[v], parts, hot)
-        order = np.lexsort((w, v, r))
+        if not seen.all():
+            v, w, text = v[seen], w[seen], text[seen]
+        r = _groups(ids, counts, v, w, parts, hot)
+        order = np.lexsort((w, v, r)).astype(np.int32)
         v, w, text, edges = v[order], w[order], text[order], np.searchsorted(r[order], np.arange(parts + 1))
+        del r, order, seen
         for i in range(parts):
             a, b = edges[i], edges[i + 1]
             if b > a:

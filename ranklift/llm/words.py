@@ -48,7 +48,7 @@ def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def word_hashes(texts: pa.Array, lower: bool = True, spans: bool = False, piece: int = 1 << 22):
+def word_hashes(texts: pa.Array, lower: bool = True, spans: bool = False, piece: int = 1 << 20):
     """(hash of every word, words before each text [len + 1]); with ``spans`` also the
     words' byte ranges and the bytes. Texts are worked off in pieces of whole texts, so that
     memory follows ``piece`` or the longest text."""
@@ -104,7 +104,7 @@ def unpack(data: bytes, n: int, width: int = 4) -> np.ndarray:
     planes = np.frombuffer(pa.decompress(data, n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
     out = np.zeros((n, 8), np.uint8)
     out[:, :width] = planes.T
-    return out.reshape(-1).view("<u8").copy()
+    return out.reshape(-1).view("<u8")
 
 
 def in_runs(lengths: np.ndarray) -> np.ndarray:

@@ -304,3 +304,34 @@ def test_katz_reads_a_batch_row_by_row():
     rows = katz._rows(iter([batch, batch.slice(0, 0), batch.slice(1, 1)]))
     assert inspect.isgenerator(rows) and list(rows) == [{"x": 1, "y": [1]}, {"x": 2, "y": None}, {"x": 2, "y": None}]
     assert inspect.signature(katz.fit).parameters["chunk_tokens"].default <= 1_500_000
+
+
+def _peak_bytes(work) -> int:
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_katz_holds_few_bytes_a_token(monkeypatch):
+    import pyspark
+
+    from ranklift.llm.words import pack
+
+    monkeypatch.setattr(pyspark.TaskContext, "get", staticmethod(lambda: type("T", (), {"partitionId": lambda self: 0})()))
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 2000) % 20_000) for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500), pa.int64()), pa.array(texts), pa.array([False] * 500)], names=["doc_id", "text", "held"])
+    chunks = []
+    peak = _peak_bytes(lambda: chunks.extend(katz._encode([batch], 10_000_000)))
+    (row,) = chunks[0].to_pylist()
+    tokens, n = sum(row["size"]), row["n_words"]
+    assert len(chunks) == 1 and tokens == 500 * 2001
+    assert peak < 80 * tokens
+    known = pa.RecordBatch.from_pylist([row | {"ids": pack(np.arange(n) + 2, 5), "counts": pack(np.ones(n, np.int64), 5)}])
+    assert _peak_bytes(lambda: list(katz._events([known], 8, 1000, 500))) < 60 * tokens
+    assert _peak_bytes(lambda: list(katz._pair_requests([known], 8, 1000, 500))) < 44 * tokens
