@@ -94,8 +94,25 @@ def _undo(data: bytes, sizes: np.ndarray) -> np.ndarray:
 _CHUNK = pa.schema([("chunk", pa.string()), ("doc_id", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("sid", pa.list_(pa.int64())), ("tokens", pa.binary())])
 
 
-def _chunk_rows(batches, n: int, chunk_bytes: int):
-    """Chunks of about ``chunk_bytes`` of text (one text at least)."""
+def _slices(at: np.ndarray, a: int, b: int, size: int):
+    """Runs of the texts a to b of at most ``size`` bytes, or one text."""
+    while a < b:
+        c = min(b, max(a + 1, int(np.searchsorted(at, at[a] + size, "right")) - 1))
+        yield a, c
+        a = c
+
+
+def _identified(texts: pa.Array, n: int):
+    """(48-bit tokens of the texts' sets, their sizes, an id of each set)."""
+    tokens, sizes = text_sets(texts, n)
+    with np.errstate(over="ignore"):
+        sid = mix(_sum_runs(mix(tokens), sizes) + mix(_sum_runs(mix(tokens ^ np.uint64(ORDERS[0])), sizes)) + sizes.astype(np.uint64)).view(np.int64)
+    return tokens >> np.uint64(64 - BITS), sizes, sid
+
+
+def _chunk_rows(batches, n: int, chunk_bytes: int, slice_bytes: int = 2 << 20):
+    """Chunks of about ``chunk_bytes`` of text (one text at least), hashed in slices of
+    ``slice_bytes``, so that a task holds the tokens of a chunk but the rest of a slice only."""
     from pyspark import TaskContext
 
     part, number = TaskContext.get().partitionId(), 0
@@ -105,10 +122,9 @@ def _chunk_rows(batches, n: int, chunk_bytes: int):
         a = 0
         while a < len(text):
             b = max(a + 1, int(np.searchsorted(at, at[a] + chunk_bytes, "right")) - 1)
-            tokens, sizes = text_sets(text.slice(a, b - a), n)
-            with np.errstate(over="ignore"):
-                sid = mix(_sum_runs(mix(tokens), sizes) + mix(_sum_runs(mix(tokens ^ np.uint64(ORDERS[0])), sizes)) + sizes.astype(np.uint64)).view(np.int64)
-            short = tokens >> np.uint64(64 - BITS)
+            found = [_identified(text.slice(c, d - c), n) for c, d in _slices(at, a, b, slice_bytes)]
+            short, sizes, sid = (np.concatenate(x) for x in zip(*found))
+            del found
             # a set that the chunk already holds keeps its row without the tokens
             _, first = np.unique(sid, return_index=True)
             again = np.ones(len(sid), bool)

@@ -335,3 +335,15 @@ def test_katz_holds_few_bytes_a_token(monkeypatch):
     known = pa.RecordBatch.from_pylist([row | {"ids": pack(np.arange(n) + 2, 5), "counts": pack(np.ones(n, np.int64), 5)}])
     assert _peak_bytes(lambda: list(katz._events([known], 8, 1000, 500))) < 60 * tokens
     assert _peak_bytes(lambda: list(katz._pair_requests([known], 8, 1000, 500))) < 44 * tokens
+
+
+def test_chunks_of_sets_hold_few_bytes_a_byte(monkeypatch):
+    import pyspark
+
+    monkeypatch.setattr(pyspark.TaskContext, "get", staticmethod(lambda: type("T", (), {"partitionId": lambda self: 0})()))
+    rng = np.random.default_rng(2)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array([" ".join(map(str, rng.integers(0, 10**6, 2000))) for _ in range(400)])], names=["doc_id", "text"])
+    whole, sliced = [], []
+    assert _peak_bytes(lambda: sliced.extend(ngram_jaccard._chunk_rows([batch], 5, 16 << 20))) < 10 * batch.nbytes
+    whole.extend(ngram_jaccard._chunk_rows([batch], 5, 16 << 20, slice_bytes=1 << 30))
+    assert len(whole) == 1 and sliced == whole
