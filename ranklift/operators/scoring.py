@@ -22,7 +22,8 @@ less to a group; each user's k-th key picks the groups that could still matter.
 and one part of the users streams past it: what is moved are the users times the groups and the items times the
 parts (``pairs.grid``), never a user for each block.
 
-Distances are computed directly for the items that may be kept; scores closer than
+A product of floats, half the work of doubles, only selects what may be kept, with room for its error
+(doubles where floats could overflow); kept scores are computed directly from the doubles. Scores closer than
 ``digits`` decimals count as ties (``None``: only equal ones). Rows without a user count
 (user, item block) pairs: ``cnt`` scored of ``gain`` in all.
 """
@@ -70,15 +71,57 @@ def _reach(dot: bool, digits: int | None):
     return reach
 
 
+def _floats():
+    """``single(x)``: ``x`` as floats; None where they could overflow (or are none). Ships by value."""
+
+    def single(x):
+        import numpy as np
+
+        return x.astype(np.float32) if np.abs(x).max(initial=0.0) < 1e15 else None
+
+    return single
+
+
+def _cataloguer(dot: bool):
+    """The function that prepares item blocks ``[(ids, matrix), ...]``, on the driver or in a task. Ships by value."""
+    single = _floats()
+
+    def catalogue(blocks):
+        """All ids in order, the number of each; (numbers, vectors, the same to select by, shortest, longest) per block."""
+        import numpy as np
+
+        ids = np.concatenate([b for b, _ in blocks])
+        order = np.argsort(ids)
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        ids, parts, done = ids[order], [], 0
+        for b, v in blocks:
+            at = place[done : done + len(b)]
+            done += len(b)
+            o = np.argsort(at)
+            at, v = at[o], v[o]
+            squares = (v * v).sum(1)
+            lengths = np.sqrt(squares)
+            # u.v - |v||v|/2 falls as the distance grows
+            by = v if dot else np.c_[v, -0.5 * squares]
+            few = single(by)
+            if few is not None and np.array_equal(few[:, : v.shape[1]], v):
+                v = few[:, : v.shape[1]]  # held once
+            parts.append((at, v, by if few is None else few, lengths.min(initial=np.inf), lengths.max(initial=0.0)))
+        return ids, {x: j for j, x in enumerate(ids)}, parts
+
+    return catalogue
+
+
 def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
     """The per-task kernel. Self-contained (imports inside) so it ships by value.
 
-    ``shared``: a broadcast of ``[(ids, matrix), ...]``, most promising first; otherwise the rows of
+    ``shared``: a broadcast of the catalogue of item blocks, most promising first; otherwise the rows of
     a cell are its item blocks (``_kind`` 0), most promising first, then its user blocks with each
     user's k-th key so far (``u_keys``).
     """
     dot = metric == "dot_product"
-    reach = _reach(dot, digits)
+    reach, single, catalogue = _reach(dot, digits), _floats(), _cataloguer(dot)
     unit = 10.0**-digits if digits is not None else 0.0
 
     def score_batches(batches):
@@ -94,22 +137,7 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
         def strings(list_scalar):
             return np.asarray(list_scalar.values.to_pylist(), dtype=object)
 
-        def catalogue(blocks):
-            """All ids in order, id -> number, block and column of each number; (numbers, vectors, shortest, longest) per block."""
-            ids = np.sort(np.concatenate([b for b, _ in blocks]))
-            number = {x: j for j, x in enumerate(ids)}
-            block, column, parts = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), []
-            for j, (b, v) in enumerate(blocks):
-                at = np.fromiter((number[x] for x in b), np.int64, len(b))
-                o = np.argsort(at)
-                block[at], column[at[o]] = j, np.arange(len(b))
-                lengths = np.sqrt((v * v).sum(1))
-                parts.append((at[o], v[o], lengths.min(initial=np.inf), lengths.max(initial=0.0)))
-            return ids, number, block, column, parts
-
-        known_items = None
-        if shared is not None:
-            known_items = catalogue([(np.asarray(ids, dtype=object), vecs) for ids, vecs in shared.value])
+        known_items = shared.value if shared is not None else None
 
         def first_of(rows, n):
             return np.searchsorted(rows, np.arange(n))
@@ -135,42 +163,45 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
         def places(mask):
             return np.divmod(np.flatnonzero(mask), mask.shape[1])
 
-        def candidates(U, V, kth, room_for):
+        def candidates(U, by_u, lengths, V, by_v, hi, kth, room_for):
             """(user row, item column, key, raw score) of all that may stand in a user's top k; ``kth``: the
-            key it takes at least; ``room_for``: memory of the scores."""
-            top = V.shape[0] - min(k, V.shape[0])
-            raw = np.dot(U, V.T, out=room_for[: len(U) * len(V)].reshape(len(U), len(V)))
+            key it takes at least; ``room_for``: memory of the sums. The product of ``by_u`` and ``by_v`` only
+            selects, with room for its error; kept scores are computed directly, from doubles."""
+            if by_u is None or by_v.dtype == np.float64:  # in doubles
+                by_u, by_v = (U, V) if dot else (np.c_[U, np.ones(len(U))], np.c_[V, -0.5 * np.square(V, dtype=np.float64).sum(1)])
+                by_v, room_for = by_v.astype(np.float64), np.empty(len(U) * len(V))
+            near = np.dot(by_u, by_v.T, out=room_for[: len(by_u) * len(by_v)].reshape(len(by_u), len(by_v)))
+            bits = 2.0**-23 if near.dtype == np.float32 else 2.0**-52
+            error = (U.shape[1] + 8) * (bits * (lengths * hi if dot else (lengths + hi) * hi) + 1e-36 * (1 + lengths + hi))
             known = np.isfinite(kth).all()  # then no order within the block is needed
-            if dot and known:
-                rows, cols = places(raw >= (kth - unit - 1e-12 * np.abs(kth))[:, None])
-                raw = raw[rows, cols]
-                return rows, cols, np.round(raw, digits) if digits is not None else raw, raw
+            if not known:
+                top = near.shape[1] - min(k, near.shape[1])
+                best = np.partition(near, top, axis=1)[:, top].astype(np.float64) - error
             if dot:
-                key = np.round(raw, digits) if digits is not None else raw
-                rows, cols = np.nonzero(key >= np.partition(key, top, axis=1)[:, top][:, None])
-                return rows, cols, key[rows, cols], raw[rows, cols]
-            # The expanded square only selects, with room for its error; distances are direct.
-            uu, vv = (U * U).sum(1), (V * V).sum(1)
-            near = raw
-            near *= 2.0
-            near -= uu[:, None]
-            near -= vv[None, :]
-            cut = -np.square(np.maximum(0.0, unit - kth)) if known else np.partition(near, top, axis=1)[:, top]
-            room = 1e-8 * (1.0 + np.sqrt(np.maximum(-cut, 0.0))) + 1e-11 * (uu + vv.max())
-            rows, cols = places(near >= (cut - room)[:, None])
-            d = np.empty(len(rows))
+                cut = (kth if known else best) - unit
+                error += 1e-12 * np.abs(cut)
+            else:
+                # of the squared distance: |u||u| - 2 (u.v - |v||v|/2)
+                squares = lengths * lengths
+                far = np.maximum(0.0, -kth if known else np.sqrt(np.maximum(0.0, squares - 2 * best))) + unit
+                cut = 0.5 * (squares - far * far)
+                error += 1e-11 * (squares + far * far)
+            least = (cut - error).astype(near.dtype)
+            rows, cols = places(near >= np.nextafter(least, near.dtype.type(-np.inf))[:, None])
+            raw = np.empty(len(rows))
             for a in range(0, len(rows), 1 << 16):
                 s = slice(a, a + (1 << 16))
-                d[s] = np.sqrt(((U[rows[s]] - V[cols[s]]) ** 2).sum(1))
-            return rows, cols, -(np.round(d, digits) if digits is not None else d), d
-
-        def gains(known, gain, asked):
-            """The sum of ``gain`` at each place asked for."""
-            if not len(known):
+                x, y = U[rows[s]], V[cols[s]]
+                raw[s] = (x * y).sum(1) if dot else np.sqrt(((x - y) ** 2).sum(1))
+            key = raw if dot else -raw
+            return rows, cols, np.round(key, digits) if digits is not None else key, raw
+
+        def gains(known, asked):
+            """The gain at each place asked for; ``known``: places in order and their gains."""
+            if not len(known[0]):
                 return np.zeros(len(asked))
-            known, run = np.unique(known, return_inverse=True)
-            at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-            return np.where(known[at] == asked, np.bincount(run, gain, len(known))[at], 0.0)
+            at = np.minimum(np.searchsorted(known[0], asked), len(known[0]) - 1)
+            return np.where(known[0][at] == asked, known[1][at], 0.0)
 
         def kth_keys(n, items):
             """Each user's k-th key; minus infinity before there are k."""
@@ -181,33 +212,45 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
             out[full] = low[full]
             return out
 
-        def score_users(U, rel, parts, kth):
-            """Running top k and levels of a user block over the item blocks; pairs scored."""
+        def score_users(U, rel, parts, n_ids, kth):
+            """Running top k and levels of a user block over the item blocks; pairs scored. What is found waits, and
+            is merged when it is twice the top k of all users, or when k-th keys are needed."""
             n = len(U)
             lengths = np.sqrt((U * U).sum(1))
-            r_row, r_block, r_col, r_gain = rel
-            edges = np.searchsorted(r_block, np.arange(len(parts) + 1))
+            by_u = single(U if dot else np.c_[U, np.ones(n)])
             items = levels = None
-            scored = 0
-            room_for = np.empty(n * max(len(numbers) for numbers, *_ in parts))
-            for j, (numbers, V, lo, hi) in enumerate(parts):
-                active = np.flatnonzero(reach(lengths, lo, hi) >= kth)
-                if not len(numbers) or not len(active):
-                    continue
-                scored += len(active)
-                rows, cols, key, raw = candidates(U[active], V, kth[active], room_for)
-                rows = active[rows]
+            waiting, n_waiting, scored = [], 0, 0
+            room_for = np.empty(n * max(len(numbers) for numbers, *_ in parts), np.float32)
+
+            def merge():
+                nonlocal items, levels, kth, n_waiting
+                rows, item, key, raw = map(np.concatenate, zip(*waiting))
+                waiting.clear()
+                n_waiting = 0
                 worth = key >= kth[rows]
-                rows, cols, key, raw = rows[worth], cols[worth], key[worth], raw[worth]
-                mine = slice(edges[j], edges[j + 1])
-                gain = gains(r_row[mine] * len(numbers) + r_col[mine], r_gain[mine], rows * len(numbers) + cols)
-                found = (rows, numbers[cols], key, raw, gain)
-                runs = (rows, key, gain, np.ones(len(rows), np.int64))
+                rows, item, key, raw = rows[worth], item[worth], key[worth], raw[worth]
                 if not len(rows):
-                    continue
+                    return
+                gain = gains(rel, rows * n_ids + item)
+                found, runs = (rows, item, key, raw, gain), (rows, key, gain, np.ones(len(rows), np.int64))
                 items = best_items(n, *(found if items is None else map(np.concatenate, zip(items, found))))
                 levels = best_levels(n, *(runs if levels is None else map(np.concatenate, zip(levels, runs))))
                 kth = np.maximum(kth, kth_keys(n, items))
+
+            for numbers, V, by_v, lo, hi in parts:
+                active = np.flatnonzero(reach(lengths, lo, hi) >= kth)
+                if not len(numbers) or not len(active):
+                    continue
+                scored += len(active)
+                of = slice(None) if len(active) == n else active
+                rows, cols, key, raw = candidates(U[of], by_u if by_u is None else by_u[of], lengths[of], V, by_v, hi, kth[of], room_for)
+                if len(rows):
+                    waiting.append((active[rows], numbers[cols], key, raw))
+                    n_waiting += len(rows)
+                if n_waiting >= 2 * n * k or (n_waiting and not np.isfinite(kth[of]).all()):
+                    merge()
+            if waiting:
+                merge()
             return items, levels, scored
 
         cell, blocks = None, []
@@ -227,24 +270,23 @@ def _block_scorer(k: int, metric: str, digits: int | None, shared=None):
                         blocks.append((uids, matrix(batch.column("u_vecs")[r].values, len(uids))))
                         continue
                     if known_items is None:
-                        known_items, blocks = catalogue(blocks) if blocks else ([], {}, None, None, []), []
+                        known_items, blocks = catalogue(blocks) if blocks else ([], {}, []), []
                     kth = batch.column("u_keys")[r].values.to_numpy(zero_copy_only=False)
                 else:
                     kth = np.full(len(uids), -np.inf)
-                ids, number, block, column, parts = known_items
+                ids, number, parts = known_items
                 if len(uids) == 0 or len(ids) == 0:
                     continue
-                rel = [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
+                rel = [np.zeros(0, np.int64), np.zeros(0)]
                 if batch.column("r_u")[r].is_valid and len(batch.column("r_u")[r]) > 0:
                     row_of = {u: j for j, u in enumerate(uids)}
                     users = np.array([row_of.get(x, -1) for x in batch.column("r_u")[r].values.to_pylist()], np.int64)
                     item = np.array([number.get(x, -1) for x in batch.column("r_i")[r].values.to_pylist()], np.int64)
                     gain = batch.column("r_v")[r].values.to_numpy(zero_copy_only=False)
                     both = (users >= 0) & (item >= 0)
-                    users, item, gain = users[both], item[both], gain[both]
-                    o = np.argsort(block[item], kind="stable")
-                    rel = [users[o], block[item[o]], column[item[o]], gain[o]]
-                items, levels, scored = score_users(matrix(batch.column("u_vecs")[r].values, len(uids)), rel, parts, kth)
+                    at, run = np.unique(users[both] * len(ids) + item[both], return_inverse=True)
+                    rel = [at, np.bincount(run, gain[both], len(at))]
+                items, levels, scored = score_users(matrix(batch.column("u_vecs")[r].values, len(uids)), rel, parts, len(ids), kth)
                 none = np.full(1, None, dtype=object)
                 emit(none, none, np.full(1, np.nan), np.full(1, np.nan), np.array([float(len(uids) * len(parts))]), np.array([scored]))
                 if items is None:
@@ -301,6 +343,8 @@ def score_top_levels(
     ``rank_metrics.Scored.top_items`` / ``Scored.levels``. ``cached`` gets the frames that
     stay cached behind them.
     """
+    import numpy as np
+
     check_metric(metric)
     k, dot = int(k), metric == "dot_product"
     if n_users is None:
@@ -320,10 +364,10 @@ def score_top_levels(
         promise = F.abs(F.col("_len") - F.lit(float(middle)))
     items = items.withColumn("_promise", promise)
     table = items.orderBy("_promise", "itemid").limit(room).select("itemid", "features", "_promise").toArrow()  # first_bytes at most
-    ids = table.column("itemid").to_pylist()
+    ids = np.array(table.column("itemid").to_pylist(), dtype=object)
     vecs = table.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(ids), -1)
     blocks = [(ids[a : a + item_block], vecs[a : a + item_block]) for a in range(0, len(ids), item_block)]
-    shared = users.sparkSession.sparkContext.broadcast(blocks)
+    shared = users.sparkSession.sparkContext.broadcast(_cataloguer(dot)(blocks))  # prepared once, not by every task
     # A block's users travel with their own relevance rows (at most one per
     # candidate item each, i.e. no more than the scores the task computes).
     by_block = lambda df: df.withColumn("ub", F.pmod(F.xxhash64("userid"), F.lit(nu)))

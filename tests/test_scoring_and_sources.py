@@ -3,13 +3,14 @@
 import tempfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from ranklift import schemas
 from ranklift.config import Window
-from ranklift.operators import cleaning, factors, rank_metrics
+from ranklift.operators import cleaning, factors, rank_metrics, scoring
 from ranklift.plans.context import Inputs
 from ranklift.sources import sinks, tables, templates
 
@@ -51,6 +52,42 @@ def test_pruned_scan_equals_the_full_one(spark, metric):
     assert full.scan_report().first()["share_skipped"] == 0
 
 
+@pytest.mark.parametrize("metric", ["dot_product", "euclidean_distance"])
+@pytest.mark.parametrize("case", ["floats", "close", "large", "tiny", "few"])
+def test_floats_only_select(metric, case):
+    """The catalogue is prepared once, for every task; its floats only select: scores closer than floats
+    can tell, lengths that floats cannot hold and ties give the rows of doubles."""
+    rng, k, dot = np.random.default_rng(3), 5, metric == "dot_product"
+    u, v = rng.normal(size=(30, 7)), rng.normal(size=(4 if case == "few" else 300, 7))
+    if case == "floats":
+        u, v = u.astype(np.float32).astype(float), v.astype(np.float32).astype(float)
+    if case == "close":
+        v = v[0] + 1e-8 * v
+    if case in ("large", "tiny"):
+        u, v = u * 10.0 ** rng.integers(-2, 3, (30, 1)), v * 10.0 ** (rng.integers(15, 30, (300, 1)) if case == "large" else rng.integers(-45, -30, (300, 1)))
+    v[-3:] = v[0]
+    users, items = [f"u{i:03d}" for i in range(len(u))], [f"i{j:03d}" for j in range(len(v))]
+    order = rng.permutation(len(v))
+    blocks = [(np.array(items, dtype=object)[order[a : a + 64]], v[order[a : a + 64]]) for a in range(0, len(v), 64)]
+    ids, number, parts = scoring._cataloguer(dot)(blocks)
+    assert list(ids) == items and all(number[x] == j for j, x in enumerate(items))
+    assert all((x.dtype == np.float32) == (case == "floats") for _, x, *_ in parts)
+    shared = type("Shared", (), {"value": (ids, number, parts)})
+    cell = lambda x, t: pa.array([x], pa.list_(t))
+    columns = {"u_ids": cell(users, pa.string()), "u_vecs": cell(u.ravel(), pa.float64()), "r_u": cell(users * 2, pa.string()), "r_i": cell([items[0]] * 60, pa.string()), "r_v": cell([1.5] * 60, pa.float64())}
+    digits = None if case == "tiny" else 9
+    got = [r for b in scoring._block_scorer(k, metric, digits, shared)(iter([pa.RecordBatch.from_pydict(columns)])) for r in b.to_pylist() if r["userid"]]
+    raw = np.array([[(a * b).sum() if dot else np.sqrt(((a - b) ** 2).sum()) for b in v] for a in u])
+    key = (raw if dot else -raw) if digits is None else np.round(raw if dot else -raw, digits)
+    for i, user in enumerate(users):
+        best = sorted(range(len(v)), key=lambda j: (-key[i, j], items[j]))[:k]
+        mine = [r for r in got if r["userid"] == user and r["itemid"]]
+        assert [(r["itemid"], r["key"], r["gain"]) for r in mine] == [(items[j], key[i, j], 3.0 * (j == 0)) for j in best]
+        levels = [(r["key"], r["cnt"], r["gain"]) for r in got if r["userid"] == user and not r["itemid"]]
+        want = {key[i, j]: None for j in best}
+        assert levels == [(x, int((key[i] == x).sum()), 3.0 * (key[i, 0] == x)) for x in want]
+
+
 def test_gram_and_lazy_loss(spark, inputs):
     g = {r["pos"]: r["g"] for r in factors.gram(inputs.item_factors).collect()}
     x = np.array([r["features"] for r in inputs.item_factors.collect()])
