@@ -1,5 +1,9 @@
 """ALS: the fitted user factors solve MLlib's implicit normal equations."""
 
+import time
+from concurrent.futures import ThreadPoolExecutor
+from types import SimpleNamespace
+
 import numpy as np
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
@@ -99,3 +103,23 @@ def test_long_fits_drop_the_vectors_of_earlier_iterations(spark, monkeypatch):
     m = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("b", "x", 1.0)], "userid string, itemid string, rating double")
     users, items = factors.fit_als(m, factors.ALSParams(rank=2, iterations=4))
     assert asked == [2] and users.count() == 2 and items.count() == 2
+
+
+def test_fits_at_once_share_the_collections():
+    """Eight fits at once halt the driver no more often than one, and it is collected when the last ends."""
+    calls = []
+    system = SimpleNamespace(gc=lambda: calls.append(time.monotonic()))
+    spark = SimpleNamespace(sparkContext=SimpleNamespace(_jvm=SimpleNamespace(System=system)))
+
+    def fit(_):
+        with factors._releasing(spark, seconds=0.1):
+            time.sleep(1.0)
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(fit, range(8)))
+    assert 1 <= len(calls) <= 15
+    n = len(calls)
+    time.sleep(0.3)
+    assert len(calls) == n
+    fit(0)  # and again
+    assert len(calls) > n
