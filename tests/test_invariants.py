@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ranklift.config import RunConfig, Window
-from ranklift.operators import affinity, cleaning, factors, numbering, rank_metrics, sampling
+from ranklift.operators import affinity, cleaning, factors, numbering, rank_metrics, replay, sampling
 from ranklift.plans.context import Inputs
 from ranklift.sources import fixtures, sinks, templates
 
@@ -219,3 +219,15 @@ def test_affinity_by_user_takes_one_exchange(spark, inputs):
     inputs.cart_events.write.parquet(path)
     plan = affinity.affinity_matrix(spark.read.parquet(path), RunConfig().train, "by_user")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_the_sample_is_planned_once(spark):
+    """The replay reads the stored sample; the tables behind it are scanned for the impressions only."""
+    i = Inputs(spark, SF_SMALL)
+    joined = replay.session_join(i.impressions, sampling.adds_of_top_queries(i.sampled, i.top))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") <= 6, plan
+    assert "SortMergeJoin [fecha" in plan  # whatever the size of the files
+    want = sampling.sample_per_query(i.cart_adds, i.cfg.sample_size, i.cfg.sample_seed)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(i.sampled) == rows(want) and i.sampled.schema.names == want.schema.names
