@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pytest
+from conftest import SF_SMALL
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from ranklift.functions import cosine, dot, euclidean, norm
 from ranklift.functions.vectors import squared_norm
 from ranklift.operators import pairs as P
 from ranklift.operators import rerank as RR
+from ranklift.plans.context import Inputs
+from ranklift.sources import fixtures
 
 
 def _tables(spark, entry=float, n_users=40, n_items=30, rank=3):
@@ -115,3 +120,31 @@ def test_requests_are_not_sorted_by_order(spark):
 
     plan = fixtures.rerank_requests(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_requests_are_stored_before_their_vectors_move(spark):
+    """The rerank reads the requests from one table; their rows are those of the source."""
+    i = Inputs(spark, SF_SMALL)
+    for got, want in ((i.rerank_requests, fixtures.rerank_requests(spark, SF_SMALL, i.user_factors, i.item_factors)), (i.whole_requests, fixtures.rerank_requests(spark, SF_SMALL))):
+        assert got.schema == want.schema or got.dtypes == want.dtypes
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_uneven_slices_of_a_block_are_put_together(spark):
+    """A block's vectors come in several batches; both ways of meeting give the rows of a plain join."""
+    rng = np.random.default_rng(4)
+    vectors = lambda p, n: spark.createDataFrame([(f"{p}{j}", [float(x) for x in rng.integers(-9, 9, 5)]) for j in range(n)], "id string, features array<double>").repartition(7)
+    users, items = vectors("u", 300), vectors("i", 200)
+    pairs = spark.createDataFrame([(f"u{rng.integers(320)}", f"i{rng.integers(210)}") for _ in range(3000)] + [(None, "i1")], "userid string, itemid string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        got = sorted(map(str, P.with_vectors(pairs, users, items, block_bytes=4000).select("userid", "itemid", "_u", "_v").collect()))
+        measured = P.with_measures(pairs, users, items, ["dot"], block_bytes=4000).select("userid", "itemid", F.round("dot", 9), "_has_u", "_has_v").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    u, v = ({r["id"]: r["features"] for r in x.collect()} for x in (users, items))
+    rows = [(r["userid"], r["itemid"]) for r in pairs.collect()]
+    assert got == sorted(str(Row(userid=a, itemid=b, _u=u.get(a), _v=v.get(b))) for a, b in rows)
+    dots = lambda a, b: round(float(np.dot(u[a], v[b])), 7) if a in u and b in v else None
+    assert sorted((str(r[0]), r[1], str(r[2] if r[2] is None else round(r[2], 7)), r[3], r[4]) for r in measured) == sorted((str(a), b, str(dots(a, b)), a in u, b in v) for a, b in rows)
